@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import reports
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
+
+from .plans import etl, reports
 from .plans.star import SourceStar
 from .sources.tables import read_table
 
@@ -33,7 +35,44 @@ def _report_queries() -> dict[str, Query]:
     return q
 
 
+def normalize_output(df: DataFrame) -> DataFrame:
+    """Registered outputs use long for integers and double for decimals, so both the
+    Spark and the oracle side agree on types."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (ByteType, ShortType, IntegerType)):
+            c = c.cast("long")
+        elif isinstance(f.dataType, DecimalType):
+            c = c.cast("double")
+        cols.append(c.alias(f.name))
+    return df.select(cols)
+
+
+def _norm(fn):
+    return lambda spark, base: normalize_output(fn(SourceStar(spark, base)))
+
+
+def _etl_queries() -> dict[str, Query]:
+    names = {
+        "clean_money": etl.q_clean_money, "guarded_numeric": etl.q_guarded_numeric,
+        "norm_discount": etl.q_norm_discount, "norm_discount_clamped": etl.q_norm_discount_clamped,
+        "parse_date": etl.q_parse_date, "to_qty": etl.q_to_qty, "row_hash": etl.q_row_hash,
+        "unit_price": etl.q_unit_price, "calendar_attrs": etl.q_calendar_attrs, "conform": etl.q_conform,
+        "stg_location": etl.q_stage("stg_dim_location"), "stg_product": etl.q_stage("stg_dim_product"),
+        "stg_customer": etl.q_stage("stg_dim_customer"), "stg_orders": etl.q_stage("stg_orders"),
+        "stg_sales_lines": etl.q_stage("stg_sales_lines"),
+        "dim_date": etl.q_dim_date, "upsert_location": etl.q_upsert_location,
+        "upsert_product": etl.q_upsert_product, "upsert_customer": etl.q_upsert_customer,
+        "upsert_order": etl.q_upsert_order, "fact_replace": etl.q_fact_replace,
+        "fact_rejects": etl.q_fact_rejects, "order_rejects": etl.q_order_rejects,
+        "id_stability": etl.q_id_stability,
+    }
+    return {k: _norm(v) for k, v in names.items()}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_report_queries())
+    out.update(_etl_queries())
     return out
