@@ -388,3 +388,65 @@ FROM {t2} b LEFT JOIN {t1} a ON a.{k} = b.{k}
                              ("dim_order", "order_key", "order_id", "dim_ord1", "dim_ord2")]),
     }
     return q
+
+
+FINAL = {"dim_date": "dim_date2", "dim_location": "dim_loc2", "dim_customer": "dim_cust2",
+         "dim_product": "dim_prod2", "dim_order": "dim_ord2", "fact_sales": "fact2"}
+
+
+def checks_sql(kind: str) -> str:
+    from .schemas import CONSTRAINTS
+
+    parts = []
+    for table, spec in CONSTRAINTS.items():
+        if kind not in spec:
+            continue
+        t = FINAL[table]
+        if kind == "not_null":
+            for c in spec[kind]:
+                parts.append(f"SELECT '{table}' AS table_name, 'not_null({c})' AS rule, "
+                             f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {t}")
+        elif kind == "range":
+            for c, (lo, hi) in spec[kind].items():
+                conds = [f"{c} >= {lo}" if lo is not None else None, f"{c} <= {hi}" if hi is not None else None]
+                ok = " AND ".join(x for x in conds if x)
+                parts.append(f"SELECT '{table}' AS table_name, 'range({c},{lo},{hi})' AS rule, "
+                             f"CAST(COUNT(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({ok})) AS BIGINT) AS violations FROM {t}")
+        elif kind == "length":
+            for c, n in spec[kind].items():
+                parts.append(f"SELECT '{table}' AS table_name, 'length({c})<={n}' AS rule, "
+                             f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM {t}")
+        elif kind == "unique":
+            for keys in spec[kind]:
+                k = ", ".join(keys)
+                nn = " AND ".join(f"{x} IS NOT NULL" for x in keys)
+                parts.append(f"SELECT '{table}' AS table_name, 'unique({','.join(keys)})' AS rule, CAST(COUNT(*) AS BIGINT) AS violations FROM "
+                             f"(SELECT {k} FROM {t} WHERE {nn} GROUP BY {k} HAVING COUNT(*) > 1)")
+        elif kind == "fk":
+            for c, pt, pc in spec[kind]:
+                parts.append(f"SELECT '{table}' AS table_name, 'fk({c}->{pt}.{pc})' AS rule, CAST(COUNT(*) AS BIGINT) AS violations FROM {t} "
+                             f"WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pc} FROM {FINAL[pt]} WHERE {pc} IS NOT NULL)")
+    return pipeline("12") + "\nUNION ALL\n".join(parts)
+
+
+def roles_sql() -> dict[str, str]:
+    two = pipeline("12")
+    return {
+        "loc_lookup_nullsafe": two + f"""SELECT s.customer_key, s.postal_code, l.location_id
+FROM stg_cust1 s LEFT JOIN dim_loc2 l ON {_loc_match('s', 'l')}""",
+        "date_roles": two + """SELECT o.order_key, d1.full_date AS order_date, d2.full_date AS ship_date,
+  CAST(d2.full_date - d1.full_date AS BIGINT) AS days_to_ship
+FROM dim_ord2 o JOIN dim_date2 d1 ON o.order_date_id = d1.date_id JOIN dim_date2 d2 ON o.ship_date_id = d2.date_id""",
+        "same_day_orders": two + """SELECT o.order_key, d.full_date, COUNT(f.sales) AS n_lines,
+  CAST(SUM(f.sales) AS DOUBLE) AS sales
+FROM dim_ord2 o JOIN dim_date2 d ON o.order_date_id = d.date_id AND o.ship_date_id = d.date_id
+LEFT JOIN fact2 f ON f.order_id = o.order_id
+GROUP BY o.order_key, d.full_date""",
+        "location_roles": two + """SELECT ls.region AS ship_region, lh.region AS home_region, COUNT(*) AS n,
+  CAST(SUM(f.sales) AS DOUBLE) AS sales
+FROM fact2 f JOIN dim_loc2 ls ON f.location_id = ls.location_id
+JOIN dim_cust2 c ON f.customer_id = c.customer_id
+LEFT JOIN dim_loc2 lh ON c.location_id = lh.location_id
+GROUP BY ls.region, lh.region""",
+        **{f"chk_{k}": checks_sql(k) for k in ("not_null", "unique", "fk", "range", "length")},
+    }

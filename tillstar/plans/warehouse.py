@@ -45,6 +45,7 @@ class Snapshot:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     fact_rejects: DataFrame | None = None
     order_rejects: DataFrame | None = None
+    staging: dict[str, DataFrame] = field(default_factory=dict)
 
     def get(self, name: str) -> DataFrame | None:
         return self.tables.get(name)
@@ -178,7 +179,7 @@ def load_batch(prev: Snapshot | None, staging: dict[str, DataFrame]) -> Snapshot
     fc = fact_candidates(staging["stg_sales_lines"], t["dim_order"], t["dim_product"], t["dim_customer"])
     fact, fact_rej = build_facts(prev.get("fact_sales"), fc)
     t["fact_sales"] = cut_lineage(fact)
-    return Snapshot(t, fact_rejects=fact_rej, order_rejects=order_rej)
+    return Snapshot(t, fact_rejects=fact_rej, order_rejects=order_rej, staging=staging)
 
 
 def stage_batch(star: SourceStar, batch: int | None) -> dict[str, DataFrame]:

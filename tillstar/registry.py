@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
-from .plans import etl, reports
+from .plans import etl, reports, roles
 from .plans.star import SourceStar
 from .sources.tables import read_table
 
@@ -67,6 +67,9 @@ def _etl_queries() -> dict[str, Query]:
         "upsert_order": etl.q_upsert_order, "fact_replace": etl.q_fact_replace,
         "fact_rejects": etl.q_fact_rejects, "order_rejects": etl.q_order_rejects,
         "id_stability": etl.q_id_stability,
+        "loc_lookup_nullsafe": roles.q_loc_lookup_nullsafe, "date_roles": roles.q_date_roles,
+        "same_day_orders": roles.q_same_day_orders, "location_roles": roles.q_location_roles,
+        **{f"chk_{k}": roles.q_check(k) for k in ("not_null", "unique", "fk", "range", "length")},
     }
     return {k: _norm(v) for k, v in names.items()}
 
