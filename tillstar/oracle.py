@@ -139,9 +139,10 @@ ROUTER = {"route_questions": _route_sql()}
 
 
 def all_sql() -> dict[str, str]:
+    from .oracle_dash import dash_sql
     from .oracle_etl import etl_sql, roles_sql
 
     out: dict[str, str] = {}
-    for part in (REPORTS, ROUTER, etl_sql(), roles_sql()):
+    for part in (REPORTS, ROUTER, etl_sql(), roles_sql(), dash_sql()):
         out.update(part)
     return out

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
-from .plans import etl, reports, roles
+from .functions import metrics
+from .oracle_dash import M_SCALE, REGIONS, SEGMENTS, YEARS
+from .plans import dashboard, etl, reports, roles
 from .plans.star import SourceStar
 from .sources.tables import read_table
 
@@ -74,8 +76,25 @@ def _etl_queries() -> dict[str, Query]:
     return {k: _norm(v) for k, v in names.items()}
 
 
+def _dash_queries() -> dict[str, Query]:
+    d = dashboard
+    m_cuts = metrics.scale_cuts(metrics.MONETARY_MIN, M_SCALE)
+    names = {
+        "yoy_year": d.yoy_year, "yoy12": d.yoy12, "pct_diff_month": d.pct_diff_month, "cagr2": d.cagr2,
+        "sales_trends": lambda s: d.sales_trends(s, years=YEARS, regions=REGIONS, segments=SEGMENTS),
+        "cum_profit_ratio": d.cum_profit_ratio, "profit_heatmap": d.profit_heatmap,
+        "top_names": d.top_names,
+        "rfm_scores": lambda s: d.rfm_scores(s, m_cuts=m_cuts),
+        "rfm_matrix": lambda s: d.rfm_matrix(s, segments=SEGMENTS, m_cuts=m_cuts),
+        "state_city_rollup": d.state_city_rollup,
+        "snapshot_years": lambda s: d.snapshot_years(s, years=YEARS),
+    }
+    return {k: _norm(v) for k, v in names.items()}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_report_queries())
     out.update(_etl_queries())
+    out.update(_dash_queries())
     return out
