@@ -73,8 +73,9 @@ def compare(spark, con, name: str, sf_dir: str, fn, sql: str) -> dict:
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     out["values_match"] = a == b
     if not out["values_match"]:
-        diff_a = [r for r in a if r not in set(b)][:3]
-        diff_b = [r for r in b if r not in set(a)][:3]
+        sa, sb = set(a), set(b)
+        diff_a = [r for r in a if r not in sb][:3]
+        diff_b = [r for r in b if r not in sa][:3]
         out["spark_only"], out["oracle_only"] = diff_a, diff_b
     out["ok"] = out["cols_match"] and out["values_match"] and len(s_rows) == len(d_rows)
     return out

@@ -29,9 +29,14 @@ def lead_value(value: str, order, offset: int = 1, partition=None) -> Column:
 
 def prior_mean(value: str, order, rows: int | None, partition=None) -> Column:
     """Mean of the previous ``rows`` rows (current excluded); all previous rows when
-    ``rows`` is None. NULL on the first row."""
+    ``rows`` is None. NULL on the first row.
+
+    Computed as double(sum) / count: with a decimal input the sum is exact, so the mean is
+    one correctly rounded division whatever order the frame is summed in."""
     start = Window.unboundedPreceding if rows is None else -rows
-    return F.avg(value).over(_w(order, partition).rowsBetween(start, -1))
+    w = _w(order, partition).rowsBetween(start, -1)
+    n = F.count(value).over(w)
+    return F.when(n > 0, F.sum(value).over(w).cast("double") / n.cast("double"))
 
 
 def pct_diff(value: str, order, offset: int = 1, partition=None) -> Column:

@@ -139,10 +139,12 @@ ROUTER = {"route_questions": _route_sql()}
 
 
 def all_sql() -> dict[str, str]:
-    from .oracle_dash import dash_sql
+    from .oracle_dash import dash_sql, forecast_sql, profile_sql
     from .oracle_etl import etl_sql, roles_sql
 
     out: dict[str, str] = {}
     for part in (REPORTS, ROUTER, etl_sql(), roles_sql(), dash_sql()):
         out.update(part)
+    out["profile_columns"] = profile_sql()
+    out["forecast_features"] = forecast_sql()
     return out

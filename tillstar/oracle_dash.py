@@ -105,3 +105,53 @@ SELECT order_year AS year, COUNT(*) AS n_lines, COUNT(DISTINCT l_orderkey) AS n_
        COUNT(DISTINCT o_custkey) AS n_customers, COUNT(DISTINCT l_partkey) AS n_products
 FROM s GROUP BY order_year"""),
     }
+
+
+def profile_sql() -> str:
+    from .oracle_etl import single_batch_prefix, RAW_COLS
+    from .operators.profile import MISSING_MARKERS, PROFILE_NUMERIC, PROFILE_TEXT
+
+    markers = ", ".join("'" + m.replace("'", "''") + "'" for m in MISSING_MARKERS)
+    cols = ", ".join(RAW_COLS)
+    return single_batch_prefix() + f""",
+lg AS (SELECT * FROM (SELECT {cols} FROM raw0) UNPIVOT INCLUDE NULLS (value FOR column_name IN ({cols}))),
+x AS (
+  SELECT column_name, value, (value IS NULL OR value IN ({markers})) AS missing,
+         CASE WHEN value IS NULL OR value IN ({markers}) THEN NULL ELSE value END AS present
+  FROM lg),
+y AS (
+  SELECT *, CASE WHEN column_name IN {_in(PROFILE_NUMERIC)}
+                 THEN TRY_CAST(regexp_replace(present, '[$,]', '', 'g') AS DECIMAL(38,10)) END AS num
+  FROM x)
+SELECT column_name,
+  CAST(SUM(CASE WHEN missing THEN 1 ELSE 0 END) AS BIGINT) AS nulls,
+  COUNT(DISTINCT present) AS distinct_count,
+  CAST(MAX(CASE WHEN column_name IN {_in(PROFILE_TEXT)} THEN length(present) END) AS BIGINT) AS maxlen,
+  CAST(MIN(num) AS DOUBLE) AS min_value, CAST(MAX(num) AS DOUBLE) AS max_value,
+  CAST(ROUND(AVG(num), 6) AS DOUBLE) AS mean_value,
+  CAST(MAX(CASE WHEN num IS NOT NULL THEN length(regexp_extract(regexp_replace(present, '[$,]', '', 'g'),
+       '\\.(\\d+)$', 1)) END) AS BIGINT) AS max_scale
+FROM y GROUP BY column_name"""
+
+
+def forecast_sql() -> str:
+    return with_star("""
+src AS (
+  SELECT l.l_partkey AS product_id, p.product_key, p.category, o.order_date, l.sales
+  FROM line l JOIN ord o ON l.l_orderkey = o.o_orderkey LEFT JOIN prod p ON l.l_partkey = p.p_partkey),
+mo AS (
+  SELECT product_id, product_key, category, CAST(date_trunc('month', order_date) AS DATE) AS month,
+         SUM(sales) AS ms
+  FROM src WHERE product_key IS NOT NULL AND category IS NOT NULL GROUP BY 1, 2, 3, 4),
+fe AS (
+  SELECT product_id, product_key, category, month, CAST(ms AS DOUBLE) AS monthly_sales,
+    CAST(LAG(ms, 1) OVER w AS DOUBLE) AS lag_1, CAST(LAG(ms, 2) OVER w AS DOUBLE) AS lag_2,
+    CAST(LAG(ms, 3) OVER w AS DOUBLE) AS lag_3,
+    CAST(SUM(ms) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+      / CAST(COUNT(ms) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS DOUBLE) AS roll3_mean,
+    CAST(SUM(ms) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE)
+      / CAST(COUNT(ms) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS prod_mean_sales,
+    CAST(month(month) AS BIGINT) AS month_of_year,
+    CAST(LEAD(ms, 1) OVER w AS DOUBLE) AS next_month
+  FROM mo WINDOW w AS (PARTITION BY product_id ORDER BY month))
+SELECT * FROM fe WHERE lag_1 IS NOT NULL AND next_month IS NOT NULL""")

@@ -35,6 +35,11 @@ def raw_text(star: SourceStar) -> DataFrame:
     return clean.ensure_columns(clean.rename_headers(clean.trim_all(raw_lines(star))))
 
 
+def raw_text_untrimmed(star: SourceStar) -> DataFrame:
+    """All lines as the raw file reads them, under staging names (for profiling)."""
+    return clean.ensure_columns(clean.rename_headers(raw_lines(star)))
+
+
 def raw_staging(star: SourceStar) -> DataFrame:
     """Raw staging over every line, materialised once per session."""
     return _memo(star, "raw_staging", lambda: cut_lineage(extract(raw_lines(star))))

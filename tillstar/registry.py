@@ -11,7 +11,8 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from .functions import metrics
 from .oracle_dash import M_SCALE, REGIONS, SEGMENTS, YEARS
-from .plans import dashboard, etl, reports, roles
+from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
+from .plans import dashboard, etl, forecast, reports, roles
 from .plans.star import SourceStar
 from .sources.tables import read_table
 
@@ -92,9 +93,32 @@ def _dash_queries() -> dict[str, Query]:
     return {k: _norm(v) for k, v in names.items()}
 
 
+def _profile(star: SourceStar) -> DataFrame:
+    return profile_columns(etl.raw_text_untrimmed(star), PROFILE_TEXT, PROFILE_NUMERIC)
+
+
+def _forecast_scores(star: SourceStar) -> DataFrame:
+    return forecast.run(star)[1]
+
+
+def _forecast_metrics(star: SourceStar) -> DataFrame:
+    return forecast.metrics(forecast.run(star)[1])
+
+
+def _model_queries() -> dict[str, Query]:
+    names = {
+        "profile_columns": _profile,
+        "forecast_features": forecast.features,
+        "forecast_scores": _forecast_scores,
+        "forecast_metrics": _forecast_metrics,
+    }
+    return {k: _norm(v) for k, v in names.items()}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_report_queries())
     out.update(_etl_queries())
     out.update(_dash_queries())
+    out.update(_model_queries())
     return out
