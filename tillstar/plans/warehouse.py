@@ -200,3 +200,36 @@ def two_batch_run(star: SourceStar) -> tuple[Snapshot, Snapshot]:
         s2 = load_batch(s1, stage_batch(star, 2))
         _RUNS[key] = (s1, s2)
     return _RUNS[key]
+
+
+STAR_TABLES = ["dim_date", "dim_location", "dim_product", "dim_customer", "dim_order", "fact_sales"]
+
+
+def read_snapshot(spark, root: str) -> Snapshot | None:
+    """The warehouse tables under ``root``, or None for an empty warehouse."""
+    from ..sources.catalog import read_table
+
+    tables = {n: read_table(spark, root, n, optional=True) for n in STAR_TABLES}
+    if any(t is None for t in tables.values()):
+        return None
+    return Snapshot(tables)
+
+
+def write_snapshot(snap: Snapshot, root: str) -> None:
+    from ..sources.catalog import write_table
+
+    for name in STAR_TABLES:
+        write_table(snap.tables[name], root, name)
+
+
+def run_etl(raw_text: DataFrame, root: str) -> Snapshot:
+    """Whole load of one raw batch (header-named text frame, e.g. from ``read_raw_csv``)
+    onto the warehouse under ``root``: extract, stage, upsert dimensions, replace facts,
+    write the tables back. Re-running the same batch leaves the tables unchanged (apart
+    from load stamps)."""
+    spark = raw_text.sparkSession
+    prev = read_snapshot(spark, root)
+    staging = stage(cut_lineage(extract(raw_text)))
+    snap = load_batch(prev, staging)
+    write_snapshot(snap, root)
+    return snap
