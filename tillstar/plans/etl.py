@@ -30,19 +30,26 @@ def _memo(star: SourceStar, name: str, build) -> DataFrame:
     return _MEMO[key]
 
 
+def raw_file(star: SourceStar) -> DataFrame:
+    """The raw text of every line, materialised once per session: it stands in for the
+    input file, which the reference reads from disk, so cleaning queries read it instead of
+    regenerating it from the source joins."""
+    return _memo(star, "raw_file", lambda: cut_lineage(raw_lines(star)))
+
+
 def raw_text(star: SourceStar) -> DataFrame:
     """All lines as trimmed raw text under staging names."""
-    return clean.ensure_columns(clean.rename_headers(clean.trim_all(raw_lines(star))))
+    return clean.ensure_columns(clean.rename_headers(clean.trim_all(raw_file(star))))
 
 
 def raw_text_untrimmed(star: SourceStar) -> DataFrame:
     """All lines as the raw file reads them, under staging names (for profiling)."""
-    return clean.ensure_columns(clean.rename_headers(raw_lines(star)))
+    return clean.ensure_columns(clean.rename_headers(raw_file(star)))
 
 
 def raw_staging(star: SourceStar) -> DataFrame:
     """Raw staging over every line, materialised once per session."""
-    return _memo(star, "raw_staging", lambda: cut_lineage(extract(raw_lines(star))))
+    return _memo(star, "raw_staging", lambda: cut_lineage(extract(raw_file(star))))
 
 
 def staging(star: SourceStar) -> dict[str, DataFrame]:

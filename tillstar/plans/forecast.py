@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_start
 from ..operators import windows as W
+from ..session import cut_lineage
 from .star import SourceStar
 
 NUMERIC = ["lag_1", "lag_2", "lag_3", "roll3_mean", "prod_mean_sales"]
@@ -127,7 +128,9 @@ def metrics(scored: DataFrame) -> DataFrame:
 
 
 def run(star: SourceStar) -> tuple[PipelineModel, DataFrame]:
-    train, test = split_last_month(features(star))
+    # The feature table is read by several passes (split, scaling statistics, indexers,
+    # the solver); materialise it once instead of re-running the joins for each.
+    train, test = split_last_month(cut_lineage(features(star)))
     model = fit(train)
     return model, scores(model, test)
 
