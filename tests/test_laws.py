@@ -66,3 +66,16 @@ def test_pivot_heatmap(spark):
     cells = spark.createDataFrame([("E", "X", 1.0), ("E", "Y", 2.0), ("W", "X", 3.0)], "region string, category string, profit double")
     got = {r.region: (r.X, r.Y) for r in pivot_heatmap(cells, ["X", "Y"]).collect()}
     assert got == {"E": (1.0, 2.0), "W": (3.0, None)}
+
+
+def test_snapshot_written_by_year(spark, tmpdir_path):
+    from conftest import SF_SMALL
+    from tillstar.plans.dashboard import snapshot, write_snapshot
+    from tillstar.plans.star import SourceStar
+
+    s = snapshot(SourceStar(spark, SF_SMALL), years=(1996, 1997))
+    path = os.path.join(tmpdir_path, "snap")
+    write_snapshot(s.select("l_orderkey", "sales", "order_year"), path)
+    back = spark.read.parquet(path)
+    assert sorted(r[0] for r in back.select("order_year").distinct().collect()) == [1996, 1997]
+    assert back.count() == s.count()

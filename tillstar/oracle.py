@@ -139,7 +139,7 @@ ROUTER = {"route_questions": _route_sql()}
 
 
 def all_sql() -> dict[str, str]:
-    from .oracle_dash import dash_sql, forecast_sql, profile_sql
+    from .oracle_dash import dash_sql, forecast_source_sql, forecast_sql, profile_sql
     from .oracle_etl import etl_sql, roles_sql
 
     out: dict[str, str] = {}
@@ -147,4 +147,5 @@ def all_sql() -> dict[str, str]:
         out.update(part)
     out["profile_columns"] = profile_sql()
     out["forecast_features"] = forecast_sql()
+    out["forecast_source"] = forecast_source_sql()
     return out

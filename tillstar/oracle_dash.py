@@ -98,6 +98,12 @@ GROUP BY r_score, f_score"""),
         "state_city_rollup": with_star(OSALES + """
 SELECT state, city, CAST(GROUPING_ID(state, city) AS BIGINT) AS level, CAST(SUM(sales) AS DOUBLE) AS sales
 FROM v GROUP BY ROLLUP (state, city)"""),
+        "discount_trend": with_star(f"""
+y AS (SELECT o.order_year AS year, CAST(SUM(f.discount) AS DOUBLE) AS discount_sum, COUNT(p.category) AS category_count
+      FROM line f JOIN prod p ON f.l_partkey = p.p_partkey JOIN ord o ON f.l_orderkey = o.o_orderkey
+      GROUP BY o.order_year)
+SELECT year, discount_sum, category_count,
+  {_r6("AVG(discount_sum) OVER (ORDER BY year ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")} AS mavg3 FROM y"""),
         "snapshot_years": with_star(f"""
 s AS (SELECT f.l_orderkey, f.l_partkey, o.o_custkey, o.order_year FROM line f JOIN ord o ON f.l_orderkey = o.o_orderkey
       WHERE o.order_year BETWEEN {lo} AND {hi})
@@ -134,6 +140,12 @@ SELECT column_name,
 FROM y GROUP BY column_name"""
 
 
+def forecast_source_sql() -> str:
+    return with_star("""
+SELECT l.l_partkey AS product_id, p.product_key, p.category, o.order_date, CAST(l.sales AS DOUBLE) AS sales
+FROM line l JOIN ord o ON l.l_orderkey = o.o_orderkey LEFT JOIN prod p ON l.l_partkey = p.p_partkey""")
+
+
 def forecast_sql() -> str:
     return with_star("""
 src AS (

@@ -243,3 +243,18 @@ def snapshot_years(star: SourceStar, years=DEFAULT_YEARS) -> DataFrame:
         F.count_distinct("o_custkey").alias("n_customers"),
         F.count_distinct("l_partkey").alias("n_products"),
     )
+
+
+def discount_trend(star: SourceStar) -> DataFrame:
+    """E18 + F8: yearly sum of discount and count of category members (lines with a
+    category), with the 3-row moving average of the discount sum ordered by year."""
+    lines = star.lines()
+    p = star.t("part", "p_partkey", "p_type")
+    per_order = (lines.join(p, lines.l_partkey == p.p_partkey)
+                 .groupBy("l_orderkey").agg(F.sum("discount").alias("d"), F.count("p_type").alias("n")))
+    o = star.orders().select("o_orderkey", "order_year")
+    y = (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
+         .groupBy(F.col("order_year").alias("year"))
+         .agg(F.sum("d").cast("double").alias("discount_sum"), F.sum("n").alias("category_count")))
+    return y.select("year", "discount_sum", "category_count",
+                    _d_expr(W.moving_avg("discount_sum", ["year"], 3)).alias("mavg3"))

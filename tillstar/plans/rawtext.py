@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import balanced
 from .star import SourceStar, profit_expr, sales_expr
 
 BATCH1_BEFORE = "1999-01-01"
@@ -45,8 +46,8 @@ def _date_text(d: Column, selector: Column) -> Column:
 
 
 def raw_lines(star: SourceStar, batch: int | None = None) -> DataFrame:
-    li = star.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+    li = balanced(star.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")
     o = star.t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = star.t("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = star.t("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")

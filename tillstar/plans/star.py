@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..operators.joins import broadcast_if_small
-from ..sources.tables import read_table
+from ..sources.tables import balanced, read_table
 
 PRICE = DecimalType(12, 2)
 RATE = DecimalType(3, 2)
@@ -115,8 +115,8 @@ class SourceStar:
 
     def lines(self) -> DataFrame:
         """Fact grain without profit: one row per order line."""
-        li = self.t("lineitem", "l_orderkey", "l_partkey", "l_quantity",
-                    "l_extendedprice", "l_discount", "l_shipdate")
+        li = balanced(self.t("lineitem", "l_orderkey", "l_partkey", "l_quantity",
+                             "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")
         return li.select(
             "l_orderkey", "l_partkey",
             F.col("l_quantity").cast("int").alias("quantity"),

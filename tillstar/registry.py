@@ -89,6 +89,7 @@ def _dash_queries() -> dict[str, Query]:
         "rfm_matrix": lambda s: d.rfm_matrix(s, segments=SEGMENTS, m_cuts=m_cuts),
         "state_city_rollup": d.state_city_rollup,
         "snapshot_years": lambda s: d.snapshot_years(s, years=YEARS),
+        "discount_trend": d.discount_trend,
     }
     return {k: _norm(v) for k, v in names.items()}
 
@@ -108,6 +109,7 @@ def _forecast_metrics(star: SourceStar) -> DataFrame:
 def _model_queries() -> dict[str, Query]:
     names = {
         "profile_columns": _profile,
+        "forecast_source": forecast.source_rows,
         "forecast_features": forecast.features,
         "forecast_scores": _forecast_scores,
         "forecast_metrics": _forecast_metrics,
