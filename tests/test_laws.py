@@ -79,3 +79,17 @@ def test_snapshot_written_by_year(spark, tmpdir_path):
     back = spark.read.parquet(path)
     assert sorted(r[0] for r in back.select("order_year").distinct().collect()) == [1996, 1997]
     assert back.count() == s.count()
+
+
+def test_report_json_payload(spark):
+    import json
+
+    from conftest import SF_SMALL
+    from tillstar.plans import reports
+    from tillstar.plans.star import SourceStar
+
+    star = SourceStar(spark, SF_SMALL)
+    payload = json.loads(reports.report_json(star).first()["json"])
+    direct = reports.sales_by_region(star).collect()
+    assert [r["region"] for r in payload] == [r.region for r in direct][:8]
+    assert payload[0]["total_sales"] == direct[0].total_sales

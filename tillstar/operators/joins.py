@@ -17,14 +17,24 @@ from pyspark.sql import functions as F
 SMALL_DIM_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
+_SMALL: dict[tuple, bool] = {}
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_DIM_ROWS, memo_key: str | None = None) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it unchanged.
 
     The check reads at most ``max_rows + 1`` rows per partition, so it is cheap for small
     frames and bounded for large ones; beyond the bound the join stays a shuffle join.
+    With ``memo_key`` the answer is kept for the session (inputs do not change under it).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, memo_key, max_rows) if memo_key else None
+    if key is not None and key in _SMALL:
+        small = _SMALL[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _SMALL[key] = small
+    return F.broadcast(df) if small else df
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, cols: list[str],

@@ -47,7 +47,7 @@ def _date_text(d: Column, selector: Column) -> Column:
 
 def raw_lines(star: SourceStar, batch: int | None = None) -> DataFrame:
     li = balanced(star.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")
+                         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"))
     o = star.t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = star.t("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = star.t("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")

@@ -15,7 +15,7 @@ Plan shape, chosen for large data:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intent import detect_intent
@@ -181,11 +181,17 @@ def route_questions(questions: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def rows_json(df: DataFrame, n: int = 8, order_cols: list | None = None) -> DataFrame:
-    """The first ``n`` rows of an ordered report as one JSON array string."""
-    ordered = df.orderBy(*order_cols) if order_cols else df
-    top = ordered.limit(n).withColumn("_pos", F.monotonically_increasing_id())
-    return top.agg(
-        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_pos", F.struct(*df.columns).alias("row")))),
-                              lambda x: x["row"])).alias("json")
-    )
+def rows_json(df: DataFrame, order_cols: list, n: int = 8) -> DataFrame:
+    """The first ``n`` rows of a report, in report order, as one JSON array string.
+    The window numbering runs over at most ``n`` rows (after the limit)."""
+    top = df.orderBy(*order_cols).limit(n)
+    pos = F.row_number().over(Window.orderBy(*order_cols))
+    rows = top.select(pos.alias("_pos"), F.struct(*df.columns).alias("row"))
+    return rows.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "row"))),
+                                          lambda x: x["row"])).alias("json"))
+
+
+def report_json(star: SourceStar) -> DataFrame:
+    """The routed region report's payload: its first 8 rows as JSON."""
+    return rows_json(sales_by_region(star, limit=50),
+                     [F.col("total_sales").desc_nulls_first(), F.col("region").asc_nulls_last()])

@@ -60,7 +60,7 @@ class SourceStar:
     def geography(self) -> DataFrame:
         """nation x region -> location attributes; 25 rows, broadcast after a bounded count."""
         n = self.t("nation", "n_nationkey", "n_name", "n_regionkey")
-        r = broadcast_if_small(self.t("region", "r_regionkey", "r_name"))
+        r = broadcast_if_small(self.t("region", "r_regionkey", "r_name"), memo_key=f"{self.base_dir}/region")
         geo = n.join(r, n.n_regionkey == r.r_regionkey).select(
             F.col("n_nationkey").alias("nationkey"),
             F.col("n_name").alias("city"),
@@ -68,7 +68,7 @@ class SourceStar:
             postal_code_expr(F.col("n_nationkey")).alias("postal_code"),
             F.col("r_name").alias("region"),
         )
-        return broadcast_if_small(geo)
+        return broadcast_if_small(geo, memo_key=f"{self.base_dir}/geography")
 
     def customers(self) -> DataFrame:
         """customer role: c_custkey, customer_key, customer_name, segment, location columns."""
@@ -116,7 +116,7 @@ class SourceStar:
     def lines(self) -> DataFrame:
         """Fact grain without profit: one row per order line."""
         li = balanced(self.t("lineitem", "l_orderkey", "l_partkey", "l_quantity",
-                             "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")
+                             "l_extendedprice", "l_discount", "l_shipdate"))
         return li.select(
             "l_orderkey", "l_partkey",
             F.col("l_quantity").cast("int").alias("quantity"),

@@ -33,6 +33,7 @@ def _report_queries() -> dict[str, Query]:
     }
     for intent in ("sales_by_region", "monthly_trend", "top_customers", "top_products"):
         q[f"chat_{intent}"] = _star(lambda s, i=intent: reports.chat_report(s, i))
+    q["report_json"] = _star(reports.report_json)
     q["route_questions"] = lambda spark, base: reports.route_questions(
         read_table(spark, base, "conversations", "role", "text").filter(F.col("role") == "user"))
     return q

@@ -27,13 +27,14 @@ def register_views(spark: SparkSession, base_dir: str, names=SOURCE_TABLES) -> N
         read_table(spark, base_dir, name).createOrReplaceTempView(name)
 
 
-def balanced(df: DataFrame, *keys: str) -> DataFrame:
+def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan that arrived in fewer input splits than the cluster has task slots
-    (small files, or one Parquet row group) over the shuffle partitions, hash-partitioned on
-    ``keys`` so a following join or aggregate on the same keys reuses the partitioning.
-    Inputs with enough splits (any large table) pass through unchanged: no shuffle."""
+    (small files, or one Parquet row group) evenly over the shuffle partitions. Round-robin,
+    not by key: a key holding a third of the rows cannot make one partition hot, and the
+    next aggregate still combines map-side before its own shuffle. Inputs with enough
+    splits (any large table) pass through unchanged: no shuffle."""
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
