@@ -93,3 +93,19 @@ def test_report_json_payload(spark):
     direct = reports.sales_by_region(star).collect()
     assert [r["region"] for r in payload] == [r.region for r in direct][:8]
     assert payload[0]["total_sales"] == direct[0].total_sales
+
+
+def test_hot_key_survivor_is_partially_aggregated(spark):
+    from tillstar.operators.stage import first_per_key
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.format_string("%08d", F.col("id")).alias("row_id"),
+        (F.col("id") * 2).alias("v"),
+    ).repartition(8)
+    out = first_per_key(df, "k", ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan  # map-side combine before the shuffle
+    got = {r.k: r.v for r in out.collect()}
+    assert got["HOT"] == 0 and len(got) == 1 + (n - n // 3)
