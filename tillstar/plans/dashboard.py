@@ -44,21 +44,25 @@ def order_sales(star: SourceStar, with_profit: bool = False, categories: list[st
     return lines.groupBy("l_orderkey").agg(*aggs)
 
 
-def orders_view(star: SourceStar, located: bool = False, years=None, regions=None, segments=None,
-                categories=None, with_profit: bool = False) -> DataFrame:
-    """Per-order sales joined to the order role, with the dimension filters applied."""
-    o = star.orders_located() if (located or regions is not None or segments is not None) else star.orders()
-    o = o.withColumn("quarter", F.quarter("order_date").cast("long"))
+def orders_view(star: SourceStar, years=None, categories=None, with_profit: bool = False) -> DataFrame:
+    """Per-order sales joined to the order role, with the order-level filters applied."""
+    o = star.orders()
     if years is not None:
         o = o.filter(F.col("order_year").between(*years))
-    if regions is not None:
-        o = o.filter(F.col("region").isin(regions))
-    if segments is not None:
-        o = o.filter(F.col("segment").isin(segments))
     s = order_sales(star, with_profit, categories)
     return s.join(o, s.l_orderkey == o.o_orderkey)
 
 
+def customers_where(star: SourceStar, regions=None, segments=None) -> DataFrame:
+    """Customer keys passing the region (C9) and segment (C10) filters."""
+    c = star.customers()
+    if regions is not None:
+        c = c.filter(F.col("region").isin(regions))
+    if segments is not None:
+        c = c.filter(F.col("segment").isin(segments))
+    return c.select("c_custkey")
+
+
 def yearly_sales(star: SourceStar) -> DataFrame:
     return orders_view(star).groupBy("order_year").agg(F.sum("sales").cast("double").alias("sales"))
 
@@ -107,10 +111,15 @@ def sales_trends(star: SourceStar, years=DEFAULT_YEARS, regions=None, segments=N
                  categories=None) -> DataFrame:
     """Q12: three grains (quarter of year, month of year, year), each with a 3-row moving
     average, under the year / category / region / segment filters."""
-    v = orders_view(star, years=years, regions=regions, segments=segments, categories=categories)
-    # One pass over the lines to year-month sums; the three grains are re-aggregated from
-    # that small frame (decimal sums, so regrouping is exact).
-    ym = v.groupBy("order_year", "order_month").agg(F.sum("sales").alias("s"))
+    v = orders_view(star, years=years, categories=categories)
+    # Customer filters apply at customer-month grain (one row per customer and month, not
+    # per order), as a semi join on the customer key; then one small year-month frame from
+    # which the three grains are re-aggregated (decimal sums, so regrouping is exact).
+    per_cust = v.groupBy("o_custkey", "order_year", "order_month").agg(F.sum("sales").alias("s"))
+    if regions is not None or segments is not None:
+        keep = customers_where(star, regions, segments)
+        per_cust = per_cust.join(keep, per_cust.o_custkey == keep.c_custkey, "left_semi")
+    ym = per_cust.groupBy("order_year", "order_month").agg(F.sum("s").alias("s"))
 
     def grain(name, period):
         return ym.groupBy(F.lit(name).alias("grain"), period.cast("long").alias("period")).agg(F.sum("s").alias("s"))
@@ -130,8 +139,12 @@ def heatmap_cells(star: SourceStar) -> DataFrame:
     per_cat_order = (lines.join(p, lines.l_partkey == p.p_partkey)
                      .groupBy("l_orderkey", F.col("p_type").alias("category"))
                      .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")))
-    o = star.orders_located().select("o_orderkey", "region")
-    return (per_cat_order.join(o, per_cat_order.l_orderkey == o.o_orderkey)
+    o = star.orders().select("o_orderkey", "o_custkey")
+    per_cust = (per_cat_order.join(o, per_cat_order.l_orderkey == o.o_orderkey)
+                .groupBy("o_custkey", "category")
+                .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")))
+    c = star.customers().select("c_custkey", "region")
+    return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
             .groupBy("region", "category")
             .agg(F.sum("sales").cast("double").alias("sales"), F.sum("profit").cast("double").alias("profit")))
 
@@ -217,9 +230,12 @@ def rfm_matrix(star: SourceStar, segments=None, codes=DEFAULT_RFM_CODES, **score
 
 def state_city_rollup(star: SourceStar) -> DataFrame:
     """State -> city drill path with subtotals (``level`` = grouping id)."""
-    v = orders_view(star, located=True)
-    return (v.rollup("state", "city")
-            .agg(F.grouping_id().cast("long").alias("level"), F.sum("sales").cast("double").alias("sales")))
+    v = orders_view(star)
+    per_cust = v.groupBy("o_custkey").agg(F.sum("sales").alias("s"))
+    c = star.customers().select("c_custkey", "state", "city")
+    return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
+            .rollup("state", "city")
+            .agg(F.grouping_id().cast("long").alias("level"), F.sum("s").cast("double").alias("sales")))
 
 
 def snapshot(star: SourceStar, years=DEFAULT_YEARS) -> DataFrame:

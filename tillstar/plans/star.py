@@ -151,3 +151,19 @@ class SourceStar:
             F.count(F.lit(1)).alias("n_lines"),
             F.min("ship_date").alias("ship_date"),
         )
+
+    def customer_totals(self, *order_cols: str) -> DataFrame:
+        """Order totals rolled up to customer grain (optionally also by order attributes).
+
+        Region, segment, state and city are customer attributes, so reports grouped by them
+        aggregate to the customer key *before* joining the customer role: the customer join
+        then sees one row per customer (not per order), and the orders table is shuffled
+        once, on its own key. ``n_orders`` stays exact because an order has one customer.
+        """
+        per_order = self.order_totals()
+        o = self.orders().select("o_orderkey", "o_custkey", *order_cols)
+        return (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
+                .groupBy("o_custkey", *order_cols)
+                .agg(F.sum("qty").alias("qty"), F.sum("sales").alias("sales"), F.sum("profit").alias("profit"),
+                     F.sum("discount_sum").alias("discount_sum"), F.sum("n_lines").alias("n_lines"),
+                     F.count(F.lit(1)).alias("n_orders")))
