@@ -54,8 +54,10 @@ def cleaned(raw_staging: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, cols: list[str], order_col: str = "row_id") -> DataFrame:
-    """E5: one row per ``key``, the one with the smallest ``order_col``."""
-    picked = F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_r")
+    """E5: one row per ``key``, the one with the smallest ``order_col``; ties (the same row
+    id twice) are broken by the picked values themselves, so the survivor is deterministic."""
+    values = [F.col(c) for c in cols]
+    picked = F.min_by(F.struct(*values), F.struct(F.col(order_col), *values)).alias("_r")
     return df.groupBy(key).agg(picked).select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 

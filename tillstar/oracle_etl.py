@@ -134,13 +134,13 @@ st{b} AS (
 stg_loc{b} AS (SELECT DISTINCT city, state, postal_code, region FROM st{b}),
 stg_prod{b} AS (
   SELECT product_key, product_name, category, sub_category FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY product_key ORDER BY row_id) AS rn FROM st{b}) WHERE rn = 1),
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY product_key ORDER BY row_id, product_name NULLS FIRST, category NULLS FIRST, sub_category NULLS FIRST) AS rn FROM st{b}) WHERE rn = 1),
 stg_cust{b} AS (
   SELECT customer_key, customer_name, segment, city, state, postal_code, region FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_key ORDER BY row_id) AS rn FROM st{b}) WHERE rn = 1),
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_key ORDER BY row_id, customer_name NULLS FIRST, segment NULLS FIRST, city NULLS FIRST, state NULLS FIRST, postal_code NULLS FIRST, region NULLS FIRST) AS rn FROM st{b}) WHERE rn = 1),
 stg_ord{b} AS (
   SELECT order_key, order_date, ship_date, ship_mode, city, state, postal_code, region FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY order_key ORDER BY row_id) AS rn FROM st{b}) WHERE rn = 1),
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY order_key ORDER BY row_id, order_date NULLS FIRST, ship_date NULLS FIRST, ship_mode NULLS FIRST, city NULLS FIRST, state NULLS FIRST, postal_code NULLS FIRST, region NULLS FIRST) AS rn FROM st{b}) WHERE rn = 1),
 stg_lines{b} AS (
   SELECT row_id, order_key, product_key, customer_key, quantity, sales, discount, profit FROM st{b})"""
 
@@ -188,7 +188,7 @@ dim_ord1 AS (
   FROM ordc1 WHERE order_date_id IS NOT NULL AND ship_date_id IS NOT NULL),
 {fact_cte('1', 'dim_ord1', 'dim_prod1', 'dim_cust1')},
 fact1 AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY row_id) AS sales_id, * EXCLUDE (reject_reason, row_id)
+  SELECT ROW_NUMBER() OVER (ORDER BY row_id, order_id NULLS FIRST, product_id NULLS FIRST, customer_id NULLS FIRST, location_id NULLS FIRST, quantity NULLS FIRST, sales NULLS FIRST, unit_price NULLS FIRST, discount NULLS FIRST, profit NULLS FIRST) AS sales_id, * EXCLUDE (reject_reason, row_id)
   FROM factc1 WHERE reject_reason IS NULL)"""
 
 
@@ -288,7 +288,7 @@ dim_ord2 AS (
   FROM inord2 WHERE order_key NOT IN (SELECT order_key FROM dim_ord1)),
 {fact_cte('2', 'dim_ord2', 'dim_prod2', 'dim_cust2')},
 newfact2 AS (
-  SELECT (SELECT max(sales_id) FROM fact1) + ROW_NUMBER() OVER (ORDER BY row_id) AS sales_id,
+  SELECT (SELECT max(sales_id) FROM fact1) + ROW_NUMBER() OVER (ORDER BY row_id, order_id NULLS FIRST, product_id NULLS FIRST, customer_id NULLS FIRST, location_id NULLS FIRST, quantity NULLS FIRST, sales NULLS FIRST, unit_price NULLS FIRST, discount NULLS FIRST, profit NULLS FIRST) AS sales_id,
          * EXCLUDE (reject_reason, row_id)
   FROM factc2 WHERE reject_reason IS NULL),
 fact2 AS (

@@ -142,6 +142,10 @@ def fact_candidates(stg_lines: DataFrame, dim_order: DataFrame, dim_product: Dat
     )
 
 
+FACT_ORDER = ["order_id", "product_id", "customer_id", "location_id", "quantity", "sales", "unit_price",
+              "discount", "profit"]
+
+
 def reject_reason():
     expr = None
     for reason, cond in fact_rules():
@@ -156,7 +160,9 @@ def build_facts(existing: DataFrame | None, candidates: DataFrame) -> tuple[Data
     marked = candidates.withColumn("reject_reason", reject_reason())
     rejected = marked.filter(F.col("reject_reason").isNotNull())
     accepted = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    accepted = number_rows(accepted, ["row_id"], "sales_id", start=max_id(existing, "sales_id"))
+    # row_id first; the other columns only order rows that share a row id (identical rows
+    # may take either id).
+    accepted = number_rows(accepted, ["row_id"] + FACT_ORDER, "sales_id", start=max_id(existing, "sales_id"))
     accepted = accepted.select(
         "sales_id", "order_id", "product_id", "customer_id", "location_id",
         F.col("quantity").cast("short").alias("quantity"), "sales", "unit_price", "discount", "profit",
