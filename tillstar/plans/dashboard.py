@@ -46,9 +46,7 @@ def order_sales(star: SourceStar, with_profit: bool = False, categories: list[st
 
 def orders_view(star: SourceStar, years=None, categories=None, with_profit: bool = False) -> DataFrame:
     """Per-order sales joined to the order role, with the order-level filters applied."""
-    o = star.orders()
-    if years is not None:
-        o = o.filter(F.col("order_year").between(*years))
+    o = star.orders(years)
     s = order_sales(star, with_profit, categories)
     return s.join(o, s.l_orderkey == o.o_orderkey)
 
@@ -241,7 +239,7 @@ def state_city_rollup(star: SourceStar) -> DataFrame:
 def snapshot(star: SourceStar, years=DEFAULT_YEARS) -> DataFrame:
     """A10: the star's lines with order attributes, restricted to a year range."""
     lines = star.lines()
-    o = star.orders().filter(F.col("order_year").between(*years))
+    o = star.orders(years)
     return lines.join(o, lines.l_orderkey == o.o_orderkey)
 
 

@@ -81,9 +81,15 @@ class SourceStar:
             "city", "state", "postal_code", "region",
         )
 
-    def orders(self) -> DataFrame:
-        """order role without customer attributes."""
+    def orders(self, years: tuple[int, int] | None = None) -> DataFrame:
+        """order role without customer attributes; ``years`` keeps orders dated in that
+        inclusive year range, written as a range on the stored column so Parquet can skip
+        row groups (a filter on ``year(...)`` could not be pushed into the scan)."""
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        if years is not None:
+            lo, hi = years
+            o = o.filter((F.col("o_orderdate") >= F.lit(f"{lo:04d}-01-01").cast("timestamp"))
+                         & (F.col("o_orderdate") < F.lit(f"{hi + 1:04d}-01-01").cast("timestamp")))
         d = F.col("o_orderdate").cast("date")
         return o.select(
             "o_orderkey", "o_custkey",
