@@ -37,8 +37,11 @@ def number_rows(df: DataFrame, order_cols: list[str], id_col: str, start: int =
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(c).asc_nulls_first() for c in order_cols]
+    # Range partitioning runs its input twice (a sampling pass for the bounds, then the
+    # shuffle); reading a materialised input keeps the upstream joins to one run.
+    rows = cut_lineage(df)
     numbered = cut_lineage(
-        df.repartitionByRange(n_parts, *sort_cols)
+        rows.repartitionByRange(n_parts, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
