@@ -61,7 +61,7 @@ STAR = {
     "dim_product": DIM_PRODUCT, "dim_order": DIM_ORDER, "fact_sales": FACT_SALES,
 }
 STAGING = {
-    "stg_superstore_raw": RAW_STAGING, "stg_dim_location": STG_DIM_LOCATION,
+    "stg_raw_lines": RAW_STAGING, "stg_dim_location": STG_DIM_LOCATION,
     "stg_dim_product": STG_DIM_PRODUCT, "stg_dim_customer": STG_DIM_CUSTOMER,
     "stg_orders": STG_ORDERS, "stg_sales_lines": STG_SALES_LINES,
 }
