@@ -416,6 +416,11 @@ def checks_sql(kind: str) -> str:
             for c, n in spec[kind].items():
                 parts.append(f"SELECT '{table}' AS table_name, 'length({c})<={n}' AS rule, "
                              f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM {t}")
+        elif kind == "numeric":
+            for c, (pr, sc) in spec[kind].items():
+                parts.append(f"SELECT '{table}' AS table_name, 'numeric({c},{pr},{sc})' AS rule, "
+                             f"CAST(COUNT(*) FILTER (WHERE {c} IS NOT NULL AND "
+                             f"TRY_CAST(ROUND({c}, {sc}) AS DECIMAL({pr},{sc})) IS NULL) AS BIGINT) AS violations FROM {t}")
         elif kind == "unique":
             for keys in spec[kind]:
                 k = ", ".join(keys)
@@ -449,4 +454,5 @@ JOIN dim_cust2 c ON f.customer_id = c.customer_id
 LEFT JOIN dim_loc2 lh ON c.location_id = lh.location_id
 GROUP BY ls.region, lh.region""",
         **{f"chk_{k}": checks_sql(k) for k in ("not_null", "unique", "fk", "range", "length")},
+        "chk_precision": checks_sql("numeric"),
     }

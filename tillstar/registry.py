@@ -74,6 +74,7 @@ def _etl_queries() -> dict[str, Query]:
         "loc_lookup_nullsafe": roles.q_loc_lookup_nullsafe, "date_roles": roles.q_date_roles,
         "same_day_orders": roles.q_same_day_orders, "location_roles": roles.q_location_roles,
         **{f"chk_{k}": roles.q_check(k) for k in ("not_null", "unique", "fk", "range", "length")},
+        "chk_precision": roles.q_check("numeric"),
     }
     return {k: _norm(v) for k, v in names.items()}
 

@@ -106,5 +106,6 @@ CONSTRAINTS = {
                ("customer_id", "dim_customer", "customer_id"),
                ("location_id", "dim_location", "location_id")],
         "range": {"quantity": (1, None), "sales": (0, None), "discount": (0, 1)},
+        "numeric": {"sales": (12, 4), "unit_price": (12, 4), "discount": (3, 2), "profit": (12, 4)},
     },
 }
