@@ -455,4 +455,37 @@ LEFT JOIN dim_loc2 lh ON c.location_id = lh.location_id
 GROUP BY ls.region, lh.region""",
         **{f"chk_{k}": checks_sql(k) for k in ("not_null", "unique", "fk", "range", "length")},
         "chk_precision": checks_sql("numeric"),
+        **star_reports_sql(),
+    }
+
+
+def star_reports_sql() -> dict[str, str]:
+    """The five reports written the reference's way: facts joined to dimensions, then grouped."""
+    two = pipeline("12")
+    return {
+        "wh_sales_by_region": two + """SELECT l.region, COUNT(DISTINCT o.order_id) AS orders,
+  CAST(SUM(f.quantity) AS BIGINT) AS total_qty, CAST(ROUND(SUM(f.sales), 2) AS DOUBLE) AS total_sales,
+  CAST(ROUND(SUM(f.profit), 2) AS DOUBLE) AS total_profit,
+  CAST(ROUND(100 * SUM(f.profit) / NULLIF(SUM(f.sales), 0), 2) AS DOUBLE) AS profit_margin_pct
+FROM fact2 f JOIN dim_loc2 l ON f.location_id = l.location_id JOIN dim_ord2 o ON f.order_id = o.order_id
+GROUP BY l.region ORDER BY total_sales DESC""",
+        "wh_monthly_trend": two + """SELECT CAST(o.order_year AS BIGINT) AS order_year, CAST(o.order_month AS BIGINT) AS order_month,
+  CAST(SUM(f.sales) AS DOUBLE) AS month_sales, CAST(SUM(f.profit) AS DOUBLE) AS month_profit,
+  COUNT(DISTINCT o.order_id) AS orders_count
+FROM fact2 f JOIN dim_ord2 o ON f.order_id = o.order_id GROUP BY 1, 2 ORDER BY 1, 2""",
+        "wh_top_customers": two + """SELECT c.customer_key, c.customer_name, COUNT(DISTINCT o.order_id) AS orders_count,
+  CAST(SUM(f.sales) AS DOUBLE) AS total_sales, CAST(SUM(f.profit) AS DOUBLE) AS total_profit
+FROM fact2 f JOIN dim_cust2 c ON f.customer_id = c.customer_id JOIN dim_ord2 o ON f.order_id = o.order_id
+GROUP BY c.customer_key, c.customer_name ORDER BY SUM(f.sales) DESC, c.customer_key LIMIT 10""",
+        "wh_top_products": two + """SELECT p.product_key, p.product_name, p.category, p.sub_category,
+  CAST(SUM(f.sales) AS DOUBLE) AS total_sales, CAST(SUM(f.profit) AS DOUBLE) AS total_profit,
+  CAST(SUM(f.quantity) AS BIGINT) AS total_qty
+FROM fact2 f JOIN dim_prod2 p ON f.product_id = p.product_id
+GROUP BY p.product_key, p.product_name, p.category, p.sub_category
+ORDER BY SUM(f.profit) DESC, p.product_key LIMIT 10""",
+        "wh_by_ship_mode": two + """SELECT o.ship_mode, CAST(SUM(f.sales) AS DOUBLE) AS total_sales,
+  CAST(SUM(f.profit) AS DOUBLE) AS total_profit,
+  CAST(ROUND(SUM(f.discount) / COUNT(*), 6) AS DOUBLE) AS avg_discount,
+  COUNT(DISTINCT o.order_id) AS orders_count
+FROM fact2 f JOIN dim_ord2 o ON f.order_id = o.order_id GROUP BY o.ship_mode ORDER BY total_sales DESC""",
     }

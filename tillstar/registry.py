@@ -12,7 +12,8 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 from .functions import metrics
 from .oracle_dash import M_SCALE, REGIONS, SEGMENTS, YEARS
 from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
-from .plans import dashboard, etl, forecast, reports, roles
+from .plans import dashboard, etl, forecast, reports, roles, star_reports
+from .plans.warehouse import two_batch_run
 from .plans.star import SourceStar
 from .sources.tables import read_table
 
@@ -75,6 +76,7 @@ def _etl_queries() -> dict[str, Query]:
         "same_day_orders": roles.q_same_day_orders, "location_roles": roles.q_location_roles,
         **{f"chk_{k}": roles.q_check(k) for k in ("not_null", "unique", "fk", "range", "length")},
         "chk_precision": roles.q_check("numeric"),
+        **{f"wh_{k}": (lambda star, f=f: f(two_batch_run(star)[1].tables)) for k, f in star_reports.REPORTS.items()},
     }
     return {k: _norm(v) for k, v in names.items()}
 
