@@ -4,8 +4,9 @@ Order of a batch: dates, locations, products, customers (need location ids), ord
 date and location ids; orders without both dates are rejected), then facts (need order,
 product and customer ids; rows failing the fact rules are rejected with a reason).
 
-Each table of the resulting snapshot is checkpointed to the shared checkpoint folder, so a
-second batch starts from materialised tables instead of the first batch's whole lineage.
+Upsert key joins and id numberings are checkpointed to the shared checkpoint folder, so each
+table of a snapshot is a union of materialised parts and a second batch starts from short
+lineages instead of the first batch's whole plan.
 """
 
 from __future__ import annotations
