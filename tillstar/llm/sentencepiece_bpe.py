@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, per_worker
+from .common import TwoGenerations, per_worker, ship
 
 MARK = "▁"
 MEMO_CHUNKS = 250_000
@@ -217,6 +217,8 @@ class Encoder:
 class Decoder:
     def __init__(self, vocab: Vocabulary):
         self.raw = [p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p in vocab.pieces]
+        # A control id ends a run of bytes: this byte, never valid, sends its text to the slower path.
+        self.raw = [r or b"\xff" for r in self.raw]
         self.raw[vocab.unknown_id] = " ⁇ ".encode()
         self.marked = [p.startswith(MARK) for p in vocab.pieces]
         self.byte = {i: bytes([b]) for b, i in enumerate(vocab.byte_ids)}
@@ -229,7 +231,7 @@ class Decoder:
             text = joined.decode("utf-8")
         except UnicodeDecodeError:
             text = self._with_bad_bytes(ids)
-        first = next((i for i in ids if self.raw[i]), None)
+        first = next((i for i in ids if self.raw[i] != b"\xff" or i in self.byte), None)
         return text[1:] if first is not None and self.marked[first] else text
 
     def _with_bad_bytes(self, ids: list[int]) -> str:
@@ -250,7 +252,7 @@ class Decoder:
                     out.append("�")
                 run = run[size:]
             if i is not None:
-                out.append(self.raw[i].decode("utf-8", "replace"))
+                out.append("" if self.raw[i] == b"\xff" else self.raw[i].decode("utf-8"))
         return "".join(out)
 
 
@@ -259,7 +261,7 @@ class SentencePieceBpe:
 
     def __init__(self, spark: SparkSession, model_path: str):
         self.vocab = read_vocabulary(model_path)
-        self.shared = spark.sparkContext.broadcast(self.vocab)  # a vocabulary, fixed by the model
+        self.shared = ship(spark).sparkContext.broadcast(self.vocab)  # a vocabulary, fixed by the model
         self.key = uuid.uuid4().hex
 
     def encode(self, df: DataFrame, text_col: str = "text", out: str = "ids") -> DataFrame:
