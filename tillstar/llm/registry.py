@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, shared_path
 from .sentencepiece_bpe import SentencePieceBpe
+from .wavelet_shards import read_documents, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,8 +38,15 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256("decoded").alias("decoded_sha256"))
 
 
+def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every text's ids as wavelet shards in the shared folder, and read them back."""
+    path = shared_path(spark, "wavelet")
+    write_shards(documents(spark, sf_dir), path, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return read_documents(spark, path, crc_only=True)
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_sentencepiece": op4_sentencepiece}
+    return {"op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet}
 
 
 def oracle_sql() -> dict[str, str]:
