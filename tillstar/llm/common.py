@@ -34,10 +34,14 @@ def fold(doc_id: Column | str, modulus: int) -> Column:
 
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give Python workers this package (a few small files), once per application."""
+    """Give Python workers this package (a few small files), once per application; and let Arrow
+    batches hold at most 1,000 rows in this session, because texts are long."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= 1000:
+        spark.conf.set(BATCH_ROWS, "1000")
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -53,6 +57,15 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sampled(df: DataFrame, id_col: str, docs: int) -> DataFrame:
+    """About ``docs`` rows (all, if there are fewer), chosen by a hash of the id: the same rows each time."""
+    n = df.count()
+    if n <= docs:
+        return df
+    bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
+    return df.where(bucket < F.lit(int(docs / n * (1 << 20))))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that ``spark.checkpoint.dir`` names."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -74,6 +87,12 @@ def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text_col).cast("long")).alias("b")).first()["b"] or 0
 
 
+def slices(batch, rows: int = 128):
+    """An Arrow batch or array in short slices, so that few of its texts are Python objects at once."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 class TwoGenerations(dict):
     """A bounded memo of a pure function: ``compute`` fills misses; when ``limit`` entries are
     held, they become the older generation, from which entries still in use are taken over."""

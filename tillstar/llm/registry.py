@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, shared_path
+from . import language_id, quality_rules
+from .common import documents, fold, shared_path
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
 
@@ -28,6 +29,21 @@ def sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every text against references counted over all documents."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    judged = quality_rules.judge(docs.select("doc_id", "text"), quality_rules.learn_references(docs))
+    return judged.select("doc_id", *(f"rules.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from four folds of five, predict every text."""
+    model = language_id.learn(documents(spark, sf_dir, "doc_id", "text", "lang"), fold("doc_id", 5) != 0)
+    found = language_id.identify(documents(spark, sf_dir), model)
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; the ids and the decoded text as digests."""
     bpe = SentencePieceBpe(spark, tokenizer_path("piece_bpe_32k.model"))
@@ -46,7 +62,7 @@ def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet}
+    return {"op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, per_worker, ship
+from .common import TwoGenerations, per_worker, ship, slices
 
 MARK = "▁"
-MEMO_CHUNKS = 250_000
-MEMO_PAIRS = 1_000_000
+MEMO_CHUNKS = 120_000
+MEMO_PAIRS = 200_000
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
 PROBES = ("", " ", "a", " a", "a  b", "a\nb", "\ta b ", f"{MARK}a", "héllo wörld", "中文 x",
           "\U0001f600\U0001f601", "<s> </s> <0x0A>", "the  quick   brown    fox", "\x00", "ab" * 40, " " * 37)
@@ -198,7 +199,7 @@ class Encoder:
             yield chunk[start:]
 
     def _chunk_bytes(self, rest: str) -> bytes:
-        return np.array(self.encode_chunk(MARK + rest), np.int32).tobytes()
+        return array("i", self.encode_chunk(MARK + rest)).tobytes()
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -271,7 +272,7 @@ class SentencePieceBpe:
         def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = per_worker(f"encode-{key}", lambda: Encoder(shared.value))
             for texts in batches:
-                ids = [encoder.encode_bytes(t) for t in texts.to_pylist()]
+                ids = [encoder.encode_bytes(t) for part in slices(texts) for t in part.to_pylist()]
                 offsets = np.zeros(len(ids) + 1, np.int64)
                 np.cumsum([len(b) >> 2 for b in ids], out=offsets[1:])
                 values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
@@ -286,6 +287,8 @@ class SentencePieceBpe:
         def decode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             decoder = per_worker(f"decode-{key}", lambda: Decoder(shared.value))
             for lists in batches:
-                yield pa.array([decoder.decode(ids or []) for ids in lists.to_pylist()], pa.string())
+                offsets = lists.offsets.to_numpy() if len(lists) else np.zeros(1, np.int32)
+                flat = lists.values.to_numpy()
+                yield pa.array([decoder.decode(flat[a:b].tolist()) for a, b in zip(offsets, offsets[1:])], pa.string())
 
         return df.withColumn(out, F.arrow_udf(decode_batches, "string")(F.col(ids_col)))
