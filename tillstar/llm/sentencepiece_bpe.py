@@ -120,6 +120,7 @@ class Encoder:
             self.automaton.add_word(piece, (vocab.ids[piece], len(piece)))
         self.automaton.make_automaton()
         self.alphabet = frozenset(p for p in vocab.ids if len(p) == 1)
+        self.joints = frozenset(p[i:i + 2] for p in vocab.ids for i in range(len(p) - 1))
         self.pairs: dict[int, bool] = {}
         self.chunks = TwoGenerations(self._chunk_bytes, MEMO_CHUNKS)
 
@@ -199,6 +200,9 @@ class Encoder:
             yield chunk[start:]
 
     def _chunk_bytes(self, rest: str) -> bytes:
+        # No piece holds the last two characters side by side: the last one is a token of its own.
+        if len(rest) > 1 and rest[-2:] not in self.joints and rest[-1] in self.alphabet and rest[-2] in self.alphabet:
+            return self.chunks[rest[:-1]] + array("i", [self.vocab.ids[rest[-1]]]).tobytes()
         return array("i", self.encode_chunk(MARK + rest)).tobytes()
 
     def encode_bytes(self, text: str | None) -> bytes:

@@ -30,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import per_worker, ship, text_bytes
+from .common import per_worker, ship, slices, text_bytes
 
 MAGIC = b"WMX1"
 HEADER = struct.Struct("<4sBIQ")  # magic, planes, documents, tokens
 BLOCK = 512  # bits for each entry of a rank directory
-MEMO_CHUNKS = 150_000
-UNSAFE_SPACE = re.compile(r"^ | $|\s | \s")
+MEMO_PIECES = 250_000
+OTHER_BLANK = re.compile(r"[^\S \n]")
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
@@ -180,72 +180,91 @@ def unpack_shard(payload: bytes) -> tuple[list[int | None], np.ndarray, WaveletM
 
 
 class ByteBpe:
-    """Encoding with the tokenizers library. A space between two non-space characters always
-    starts a pre-token, so texts are cut there and the pieces' ids memoised (bounded)."""
+    """Encoding with the tokenizers library, pieces memoised (bounded, two generations).
+
+    A space between two non-space characters always starts a pre-token, and a single line break between
+    them is one, so texts are cut there and a piece's ids do not depend on its neighbours. A piece of
+    letters is one pre-token, and so is a stop after it; these skip the pre-tokenizer's pattern, several
+    pieces to a call, and are told apart by the tokens that open with a space. Any other piece goes
+    through the whole tokenizer, and so do texts with a null character, the marker used here."""
+
+    FIRST = "\0"  # marks a text's first piece, which has no space before it
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.whole = Tokenizer.from_str(definition)
+        self.pieces = Tokenizer.from_str(definition)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit("\n"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for piece, i in vocabulary.items() if piece.startswith("Ġ")]] = True
+        self.stops = dict(zip(".,;:!?", self._whole(list(".,;:!?"))))
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Memoise pieces without spaces, each as it is encoded after a space: several are encoded
-        as one text and told apart by the tokens that open with a space."""
-        if len(self.memo) + len(pieces) > MEMO_CHUNKS:
-            self.older, self.memo = self.memo, {}
-        groups = [pieces[i:i + 16] for i in range(0, len(pieces), 16)]
-        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) == len(group) and starts[0] == 0:
-                cut = [ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)])]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, missing: set[str]) -> None:
+        stems, stopped, odd = set(), [], []
+        for p in missing:
+            bare = p[1:] if p[0] == self.FIRST else p
+            if bare.isalpha():
+                stems.add(p)
+            elif bare[-1:] in self.stops and bare[:-1].isalpha():
+                stopped.append(p)
+                if p[:-1] not in self.memo:
+                    stems.add(p[:-1])
             else:
-                cut = self._ids([" " + p for p in group])
-            self.memo.update(zip(group, (c.tobytes() for c in cut)))
+                odd.append(p)
+        keys = list(stems)
+        # A first piece is encoded behind a space on its own, whose token is cut off again.
+        plain = [" \n" + p[1:] if p[0] == self.FIRST else " " + p for p in keys]
+        joined = ["\n".join(plain[i:i + 64]) for i in range(0, len(plain), 64)]
+        for k, encoded in enumerate(self.pieces.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(encoded.ids, np.uint32)
+            starts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            raw = ids.tobytes()
+            group = keys[64 * k:64 * k + 64]
+            if len(starts) != len(group):
+                raise ValueError("a token other than a piece's first opens with a space")
+            self.memo.update(zip(group, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)]))))
+        for p in keys:
+            if p[0] == self.FIRST:
+                self.memo[p] = self.memo[p][4:]
+        for p in stopped:
+            self.memo[p] = self.memo[p[:-1]] + self.stops[p[-1]]
+        self.memo.update(zip(odd, self._whole([
+            p if p == "\n" else p[1:] if p[0] == self.FIRST else " " + p for p in odd])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = []
-        for text in texts:
-            if not text:
+        cut, nulls = [], {}
+        for k, text in enumerate(texts):
+            if not text or self.FIRST in text:
                 cut.append([])
-            elif UNSAFE_SPACE.search(text):
-                cut.append(SAFE_SPACE.split(text))
+                if text:
+                    nulls[k] = self._whole([text])[0]
+            elif (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n " in text or " \n" in text
+                  or "\n\n" in text or OTHER_BLANK.search(text)):
+                pieces = SAFE_SPACE.split(text)
+                pieces[0] = self.FIRST + pieces[0]
+                cut.append(pieces)
             else:
-                cut.append(text.split(" "))
-        single = [c[0] for c in cut if c]
-        rest = {p for c in cut for p in c[1:]}
-        inner = [p for p in rest if " " in p]
-        rest.difference_update(inner)
-        missing = []
-        for p in rest:
-            if p not in self.memo:
-                if p in self.older:
-                    self.memo[p] = self.older[p]
-                else:
-                    missing.append(p)
-        kept = {p: self.memo[p] for p in rest if p in self.memo} if len(self.memo) + len(missing) > MEMO_CHUNKS else {}
-        self._learn(missing)
-        self.memo.update(kept)
-        odd = dict(zip(inner, (i.tobytes() for i in self._ids([" " + p for p in inner]))))
-        first = iter(self._ids(single))
-        out = []
-        for c in cut:
-            if not c:
-                out.append(b"")
-                continue
-            head = next(first).tobytes()
-            get = self.memo.__getitem__ if not odd else lambda p: odd[p] if p in odd else self.memo[p]
-            out.append(head + b"".join(map(get, c[1:])))
+                cut.append((self.FIRST + text.replace("\n", " \n " + self.FIRST)).split(" "))
+        if len(self.memo) > MEMO_PIECES:
+            self.older, self.memo = self.memo, {}
+        missing = set().union(*cut).difference(self.memo)
+        for p in missing.intersection(self.older):
+            self.memo[p] = self.older[p]
+        self._learn(missing.difference(self.memo))
+        get = self.memo.__getitem__
+        out = [b"".join(map(get, pieces)) for pieces in cut]
+        for k, ids in nulls.items():
+            out[k] = ids
         return out
 
 
@@ -281,8 +300,7 @@ def write_shards(df: DataFrame, path: str, tokenizer_path: str, end_id: int, tex
                  "payload": pa.array([pack_shard(docs, lengths, ids, levels)], pa.binary())})
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for some in slices(batch, 512):
                 for doc, ids in zip(some.column(0).to_pylist(), bpe.encode(some.column(1).to_pylist())):
                     ids += end
                     if docs and tokens + len(ids) // 4 > shard_tokens:
