@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_rules
-from .common import documents, fold, shared_path
+from . import language_id, quality_classifier, quality_rules, toxicity
+from .common import documents, fold, labels, shared_path, stored
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
 
@@ -29,6 +29,27 @@ def sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def predicted():
+    return (F.col("score") >= 0.3).cast("int").alias("predicted")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from three folds of four, score every text."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(docs, labels(spark, sf_dir, "toxic").where(fold("doc_id", 4) != 2))
+    scored = toxicity.add_evidence(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "evidence.score")
+    return scored.select("*", predicted())
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measure every text once, learn from four folds of five, score every text."""
+    stats = stored(quality_classifier.add_statistics(documents(spark, sf_dir)).select("doc_id", "stats"), "quality-statistics")
+    learn_from = labels(spark, sf_dir, "quality").where(fold("doc_id", 5) != 0)
+    model = quality_classifier.fit(stats.join(learn_from, "doc_id"))
+    scored = quality_classifier.score(stats, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score")
+    return scored.select("*", predicted())
+
+
 def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every text against references counted over all documents."""
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -62,7 +83,7 @@ def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet}
+    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet}
 
 
 def oracle_sql() -> dict[str, str]:
