@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_classifier, quality_rules, toxicity
+from . import language_id, multiset_hash, quality_classifier, quality_rules, toxicity
 from .common import documents, fold, labels, shared_path, stored
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
@@ -82,8 +82,28 @@ def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, crc_only=True)
 
 
+def op8_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every text, its edited text and the next document's text."""
+    rows = multiset_hash.with_next(documents(spark, sf_dir))
+    n, moved = F.length("text").cast("long"), F.floor(F.length("text") / 4).cast("int")
+    edited = F.concat(F.left("text", F.length("text") - moved), F.left("next_text", moved))
+    rows = rows.select("place", F.col("key").alias("doc_id"), n.alias("n_chars"), edited.alias("edited"), "text", "next_text")
+    rows = rows.withColumn("edited_sha256", sha256("edited"))
+    own = ["place", "doc_id", "n_chars", "edited_sha256"]
+    texts = rows.select(*own, F.posexplode(F.array("text", "edited", "next_text")).alias("which", "t"))
+    found = multiset_hash.add_fingerprints(texts, [*own, "which"], "t")
+    lanes = F.struct("uniform", "signs", "fingerprint")
+    one = found.groupBy(*own).agg(*(F.first(F.when(F.col("which") == k, lanes), ignorenulls=True).alias(name)
+                                    for k, name in enumerate(("own", "edited", "next"))))
+    return one.select("doc_id", "n_chars", "edited_sha256", F.col("own.fingerprint").alias("fingerprint"),
+                      F.col("edited.fingerprint").alias("edited_fingerprint"),
+                      multiset_hash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+                      multiset_hash.likeness(F.col("own"), F.col("next")).alias("near_next"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet}
+    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet,
+            "op8_multiset": op8_multiset}
 
 
 def oracle_sql() -> dict[str, str]:
