@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, multiset_hash, quality_classifier, quality_rules, toxicity
+from . import language_id, license_scan, mixing, multiset_hash, quality_classifier, quality_rules, toxicity
 from .common import documents, fold, labels, shared_path, stored
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
@@ -82,6 +82,12 @@ def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, crc_only=True)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents: each row of the mixture with its epoch and block."""
+    mixed = mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", F.col("mix.epoch").cast("long").alias("epoch"), F.col("mix.block").cast("long").alias("block"))
+
+
 def op8_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every text, its edited text and the next document's text."""
     rows = multiset_hash.with_next(documents(spark, sf_dir))
@@ -101,9 +107,18 @@ def op8_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
                       multiset_hash.likeness(F.col("own"), F.col("next")).alias("near_next"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan every text for licence notices: how many, which, and the best score."""
+    found = license_scan.scan(documents(spark, sf_dir), ["doc_id"])
+    scores = F.transform("licenses", lambda x: x["score"])
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+                        F.array_join(F.transform("licenses", lambda x: x["license"]), ",").alias("licenses"),
+                        F.round(F.coalesce(F.array_max(scores), F.lit(0.0)), 6).alias("best_score"))
+
+
 def queries() -> dict[str, Query]:
     return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet,
-            "op8_multiset": op8_multiset}
+            "op7_mixing": op7_mixing, "op8_multiset": op8_multiset, "op9_licenses": op9_licenses}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -35,7 +35,7 @@ from .common import per_worker, ship, slices, text_bytes
 MAGIC = b"WMX1"
 HEADER = struct.Struct("<4sBIQ")  # magic, planes, documents, tokens
 BLOCK = 512  # bits for each entry of a rank directory
-MEMO_PIECES = 250_000
+MEMO_PIECES = 500_000
 OTHER_BLANK = re.compile(r"[^\S \n]")
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, payload binary"
