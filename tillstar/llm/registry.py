@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, mixing, multiset_hash, quality_classifier, quality_rules, toxicity
+from . import language_id, license_scan, mixing, multiset_hash, ngram_join, quality_classifier, quality_rules, toxicity
 from .common import documents, fold, labels, shared_path, stored
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
@@ -116,9 +116,16 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round(F.coalesce(F.array_max(scores), F.lit(0.0)), 6).alias("best_score"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and near-duplicate component."""
+    return ngram_join.components(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Query]:
     return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet,
-            "op7_mixing": op7_mixing, "op8_multiset": op8_multiset, "op9_licenses": op9_licenses}
+            "op7_mixing": op7_mixing, "op8_multiset": op8_multiset, "op9_licenses": op9_licenses,
+            "op10_ngram_join": op10_ngram_join}
 
 
 def oracle_sql() -> dict[str, str]:
