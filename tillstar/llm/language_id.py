@@ -7,9 +7,9 @@ change of language then labels all words; runs of one label are the spans. Most
 language, and for them the pass isn't walked: if no stretch of words gains more by another label than
 the switches into and out of it cost, the constant path is the best one, which prefix sums show at once.
 
-``lang_pred`` is the language that labels most words (ties: the first by name); ``score`` is its share
-of the labelled words times its posterior probability over the whole text's word scores. Null texts and texts without a letter get
-``und`` and 0; so does everything when nothing could be learned. Repeated rows get equal results. A
+``lang_pred`` is the language that labels most words (ties: the first by name); ``score`` is its share of the
+words times its posterior probability over the scores of those words. Null texts and texts without a letter
+get ``und`` and 0; so does everything when nothing could be learned. Repeated rows get equal results. A
 language name is whatever value the language column holds; rows without one are not learned from.
 
 Learning reads a bounded sample: about ``sample_docs`` documents, chosen by a hash of their id.
@@ -218,7 +218,7 @@ class Labeller(dict):
         path = viterbi(scores, self.penalty)
         counts = np.bincount(path, minlength=len(langs))
         pred = int(counts.argmax())
-        total = scores.sum(0)
+        total = scores[path == pred].sum(0)
         posterior = 1 / np.exp(np.clip(total - total[pred], None, 50)).sum()
         cuts = np.flatnonzero(np.diff(path)) + 1
         spans = [(int(a), int(b), langs[path[a]]) for a, b in zip([0, *cuts], [*cuts, len(path)])]

@@ -2,29 +2,21 @@
 
 from __future__ import annotations
 
-import importlib.util
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import language_id, license_scan, mixing, multiset_hash, ngram_join, quality_classifier, quality_rules, toxicity
-from .common import documents, fold, labels, shared_path, stored
+from .common import documents, fold, labels, shared_path, stored, tokenizer_path
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path(name: str) -> str:
-    """A public tokenizer file: in $TOKENIZER_DIR if set, else in the installed package."""
-    folder = os.environ.get("TOKENIZER_DIR")
-    if not folder:
-        folder = os.path.dirname(importlib.util.find_spec("public_tokenizers").origin)
-    return os.path.join(folder, name)
-
-
 def sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
@@ -125,7 +117,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet,
             "op7_mixing": op7_mixing, "op8_multiset": op8_multiset, "op9_licenses": op9_licenses,
-            "op10_ngram_join": op10_ngram_join}
+            "op10_ngram_join": op10_ngram_join, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
