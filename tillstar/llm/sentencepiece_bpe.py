@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import TwoGenerations, per_worker, ship, slices
 
 MARK = "▁"
-MEMO_CHUNKS = 120_000
+MEMO_CHUNKS = 300_000
 MEMO_PAIRS = 200_000
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
 PROBES = ("", " ", "a", " a", "a  b", "a\nb", "\ta b ", f"{MARK}a", "héllo wörld", "中文 x",
