@@ -197,7 +197,7 @@ class Labeller(dict):
         model = self.model
         candidates = model.scripts.get(script(word))
         if not candidates or not any(candidates):
-            return np.zeros(len(model.langs))
+            return np.zeros(self.table.shape[1])
         known = model.words.get(word)
         if known is not None:
             s = np.array(known)

@@ -234,10 +234,13 @@ def representatives(sets: DataFrame, reps: DataFrame) -> DataFrame:
 
 def parity(grams: Column) -> Column:
     """Four longs: the parity of the n-grams in each of 256 classes."""
-    bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), (g.bitwiseAND(F.lit(63))).cast("int"))
-    part = lambda g: F.shiftright(g, 6).bitwiseAND(F.lit(3))
-    return F.array(*(F.aggregate(F.filter(grams, lambda g, k=k: part(g) == k), F.lit(0).cast("long"), lambda acc, g: acc.bitwiseXOR(bit(g)))
-                     for k in range(4)))
+
+    def word(k: int) -> Column:
+        own = F.filter(grams, lambda g: F.shiftright(g, 6).bitwiseAND(F.lit(3)) == k)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, g: acc.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), g.bitwiseAND(F.lit(63)).cast("int"))))
+
+    return F.array(*(word(k) for k in range(4)))
 
 
 def postings(nodes: DataFrame, rule: Rule) -> DataFrame:
