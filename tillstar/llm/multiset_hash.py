@@ -53,19 +53,30 @@ def paragraph_rows(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     return rows.select(*keys, "n", *words)
 
 
-def add_fingerprints(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """Per distinct ``keys`` (which tell texts apart): ``uniform``, ``signs`` (the lanes) and ``fingerprint``,
-    their hexadecimal text. One row of partial sums leaves each task for a text."""
+#: The columns of a text's sums: paragraphs, uniform lanes, and counts of set bits (two to a number).
+SUMS = ["n", *(f"u{k}" for k in range(UNIFORM)), *(f"s{j}" for j in range(SIGNS // 2))]
+
+
+def lane_sums(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
+    """Per distinct ``keys`` (which tell texts apart): ``SUMS``. One row of partial sums leaves each task for a text."""
     bits = F.shiftleft(F.col(f"w{UNIFORM}"), 32).bitwiseOR(F.col(f"w{UNIFORM + 1}"))
     rows = paragraph_rows(df, keys, text_col).withColumn("bits", bits)
-    ones = [F.sum(F.shiftrightunsigned("bits", j).bitwiseAND(F.lit(PACK))).alias(f"s{j}") for j in range(32)]
-    total = rows.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"u{k}") for k in range(UNIFORM)), *ones)
-    packed = F.array(*(f"s{j}" for j in range(32)))
+    ones = [F.sum(F.shiftrightunsigned("bits", j).bitwiseAND(F.lit(PACK))).alias(f"s{j}") for j in range(SIGNS // 2)]
+    return rows.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"u{k}") for k in range(UNIFORM)), *ones)
+
+
+def lanes(prefix: str = "") -> Column:
+    """A struct of uniform and signs, the lanes, from sums in columns of this prefix."""
+    packed, n = F.array(*(F.col(f"{prefix}s{j}") for j in range(SIGNS // 2))), F.col(f"{prefix}n")
     counts = F.concat(F.transform(packed, lambda s: s.bitwiseAND(F.lit(MASK))), F.transform(packed, lambda s: F.shiftrightunsigned(s, 32)))
-    lanes = total.select(*keys, "n", F.array(*(F.pmod(f"u{k}", F.lit(1 << 32)) for k in range(UNIFORM))).alias("uniform"),
-                         counts.alias("counts"))
-    lanes = lanes.select(*keys, "uniform", F.transform("counts", lambda c: wrapped(2 * c - F.col("n")).cast("int")).alias("signs"))
-    return lanes.withColumn("fingerprint", fingerprint_text(F.col("uniform"), F.col("signs")))
+    return F.struct(F.array(*(F.pmod(F.col(f"{prefix}u{k}"), F.lit(1 << 32)) for k in range(UNIFORM))).alias("uniform"),
+                    F.transform(counts, lambda c: wrapped(2 * c - n).cast("int")).alias("signs"))
+
+
+def add_fingerprints(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
+    """Per distinct ``keys``: ``uniform``, ``signs`` (the lanes) and ``fingerprint``, their hexadecimal text."""
+    found = lane_sums(df, keys, text_col).select(*keys, lanes().alias("lanes")).select(*keys, "lanes.*")
+    return found.withColumn("fingerprint", fingerprint_text(F.col("uniform"), F.col("signs")))
 
 
 def fingerprint_text(uniform: Column, signs: Column) -> Column:

@@ -89,12 +89,13 @@ def op8_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("edited_sha256", sha256("edited"))
     own = ["place", "doc_id", "n_chars", "edited_sha256"]
     texts = rows.select(*own, F.posexplode(F.array("text", "edited", "next_text")).alias("which", "t"))
-    found = multiset_hash.add_fingerprints(texts, [*own, "which"], "t")
-    lanes = F.struct("uniform", "signs", "fingerprint")
-    one = found.groupBy(*own).agg(*(F.first(F.when(F.col("which") == k, lanes), ignorenulls=True).alias(name)
-                                    for k, name in enumerate(("own", "edited", "next"))))
-    return one.select("doc_id", "n_chars", "edited_sha256", F.col("own.fingerprint").alias("fingerprint"),
-                      F.col("edited.fingerprint").alias("edited_fingerprint"),
+    found = multiset_hash.lane_sums(texts, [*own, "which"], "t")
+    # The three texts' sums side by side: plain numbers, so this aggregate hashes as well.
+    one = found.groupBy(*own).agg(*(F.sum(F.when(F.col("which") == k, F.col(c))).alias(f"{name}_{c}")
+                                    for k, name in enumerate(("own", "edited", "next")) for c in multiset_hash.SUMS))
+    one = one.select(*own, *(multiset_hash.lanes(f"{name}_").alias(name) for name in ("own", "edited", "next")))
+    text = lambda name: multiset_hash.fingerprint_text(F.col(f"{name}.uniform"), F.col(f"{name}.signs"))
+    return one.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("edited").alias("edited_fingerprint"),
                       multiset_hash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
                       multiset_hash.likeness(F.col("own"), F.col("next")).alias("near_next"))
 
