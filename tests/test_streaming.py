@@ -9,14 +9,27 @@ from tillstar.plans.warehouse import read_snapshot
 from tillstar.streaming.ingest import start_ingest
 
 
-def write_csv(path, rows):
+def write_csv(path, rows, headers=HEADERS):
     with open(path, "w", encoding="cp1252", newline="") as fh:
         w = csv.writer(fh, quoting=csv.QUOTE_MINIMAL)
-        w.writerow(HEADERS)
+        w.writerow(headers)
         for i, o in enumerate(rows):
             r = dict(BASE)
             r.update(o)
-            w.writerow([r[h] for h in HEADERS])
+            w.writerow([r[h] for h in headers])
+
+
+def test_columns_are_bound_by_header(spark, tmpdir_path):
+    """Files of one batch with reversed and with missing columns."""
+    src, wh, ck = (os.path.join(tmpdir_path, x) for x in ("in", "wh", "ck"))
+    os.makedirs(src)
+    write_csv(os.path.join(src, "a.csv"), [{"Row ID": "1", "Order ID": "O-1", "Product ID": "P-1"}], HEADERS[::-1])
+    write_csv(os.path.join(src, "b.csv"), [{"Row ID": "2", "Order ID": "O-2", "Product ID": "P-2"}],
+              [h for h in HEADERS if h != "Country"])
+    start_ingest(spark, src, wh, ck, max_files_per_trigger=5).awaitTermination()
+    snap = read_snapshot(spark, wh)
+    assert sorted(r.product_key for r in snap.tables["dim_product"].collect()) == ["P-1", "P-2"]
+    assert snap.tables["fact_sales"].count() == 2
 
 
 def test_available_now_ingest(spark, tmpdir_path):

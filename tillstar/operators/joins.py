@@ -1,8 +1,7 @@
 """Join helpers.
 
-Broadcasting is only used where a side's size is proven: either by a bounded count
-(``broadcast_if_small``) or because the side is the output of a ``limit``. Everything else
-is left to the planner, where AQE turns a sort-merge join into a broadcast join at runtime
+Broadcasting is only asked for where a side's size is proven: the output of a ``limit``.
+Everything else is left to the planner's size threshold, and AQE turns a sort-merge join into a broadcast join at runtime
 only if the shuffled side turns out small (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
 
@@ -13,30 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound below which a dimension is broadcast after a bounded count.
-SMALL_DIM_ROWS = 100_000
-
-
-_SMALL: dict[tuple, bool] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_DIM_ROWS, memo_key: str | None = None) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it unchanged.
-
-    The check reads at most ``max_rows + 1`` rows per partition, so it is cheap for small
-    frames and bounded for large ones; beyond the bound the join stays a shuffle join.
-    With ``memo_key`` the answer is kept for the session (inputs do not change under it).
-    """
-    key = (df.sparkSession.sparkContext.applicationId, memo_key, max_rows) if memo_key else None
-    if key is not None and key in _SMALL:
-        small = _SMALL[key]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _SMALL[key] = small
-    return F.broadcast(df) if small else df
-
-
 def null_safe_condition(left: DataFrame, right: DataFrame, cols: list[str],
                         right_cols: list[str] | None = None) -> Column:
     """Conjunction of ``left.c <=> right.c``; stays an equi-join (hash or sort-merge)."""
@@ -58,12 +33,3 @@ def lookup(df: DataFrame, mapping: DataFrame, keys: list[str], null_safe: bool =
                        *[c for c in mapping.columns if c not in keys])
     cond = null_safe_condition(df, m, keys, [f"__m_{k}" for k in keys])
     return df.join(m, cond, how).drop(*[f"__m_{k}" for k in keys])
-
-
-def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str | list[str]]],
-              how: str = "inner") -> DataFrame:
-    """Join a fact to several dimensions on their keys."""
-    out = fact
-    for dim, key in dims:
-        out = out.join(dim, on=key, how=how)
-    return out

@@ -1,7 +1,8 @@
 """Raw text -> raw staging -> five typed staging tables.
 
 ``extract`` types the raw file once (lenient number reading, percent discounts, 4-place
-money, row fingerprint). ``stage`` re-reads that table the way a second job would (all
+money, row fingerprint, load stamp); numbers stay wide, so no value is lost before the load
+decides on it. ``stage`` re-reads that table the way a second job would (all
 columns as trimmed text, guarded number reading) and splits it into location, product,
 customer, order and sales-line frames.
 
@@ -28,14 +29,16 @@ def extract(raw_text: DataFrame) -> DataFrame:
     profit = clean.money(F.col("profit"))
     discount = clean.money(F.col("discount"))
     quantity = F.col("quantity").try_cast(clean.WIDE)
-    return df.select(
+    typed = df.select(
         *[F.col(c) for c in clean.RAW_COLUMNS if c not in ("sales", "quantity", "discount", "profit")],
-        clean.round_money(sales).alias("sales"),
+        F.round(sales, 4).alias("sales"),
         clean.to_quantity(quantity).alias("quantity"),
-        clean.norm_discount(discount).try_cast(clean.RATE).alias("discount"),
-        clean.round_money(profit).alias("profit"),
+        clean.norm_discount(discount).alias("discount"),
+        F.round(profit, 4).alias("profit"),
         clean.row_hash().alias("row_hash"),
-    ).select(*schemas.RAW_STAGING.fieldNames())
+        F.current_timestamp().alias("loaded_at"),
+    )
+    return clean.conform(typed, schemas.RAW_STAGING)
 
 
 def cleaned(raw_staging: DataFrame) -> DataFrame:
@@ -44,9 +47,9 @@ def cleaned(raw_staging: DataFrame) -> DataFrame:
     return df.select(
         *[F.col(c) for c in clean.RAW_COLUMNS if c not in ("sales", "quantity", "discount", "profit",
                                                              "order_date", "ship_date")],
-        clean.round_money(clean.guarded_number(F.col("sales"))).alias("sales"),
-        clean.round_money(clean.guarded_number(F.col("profit"))).alias("profit"),
-        clean.norm_discount(clean.guarded_number(F.col("discount"))).try_cast(clean.RATE).alias("discount"),
+        F.round(clean.guarded_number(F.col("sales")), 4).try_cast(clean.WIDE).alias("sales"),
+        F.round(clean.guarded_number(F.col("profit")), 4).try_cast(clean.WIDE).alias("profit"),
+        clean.norm_discount(clean.guarded_number(F.col("discount"))).try_cast(clean.WIDE).alias("discount"),
         clean.to_quantity(clean.guarded_number(F.col("quantity"), strip=False)).alias("quantity"),
         clean.parse_date(F.col("order_date")).alias("order_date"),
         clean.parse_date(F.col("ship_date")).alias("ship_date"),

@@ -74,12 +74,6 @@ def top_n(df: DataFrame, order, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_n_per_group(df: DataFrame, group: list[str], order, n: int) -> DataFrame:
-    """F12 (grouped form): ``row_number() <= n`` within each group."""
-    rn = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("_rn", rn).filter(F.col("_rn") <= n).drop("_rn")
-
-
 def member_total(value: str, member: str) -> Column:
     """A member's total across the table, used as a sort key."""
     return F.sum(value).over(Window.partitionBy(member))

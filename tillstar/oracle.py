@@ -131,11 +131,26 @@ SELECT intent, COUNT(*) AS n FROM (
   SELECT CASE
 {cases}
     ELSE NULL END AS intent
-  FROM conversations WHERE role = 'user') t
+  FROM conversations) t
 GROUP BY intent"""
 
 
-ROUTER = {"route_questions": _route_sql()}
+def _rendered_sql() -> str:
+    from .functions.intent import INTENT_RULES
+    from .parameters import QUESTIONS
+
+    cases = "\n".join(f"    WHEN {_words(a)} AND {_words(b)} THEN '{name}'" for name, a, b in INTENT_RULES)
+    asked = ", ".join("'" + q.replace("'", "''") + "'" for q in QUESTIONS)
+    return f"""
+SELECT question, CASE
+{cases}
+    ELSE NULL END AS intent, COUNT(*) AS n FROM (
+  SELECT question, question || ' ' || coalesce(text, '') AS text FROM (
+    SELECT [{asked}][1 + (((conv_id * 7 + turn) % {len(QUESTIONS)} + {len(QUESTIONS)}) % {len(QUESTIONS)})] AS question, text FROM conversations) q) t
+GROUP BY 1, 2"""
+
+
+ROUTER = {"route_questions": _route_sql(), "route_rendered": _rendered_sql()}
 
 
 def all_sql() -> dict[str, str]:

@@ -5,10 +5,7 @@ from __future__ import annotations
 from .oracle import with_star
 
 # Parameters used by the registered dashboard queries (see registry).
-YEARS = (1996, 2000)
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE"]
-M_SCALE = 1000
+from .parameters import CATEGORIES, M_SCALE, REGIONS, SEGMENTS, YEARS
 
 
 def _in(vals):
@@ -49,15 +46,17 @@ rfm AS (
   FROM sc)"""
     cells = """
 cells AS (
-  SELECT c.region, p.category, CAST(SUM(f.sales) AS DOUBLE) AS sales, CAST(SUM(f.profit) AS DOUBLE) AS profit
+  SELECT c.region, p.category, SUM(f.sales) AS s, SUM(f.profit) AS p, CAST(SUM(f.sales) AS DOUBLE) AS sales, CAST(SUM(f.profit) AS DOUBLE) AS profit
   FROM fact f JOIN prod p ON f.l_partkey = p.p_partkey JOIN ord o ON f.l_orderkey = o.o_orderkey
   JOIN cust c ON o.o_custkey = c.c_custkey GROUP BY c.region, p.category),
-cells2 AS (SELECT *, SUM(profit) OVER (PARTITION BY category) AS cat_profit,
+cells2 AS (SELECT *, SUM(cells.p) OVER (PARTITION BY category) AS cat_profit,
                   CASE WHEN sales <> 0 THEN profit / sales END AS ratio FROM cells),
 cum AS (
   SELECT region, category, sales, profit, ROUND(ratio, 6) AS profit_ratio,
-         ROUND(SUM(ratio) OVER (ORDER BY region, cat_profit DESC, category
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_ratio
+         ROUND(SUM(ratio) OVER (PARTITION BY region ORDER BY cat_profit DESC, category
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_ratio,
+         SUM(ratio) OVER (PARTITION BY region ORDER BY cat_profit DESC, category
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS unrounded
   FROM cells2)"""
     return {
         "yoy_year": with_star(OSALES + f""",
@@ -82,8 +81,22 @@ g AS (
 SELECT grain, period, CAST(s AS DOUBLE) AS sales,
   {_r6("AVG(CAST(s AS DOUBLE)) OVER (PARTITION BY grain ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")} AS mavg3
 FROM g"""),
-        "cum_profit_ratio": with_star(cells + "\nSELECT * FROM cum"),
-        "profit_heatmap": with_star(cells + "\nSELECT * FROM cum WHERE running_ratio BETWEEN -0.2214 AND 0.5652"),
+        "sales_trends_categories": with_star(f"""
+os AS (SELECT f.l_orderkey, SUM(f.sales) AS sales FROM fact f JOIN prod p ON f.l_partkey = p.p_partkey
+       WHERE p.category IN {_in(CATEGORIES)} GROUP BY f.l_orderkey),
+f AS (SELECT os.sales, o.* FROM os JOIN ord o ON os.l_orderkey = o.o_orderkey WHERE o.order_year BETWEEN {lo} AND {hi}),
+g AS (
+  SELECT 'quarter' AS grain, CAST(quarter(order_date) AS BIGINT) AS period, SUM(sales) AS s FROM f GROUP BY 1, 2
+  UNION ALL SELECT 'month', order_month, SUM(sales) FROM f GROUP BY 1, 2
+  UNION ALL SELECT 'year', order_year, SUM(sales) FROM f GROUP BY 1, 2)
+SELECT grain, period, CAST(s AS DOUBLE) AS sales,
+  {_r6("AVG(CAST(s AS DOUBLE)) OVER (PARTITION BY grain ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")} AS mavg3
+FROM g"""),
+        "cum_profit_ratio": with_star(cells + "\nSELECT * EXCLUDE (unrounded) FROM cum"),
+        "profit_heatmap": with_star(cells + "\nSELECT * EXCLUDE (unrounded) FROM cum "
+                                    "WHERE unrounded BETWEEN -0.22136745269143338 AND 0.56523045958457452"),
+        "heatmap_pivot": with_star(cells + "\nSELECT region, " + ", ".join(
+            f"SUM(profit) FILTER (category = '{c}') AS {c}" for c in CATEGORIES) + " FROM cells GROUP BY region"),
         "top_names": with_star(OSALES + """
 SELECT customer_name, CAST(SUM(sales) AS DOUBLE) AS sales, CAST(SUM(profit) AS DOUBLE) AS profit
 FROM v GROUP BY customer_name ORDER BY SUM(sales) DESC, customer_name LIMIT 10"""),

@@ -20,14 +20,14 @@ def _date_text(d: str, sel: str) -> str:
             f"ELSE strftime({d}, '%Y-%m-%d') END")
 
 
-def raw_cte(b: str, batch: int | None) -> str:
+def raw_cte(b: str, batch: int | None, whole: bool = False) -> str:
     """Raw text rows (staging column names) of one batch, as CTE ``raw{b}``."""
     where = ""
     if batch == 1:
         where = "WHERE o.o_orderdate < TIMESTAMP '1999-01-01'"
     elif batch == 2:
-        where = ("WHERE o.o_orderdate >= TIMESTAMP '1998-01-01' AND "
-                 "(o.o_orderdate >= TIMESTAMP '1999-01-01' OR l.l_linenumber <= 3)")
+        where = "WHERE o.o_orderdate >= TIMESTAMP '1998-01-01'" + (
+            "" if whole else " AND (o.o_orderdate >= TIMESTAMP '1999-01-01' OR l.l_linenumber <= 3)")
     b2 = batch == 2
     cname = "c_name || ' II'" if b2 else "c_name"
     pname_base = "CASE WHEN v = 3 THEN '  ' || p_name || ' ' ELSE p_name END"
@@ -97,10 +97,10 @@ def extract_cte(b: str) -> str:
 tr{b} AS (SELECT {trims} FROM raw{b}),
 rs{b} AS (
   SELECT {', '.join(text_cols)},
-    TRY_CAST(ROUND({_num('sales')}, 4) AS DECIMAL(12,4)) AS sales,
+    TRY_CAST(ROUND({_num('sales')}, 4) AS DECIMAL(38,10)) AS sales,
     TRY_CAST(trunc(TRY_CAST(TRY_CAST(quantity AS DECIMAL(38,10)) AS DECIMAL(18,4))) AS INTEGER) AS quantity,
-    TRY_CAST({_norm_disc(_num('discount'))} AS DECIMAL(3,2)) AS discount,
-    TRY_CAST(ROUND({_num('profit')}, 4) AS DECIMAL(12,4)) AS profit,
+    TRY_CAST({_norm_disc(_num('discount'))} AS DECIMAL(38,10)) AS discount,
+    TRY_CAST(ROUND({_num('profit')}, 4) AS DECIMAL(38,10)) AS profit,
     {hash_expr} AS row_hash
   FROM tr{b})"""
 
@@ -124,9 +124,9 @@ def stage_cte(b: str) -> str:
     return f"""
 st{b} AS (
   SELECT {', '.join(f'trim({c}) AS {c}' for c in text_cols)},
-    TRY_CAST(ROUND({_guard('trim(CAST(sales AS VARCHAR))')}, 4) AS DECIMAL(12,4)) AS sales,
-    TRY_CAST(ROUND({_guard('trim(CAST(profit AS VARCHAR))')}, 4) AS DECIMAL(12,4)) AS profit,
-    TRY_CAST({_norm_disc(_guard('trim(CAST(discount AS VARCHAR))'))} AS DECIMAL(3,2)) AS discount,
+    TRY_CAST(ROUND({_guard('trim(CAST(sales AS VARCHAR))')}, 4) AS DECIMAL(38,10)) AS sales,
+    TRY_CAST(ROUND({_guard('trim(CAST(profit AS VARCHAR))')}, 4) AS DECIMAL(38,10)) AS profit,
+    TRY_CAST({_norm_disc(_guard('trim(CAST(discount AS VARCHAR))'))} AS DECIMAL(38,10)) AS discount,
     TRY_CAST(trunc({_guard('trim(CAST(quantity AS VARCHAR))', strip=False)}) AS INTEGER) AS quantity,
     {_pdate('trim(order_date)')} AS order_date,
     {_pdate('trim(ship_date)')} AS ship_date
@@ -196,7 +196,7 @@ def fact_cte(b: str, ord_t: str, prod_t: str, cust_t: str) -> str:
     q = "l.quantity"
     # sales / quantity rounded half away from zero to 4 places, in exact integer arithmetic
     # (a double division would misround the many exact ties).
-    scaled = "CAST(l.sales * 10000 AS HUGEINT)"
+    scaled = "CAST(TRY_CAST(l.sales AS DECIMAL(12,4)) * 10000 AS HUGEINT)"
     unit = (f"CASE WHEN l.sales IS NULL OR {q} IS NULL OR {q} = 0 THEN NULL ELSE "
             f"TRY_CAST(CAST(sign({scaled}) * sign({q}) * ((abs({scaled}) * 2 + abs({q})) // (2 * abs({q}))) "
             f"AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(12,4)) END")
@@ -204,7 +204,7 @@ def fact_cte(b: str, ord_t: str, prod_t: str, cust_t: str) -> str:
              "CASE WHEN l.discount > 1 THEN l.discount * 0.01 ELSE l.discount END)), 2) END")
     return f"""
 factm{b} AS (
-  SELECT l.row_id, o.order_id, p.product_id, c.customer_id, o.location_id, {q} AS quantity,
+  SELECT l.row_id, o.order_id, p.product_id, c.customer_id, o.location_id, {q} AS quantity, l.sales AS staged_sales, l.profit AS staged_profit,
          TRY_CAST(ROUND(l.sales, 4) AS DECIMAL(12,4)) AS sales,
          TRY_CAST(ROUND(l.profit, 4) AS DECIMAL(12,4)) AS profit,
          coalesce(TRY_CAST({clamp} AS DECIMAL(3,2)), CAST(0 AS DECIMAL(3,2))) AS discount,
@@ -215,8 +215,11 @@ factm{b} AS (
 factc{b} AS (
   SELECT *, CASE WHEN order_id IS NULL THEN 'missing_order' WHEN product_id IS NULL THEN 'missing_product'
     WHEN customer_id IS NULL THEN 'missing_customer' WHEN location_id IS NULL THEN 'missing_location'
-    WHEN sales IS NULL THEN 'missing_sales' WHEN quantity IS NULL THEN 'missing_quantity'
+    WHEN staged_sales IS NULL THEN 'missing_sales' WHEN sales IS NULL THEN 'sales_out_of_range'
+    WHEN staged_profit IS NOT NULL AND profit IS NULL THEN 'profit_out_of_range'
+    WHEN quantity IS NULL THEN 'missing_quantity'
     WHEN NOT coalesce(quantity > 0, FALSE) THEN 'quantity_not_positive'
+    WHEN TRY_CAST(quantity AS SMALLINT) IS NULL THEN 'quantity_out_of_range'
     WHEN unit_price IS NULL THEN 'missing_unit_price' END AS reject_reason
   FROM factm{b})"""
 
@@ -296,11 +299,11 @@ fact2 AS (
   UNION ALL SELECT * FROM newfact2)"""
 
 
-def pipeline(batches: str = "12") -> str:
+def pipeline(batches: str = "12", whole: bool = False) -> str:
     """WITH-prefix holding every CTE up to the final star of batch 2 (or batch 1)."""
     parts = [GEO.strip()]
     for b in batches:
-        parts += [raw_cte(b, int(b)).strip(), extract_cte(b).strip(), stage_cte(b).strip()]
+        parts += [raw_cte(b, int(b), whole).strip(), extract_cte(b).strip(), stage_cte(b).strip()]
     parts.append(load1_cte().strip())
     if "2" in batches:
         parts.append(load2_cte().strip())
@@ -341,7 +344,7 @@ def etl_sql() -> dict[str, str]:
         "row_hash": one + "SELECT row_id, row_hash FROM rs0",
         "unit_price": one + "SELECT row_id, " + _dbl(
             "CASE WHEN sales IS NULL OR quantity IS NULL OR quantity = 0 THEN NULL ELSE "
-            "CAST(sign(CAST(sales * 10000 AS HUGEINT)) * sign(quantity) * ((abs(CAST(sales * 10000 AS HUGEINT)) * 2 "
+            "CAST(sign(CAST(CAST(sales AS DECIMAL(12,4)) * 10000 AS HUGEINT)) * sign(quantity) * ((abs(CAST(CAST(sales AS DECIMAL(12,4)) * 10000 AS HUGEINT)) * 2 "
             "+ abs(quantity)) // (2 * abs(quantity))) AS DECIMAL(20,0)) * 0.0001 END") + " AS unit_price FROM rs0",
         "calendar_attrs": one + f"""SELECT {cal} FROM (
   SELECT DISTINCT full_date FROM (SELECT order_date AS full_date FROM stg_ord0 UNION ALL
@@ -367,6 +370,14 @@ def etl_sql() -> dict[str, str]:
         "fact_replace": two + "SELECT sales_id, order_id, product_id, customer_id, location_id, "
                               "CAST(quantity AS BIGINT) AS quantity, " + ", ".join(
             f"{_dbl(c)} AS {c}" for c in ("sales", "unit_price", "discount", "profit")) + " FROM fact2",
+        "table_counts": two + "\nUNION ALL ".join(
+            f"SELECT CAST({b} AS BIGINT) AS batch, '{name}' AS table_name, COUNT(*) AS n FROM {table.format(b=b)}" for b in (1, 2) for name, table in (
+                ("stg_dim_location", "stg_loc{b}"), ("stg_dim_product", "stg_prod{b}"), ("stg_dim_customer", "stg_cust{b}"),
+                ("stg_orders", "stg_ord{b}"), ("stg_sales_lines", "stg_lines{b}"), ("dim_date", "dim_date{b}"),
+                ("dim_location", "dim_loc{b}"), ("dim_product", "dim_prod{b}"), ("dim_customer", "dim_cust{b}"),
+                ("dim_order", "dim_ord{b}"), ("fact_sales", "fact{b}"),
+                ("fact_rejects", "(SELECT * FROM factc{b} WHERE reject_reason IS NOT NULL)"),
+                ("order_rejects", "(SELECT * FROM ordc{b} WHERE order_date_id IS NULL OR ship_date_id IS NULL)"))),
         "fact_rejects": two + """SELECT batch, reject_reason, COUNT(*) AS n FROM (
   SELECT CAST(1 AS BIGINT) AS batch, reject_reason FROM factc1 WHERE reject_reason IS NOT NULL
   UNION ALL SELECT CAST(2 AS BIGINT), reject_reason FROM factc2 WHERE reject_reason IS NOT NULL)
@@ -431,14 +442,14 @@ def checks_sql(kind: str) -> str:
             for c, pt, pc in spec[kind]:
                 parts.append(f"SELECT '{table}' AS table_name, 'fk({c}->{pt}.{pc})' AS rule, CAST(COUNT(*) AS BIGINT) AS violations FROM {t} "
                              f"WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pc} FROM {FINAL[pt]} WHERE {pc} IS NOT NULL)")
-    return pipeline("12") + "\nUNION ALL\n".join(parts)
+    return pipeline("12", whole=True) + "\nUNION ALL\n".join(parts)
 
 
 def roles_sql() -> dict[str, str]:
-    two = pipeline("12")
+    two = pipeline("12", whole=True)
     return {
         "loc_lookup_nullsafe": two + f"""SELECT s.customer_key, s.postal_code, l.location_id
-FROM stg_cust1 s LEFT JOIN dim_loc2 l ON {_loc_match('s', 'l')}""",
+FROM (SELECT * FROM stg_cust1 UNION ALL SELECT * FROM stg_cust2) s LEFT JOIN dim_loc2 l ON {_loc_match('s', 'l')}""",
         "date_roles": two + """SELECT o.order_key, d1.full_date AS order_date, d2.full_date AS ship_date,
   CAST(d2.full_date - d1.full_date AS BIGINT) AS days_to_ship
 FROM dim_ord2 o JOIN dim_date2 d1 ON o.order_date_id = d1.date_id JOIN dim_date2 d2 ON o.ship_date_id = d2.date_id""",
@@ -461,7 +472,7 @@ GROUP BY ls.region, lh.region""",
 
 def star_reports_sql() -> dict[str, str]:
     """The five reports written the reference's way: facts joined to dimensions, then grouped."""
-    two = pipeline("12")
+    two = pipeline("12", whole=True)
     return {
         "wh_sales_by_region": two + """SELECT l.region, COUNT(DISTINCT o.order_id) AS orders,
   CAST(SUM(f.quantity) AS BIGINT) AS total_qty, CAST(ROUND(SUM(f.sales), 2) AS DOUBLE) AS total_sales,

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from ..functions import metrics
 from ..functions.calendar import quarter_of_month
 from ..operators import windows as W
+from ..parameters import CATEGORIES
 from .star import SourceStar
 
 # --- fixed values: the workbook's own filter settings and cut-offs ---
 DEFAULT_YEARS = (2014, 2018)
-DEFAULT_RUNNING_RATIO = (-0.2214, 0.5652)
+DEFAULT_RUNNING_RATIO = (-0.22136745269143338, 0.56523045958457452)
 DEFAULT_RFM_CODES = (111, 123)
 TOP_N = 10
 # --- end of fixed values ---
@@ -132,10 +133,8 @@ def sales_trends(star: SourceStar, years=DEFAULT_YEARS, regions=None, segments=N
 
 def heatmap_cells(star: SourceStar) -> DataFrame:
     """Region x category sales and profit (the heat map's view aggregate)."""
-    lines = star.lines_with_profit()
-    p = star.t("part", "p_partkey", "p_type")
-    per_cat_order = (lines.join(p, lines.l_partkey == p.p_partkey)
-                     .groupBy("l_orderkey", F.col("p_type").alias("category"))
+    # One join with part gives price and category; sums stay decimals up to the cell.
+    per_cat_order = (star.lines_with_profit().groupBy("l_orderkey", "category")
                      .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")))
     o = star.orders().select("o_orderkey", "o_custkey")
     per_cust = (per_cat_order.join(o, per_cat_order.l_orderkey == o.o_orderkey)
@@ -144,25 +143,39 @@ def heatmap_cells(star: SourceStar) -> DataFrame:
     c = star.customers().select("c_custkey", "region")
     return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
             .groupBy("region", "category")
-            .agg(F.sum("sales").cast("double").alias("sales"), F.sum("profit").cast("double").alias("profit")))
+            .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")))
 
 
 def cum_profit_ratio(star: SourceStar) -> DataFrame:
-    """F9 + G6 + B21: heat-map cells in table order (region, then categories by total
-    profit), with the profit ratio and its running total along the table."""
+    """F9 + G6 + B21: heat-map cells with the profit ratio and its running total across the table:
+    the total starts anew in every row (region) and runs over categories by total profit."""
+    return rounded_ratios(running_ratios(star))
+
+
+def running_ratios(star: SourceStar) -> DataFrame:
     cells = heatmap_cells(star).withColumn("cat_profit", W.member_total("profit", "category"))
-    order = [F.col("region").asc(), F.col("cat_profit").desc(), F.col("category").asc()]
+    cells = cells.withColumns({"sales": F.col("sales").cast("double"), "profit": F.col("profit").cast("double")})
+    order = [F.col("cat_profit").desc(), F.col("category").asc()]
     cells = cells.withColumn("profit_ratio", metrics.profit_ratio(F.col("profit"), F.col("sales")))
-    return cells.select("region", "category", "sales", "profit",
-                        _d_expr(F.col("profit_ratio")).alias("profit_ratio"),
-                        _d_expr(W.running_sum("profit_ratio", order)).alias("running_ratio"))
+    return cells.select("region", "category", "sales", "profit", "profit_ratio",
+                        W.running_sum("profit_ratio", order, ["region"]).alias("running_ratio"))
+
+
+def rounded_ratios(cells: DataFrame) -> DataFrame:
+    return cells.select("region", "category", "sales", "profit", _d("profit_ratio").alias("profit_ratio"),
+                        _d("running_ratio").alias("running_ratio"))
 
 
 def profit_heatmap(star: SourceStar, running_bounds=DEFAULT_RUNNING_RATIO) -> DataFrame:
-    """Q13: cells whose running profit ratio lies within the bounds (filter applied after
-    the table calculation, C11)."""
-    c = cum_profit_ratio(star)
-    return c.filter(F.col("running_ratio").between(*running_bounds))
+    """Q13: cells whose running profit ratio, before rounding, lies within the bounds (filter
+    applied after the table calculation, C11)."""
+    return rounded_ratios(running_ratios(star).filter(F.col("running_ratio").between(*running_bounds)))
+
+
+def heatmap_pivot(star: SourceStar) -> DataFrame:
+    """G8 registered: the heat map's profit, a row per region and a column per category listed."""
+    cells = heatmap_cells(star).withColumn("profit", F.col("profit").cast("double"))
+    return pivot_heatmap(cells, CATEGORIES)
 
 
 def pivot_heatmap(cells: DataFrame, categories: list[str] | None = None) -> DataFrame:
@@ -192,17 +205,20 @@ def customer_lod(star: SourceStar) -> DataFrame:
     )
 
 
-def max_order_date(star: SourceStar):
-    """As-of date for recency: the latest order date in the data (one scalar)."""
-    return orders_view(star).agg(F.max("order_date")).first()[0]
+def max_order_date(star: SourceStar) -> DataFrame:
+    """As-of date for recency: the latest order date, one row from a scan of one column."""
+    return star.t("orders", "o_orderdate").agg(F.max(F.col("o_orderdate").cast("date")).alias("as_of"))
 
 
 def rfm_scores(star: SourceStar, as_of=None, r_cuts=metrics.RECENCY_DAYS_MAX, f_cuts=metrics.FREQUENCY_MIN,
                m_cuts=metrics.MONETARY_MIN) -> DataFrame:
     """B22-B26 over E7: recency, frequency, monetary, their scores and the RFM code."""
-    as_of = as_of or max_order_date(star)
     lod = customer_lod(star)
-    rec = metrics.recency_days(F.col("last_order"), F.lit(as_of).cast("date"))
+    if as_of is None:
+        lod = lod.join(F.broadcast(max_order_date(star)), F.lit(True))  # one row
+    else:
+        lod = lod.withColumn("as_of", F.lit(as_of).cast("date"))
+    rec = metrics.recency_days(F.col("last_order"), F.col("as_of"))
     scored = lod.select(
         "customer_key", "last_order", rec.cast("long").alias("recency"), "frequency",
         F.col("monetary").cast("double").alias("monetary"),

@@ -16,6 +16,7 @@ from ..functions import clean
 from ..functions.calendar import calendar_columns
 from ..operators.stage import extract, stage
 from ..session import cut_lineage
+from ..sources.tables import file_state
 from .rawtext import raw_lines
 from .star import SourceStar
 from .warehouse import two_batch_run
@@ -24,8 +25,10 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 
 def _memo(star: SourceStar, name: str, build) -> DataFrame:
-    key = (star.spark.sparkContext.applicationId, star.base_dir, name)
+    key = (star.spark.sparkContext.applicationId, star.base_dir, name, file_state(star.spark, star.base_dir))
     if key not in _MEMO:
+        for old in [k for k in _MEMO if k[:3] == key[:3]]:
+            del _MEMO[old]
         _MEMO[key] = build()
     return _MEMO[key]
 
@@ -115,8 +118,8 @@ def q_calendar_attrs(star: SourceStar) -> DataFrame:
 
 
 def q_conform(star: SourceStar) -> DataFrame:
-    """The raw staging table itself (B13: typed, fixed column order)."""
-    return raw_staging(star)
+    """The raw staging table itself (B13: typed, fixed column order), without its load stamp."""
+    return raw_staging(star).drop("loaded_at")
 
 
 # ---- staging (K14) ----
@@ -190,3 +193,13 @@ def q_id_stability(star):
             F.max("_b").alias("max_id"),
         ))
     return reduce(DataFrame.unionByName, parts)
+
+
+def q_table_counts(star: SourceStar) -> DataFrame:
+    """Rows of every staging and star table after each batch, and of the rejects."""
+    parts = []
+    for batch, snap in enumerate(two_batch_run(star), 1):
+        frames = snap.staging | snap.tables | {"fact_rejects": snap.fact_rejects, "order_rejects": snap.order_rejects}
+        parts += [df.agg(F.lit(batch).cast("long").alias("batch"), F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
+                  for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, parts)

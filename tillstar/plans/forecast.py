@@ -114,7 +114,7 @@ def scores(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def metrics(scored: DataFrame) -> DataFrame:
-    """MAE, RMSE and R^2 as plain aggregates (one pass plus the label mean)."""
+    """MAE, RMSE and R^2 as plain aggregates in one pass; R^2 is NULL if the labels do not vary."""
     e = F.col("next_month") - F.col("pred_next_month")
     agg = scored.agg(
         F.count(F.lit(1)).alias("test_rows"),
@@ -124,7 +124,7 @@ def metrics(scored: DataFrame) -> DataFrame:
         F.var_pop("next_month").alias("var_y"),
     )
     return agg.select("test_rows", "mae", "rmse",
-                      (F.lit(1.0) - F.col("sse") / (F.col("var_y") * F.col("test_rows"))).alias("r2"))
+                      (F.lit(1.0) - F.try_divide("sse", F.col("var_y") * F.col("test_rows"))).alias("r2"))
 
 
 def run(star: SourceStar) -> tuple[PipelineModel, DataFrame]:

@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import balanced
 from .star import SourceStar, profit_expr, sales_expr
 
 BATCH1_BEFORE = "1999-01-01"
@@ -45,9 +44,11 @@ def _date_text(d: Column, selector: Column) -> Column:
             .otherwise(d.cast("string")))
 
 
-def raw_lines(star: SourceStar, batch: int | None = None) -> DataFrame:
-    li = balanced(star.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"))
+def raw_lines(star: SourceStar, batch: int | None = None, whole: bool = False) -> DataFrame:
+    """Raw text of all lines, or of one batch; ``whole``: with every line of batch 2's orders."""
+    # Dealt by the key of the first join, which a large table is shuffled by in any case.
+    li = star.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                "l_quantity", "l_extendedprice", "l_discount", "l_shipdate").repartition("l_orderkey")
     o = star.t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = star.t("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = star.t("part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
@@ -62,7 +63,7 @@ def raw_lines(star: SourceStar, batch: int | None = None) -> DataFrame:
          .join(c, F.col("o_custkey") == c.c_custkey)
          .join(geo, F.col("c_nationkey") == geo.nationkey)
          .join(p, F.col("l_partkey") == p.p_partkey))
-    if batch == 2:
+    if batch == 2 and not whole:
         j = j.filter((F.col("o_orderdate") >= F.lit(BATCH1_BEFORE).cast("timestamp"))
                      | (F.col("l_linenumber") <= BATCH2_OVERLAP_LINES))
 

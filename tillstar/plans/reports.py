@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intent import detect_intent
+from ..parameters import QUESTIONS
 from .star import QTY_DEC, SourceStar
 
 
@@ -182,6 +183,15 @@ def route_questions(questions: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
+def route_rendered(turns: DataFrame) -> DataFrame:
+    """Q10 over rendered questions: each turn's text behind one of ``QUESTIONS``, which hit every rule,
+    their order and the word edges. Counts per question and intent."""
+    at = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(QUESTIONS))).cast("int")
+    asked = turns.select(F.get(F.array(*map(F.lit, QUESTIONS)), at).alias("question"), "text")
+    routed = asked.select("question", detect_intent(F.concat("question", F.lit(" "), F.coalesce("text", F.lit("")))).alias("intent"))
+    return routed.groupBy("question", "intent").agg(F.count(F.lit(1)).alias("n"))
+
+
 def rows_json(df: DataFrame, order_cols: list, n: int = 8) -> DataFrame:
     """The first ``n`` rows of a report, in report order, as one JSON array string.
     The window numbering runs over at most ``n`` rows (after the limit)."""

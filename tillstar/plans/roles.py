@@ -18,15 +18,15 @@ from .warehouse import location_ids, two_batch_run
 
 
 def q_loc_lookup_nullsafe(star: SourceStar) -> DataFrame:
-    """Batch-1 staged customers -> location id, NULL postal codes matching."""
-    s1, s2 = two_batch_run(star)
-    cust = s1.staging["stg_dim_customer"]
+    """Every staged customer of both batches -> location id, NULL parts matching."""
+    s1, s2 = two_batch_run(star, whole=True)
+    cust = s1.staging["stg_dim_customer"].unionByName(s2.staging["stg_dim_customer"])
     return location_ids(cust, s2.tables["dim_location"]).select("customer_key", "postal_code", "location_id")
 
 
 def q_date_roles(star: SourceStar) -> DataFrame:
     """Each order with its order date and ship date (two roles of dim_date)."""
-    t = two_batch_run(star)[1].tables
+    t = two_batch_run(star, whole=True)[1].tables
     d = t["dim_date"]
     od = d.select(F.col("date_id").alias("order_date_id"), F.col("full_date").alias("order_date"))
     sd = d.select(F.col("date_id").alias("ship_date_id"), F.col("full_date").alias("ship_date"))
@@ -38,7 +38,7 @@ def q_date_roles(star: SourceStar) -> DataFrame:
 def q_same_day_orders(star: SourceStar) -> DataFrame:
     """The conjunctive relation order_date_id = date_id AND ship_date_id = date_id,
     i.e. orders shipped on their order day, with their fact totals."""
-    t = two_batch_run(star)[1].tables
+    t = two_batch_run(star, whole=True)[1].tables
     d, o, f = t["dim_date"], t["dim_order"], t["fact_sales"]
     same = o.join(d, (o.order_date_id == d.date_id) & (o.ship_date_id == d.date_id)).select(
         "order_id", "order_key", "full_date")
@@ -49,7 +49,7 @@ def q_same_day_orders(star: SourceStar) -> DataFrame:
 
 def q_location_roles(star: SourceStar) -> DataFrame:
     """Shipping location of the fact vs home location of its customer."""
-    t = two_batch_run(star)[1].tables
+    t = two_batch_run(star, whole=True)[1].tables
     loc = t["dim_location"]
     ship = loc.select(F.col("location_id"), F.col("region").alias("ship_region"))
     home = loc.select(F.col("location_id").alias("home_location_id"), F.col("region").alias("home_region"))
@@ -61,5 +61,5 @@ def q_location_roles(star: SourceStar) -> DataFrame:
 
 def q_check(kind: str):
     def run(star: SourceStar) -> DataFrame:
-        return check_star(two_batch_run(star)[1].tables, schemas.CONSTRAINTS, kind)
+        return check_star(two_batch_run(star, whole=True)[1].tables, schemas.CONSTRAINTS, kind)
     return run

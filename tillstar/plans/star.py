@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..operators.joins import broadcast_if_small
 from ..sources.tables import read_table
 
 PRICE = DecimalType(12, 2)
@@ -58,17 +57,16 @@ class SourceStar:
 
     @cached_property
     def geography(self) -> DataFrame:
-        """nation x region -> location attributes; 25 rows, broadcast after a bounded count."""
+        """nation x region -> location attributes; 25 rows, which the planner broadcasts by their size."""
         n = self.t("nation", "n_nationkey", "n_name", "n_regionkey")
-        r = broadcast_if_small(self.t("region", "r_regionkey", "r_name"), memo_key=f"{self.base_dir}/region")
-        geo = n.join(r, n.n_regionkey == r.r_regionkey).select(
+        r = self.t("region", "r_regionkey", "r_name")
+        return n.join(r, n.n_regionkey == r.r_regionkey).select(
             F.col("n_nationkey").alias("nationkey"),
             F.col("n_name").alias("city"),
             F.col("n_name").alias("state"),
             postal_code_expr(F.col("n_nationkey")).alias("postal_code"),
             F.col("r_name").alias("region"),
         )
-        return broadcast_if_small(geo, memo_key=f"{self.base_dir}/geography")
 
     def customers(self) -> DataFrame:
         """customer role: c_custkey, customer_key, customer_name, segment, location columns."""
@@ -133,10 +131,10 @@ class SourceStar:
 
     def lines_with_profit(self) -> DataFrame:
         """Fact grain with profit, which needs the part's retail price."""
-        p = self.t("part", "p_partkey", "p_retailprice")
+        p = self.t("part", "p_partkey", "p_retailprice", "p_type")
         li = self.lines()
         return li.join(p, li.l_partkey == p.p_partkey).select(
-            "l_orderkey", "l_partkey", "quantity", "sales", "discount", "ship_date",
+            "l_orderkey", "l_partkey", "quantity", "sales", "discount", "ship_date", F.col("p_type").alias("category"),
             profit_expr(F.col("sales"), F.col("quantity"), F.col("p_retailprice")).alias("profit"),
         )
 

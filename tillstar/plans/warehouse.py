@@ -23,6 +23,8 @@ from ..operators.keys import number_rows, max_id
 from ..operators.stage import LOCATION_COLS, extract, stage
 from ..operators.upsert import insert_new, replace_by_key, upsert
 from ..session import cut_lineage
+from ..sources import catalog
+from ..sources.tables import file_state
 from .rawtext import raw_lines
 from .star import SourceStar
 
@@ -34,9 +36,12 @@ def fact_rules():
         ("missing_product", F.col("product_id").isNotNull()),
         ("missing_customer", F.col("customer_id").isNotNull()),
         ("missing_location", F.col("location_id").isNotNull()),
-        ("missing_sales", F.col("sales").isNotNull()),
+        ("missing_sales", F.col("staged_sales").isNotNull()),
+        ("sales_out_of_range", F.col("sales").isNotNull()),
+        ("profit_out_of_range", F.col("staged_profit").isNull() | F.col("profit").isNotNull()),
         ("missing_quantity", F.col("quantity").isNotNull()),
         ("quantity_not_positive", F.col("quantity") > 0),
+        ("quantity_out_of_range", F.col("quantity").try_cast("short").isNotNull()),
         ("missing_unit_price", F.col("unit_price").isNotNull()),
     ]
 
@@ -60,7 +65,9 @@ def build_dim_date(existing: DataFrame | None, stg_orders: DataFrame) -> DataFra
              .distinct())
     attrs = calendar_columns(F.col("full_date"))
     incoming = dates.select("full_date", *[v.alias(k) for k, v in attrs.items()])
-    return upsert(existing, incoming, ["full_date"], "date_id", {k: "overwrite" for k in attrs})
+    # A holiday flag is set by hand; a reload leaves it alone, new dates start without.
+    rules = {k: "keep" if k == "is_holiday" else "overwrite" for k in attrs}
+    return upsert(existing, incoming, ["full_date"], "date_id", rules)
 
 
 def _all_null(cols: list[str]):
@@ -135,7 +142,7 @@ def fact_candidates(stg_lines: DataFrame, dim_order: DataFrame, dim_product: Dat
          .join(dim_customer.select("customer_key", "customer_id"), "customer_key", "left"))
     return f.select(
         "row_id", "order_id", "product_id", "customer_id", "location_id",
-        "quantity",
+        "quantity", F.col("sales").alias("staged_sales"), F.col("profit").alias("staged_profit"),
         clean.round_money(F.col("sales")).alias("sales"),
         clean.round_money(F.col("profit")).alias("profit"),
         clean.fill_discount(clean.norm_discount_clamped(F.col("discount")).try_cast(clean.RATE)).alias("discount"),
@@ -160,14 +167,15 @@ def build_facts(existing: DataFrame | None, candidates: DataFrame) -> tuple[Data
     ``sales_id`` after the current maximum, in ``row_id`` order."""
     marked = candidates.withColumn("reject_reason", reject_reason())
     rejected = marked.filter(F.col("reject_reason").isNotNull())
-    accepted = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    # The load stamp is taken here, so that it is stored with the numbering and stays.
+    accepted = (marked.filter(F.col("reject_reason").isNull()).drop("reject_reason", "staged_sales", "staged_profit")
+                .withColumn("created_at", F.current_timestamp()))
     # row_id first; the other columns only order rows that share a row id (identical rows
     # may take either id).
     accepted = number_rows(accepted, ["row_id"] + FACT_ORDER, "sales_id", start=max_id(existing, "sales_id"))
     accepted = accepted.select(
         "sales_id", "order_id", "product_id", "customer_id", "location_id",
-        F.col("quantity").cast("short").alias("quantity"), "sales", "unit_price", "discount", "profit",
-        F.current_timestamp().alias("created_at"),
+        F.col("quantity").cast("short").alias("quantity"), "sales", "unit_price", "discount", "profit", "created_at",
     )
     return replace_by_key(existing, accepted, "order_id"), rejected
 
@@ -190,22 +198,28 @@ def load_batch(prev: Snapshot | None, staging: dict[str, DataFrame]) -> Snapshot
     return Snapshot(t, fact_rejects=fact_rej, order_rejects=order_rej, staging=staging)
 
 
-def stage_batch(star: SourceStar, batch: int | None) -> dict[str, DataFrame]:
+def stage_batch(star: SourceStar, batch: int | None, whole: bool = False) -> dict[str, DataFrame]:
     """Raw text of one batch -> raw staging (checkpointed once) -> five staging frames."""
-    raw_staging = cut_lineage(extract(raw_lines(star, batch)))
+    raw_staging = cut_lineage(extract(raw_lines(star, batch, whole)))
     return stage(raw_staging)
 
 
 _RUNS: dict[tuple, tuple[Snapshot, Snapshot]] = {}
 
 
-def two_batch_run(star: SourceStar) -> tuple[Snapshot, Snapshot]:
-    """Load batch 1, then batch 2 on top of it. Memoised per session and source folder,
-    since every warehouse query reads the same run."""
-    key = (star.spark.sparkContext.applicationId, star.base_dir)
+def two_batch_run(star: SourceStar, whole: bool = False) -> tuple[Snapshot, Snapshot]:
+    """Load batch 1, then batch 2 on top of it; ``whole``: batch 2 re-sends its orders with all
+    their lines, so the warehouse holds every line (else with fewer, to show replacement). The
+    finished tables are stored once. Memoised per session and state of the source files, since
+    every warehouse query reads the same run; one run of each kind is kept."""
+    key = (star.spark.sparkContext.applicationId, star.base_dir, whole, file_state(star.spark, star.base_dir))
     if key not in _RUNS:
-        s1 = load_batch(None, stage_batch(star, 1))
-        s2 = load_batch(s1, stage_batch(star, 2))
+        for old in [k for k in _RUNS if k[:3] == key[:3]]:
+            del _RUNS[old]
+        s1 = load_batch(None, stage_batch(star, 1, whole))
+        s1.tables = {n: cut_lineage(df) for n, df in s1.tables.items()}
+        s2 = load_batch(s1, stage_batch(star, 2, whole))
+        s2.tables = {n: cut_lineage(df) for n, df in s2.tables.items()}
         _RUNS[key] = (s1, s2)
     return _RUNS[key]
 
@@ -214,20 +228,22 @@ STAR_TABLES = ["dim_date", "dim_location", "dim_product", "dim_customer", "dim_o
 
 
 def read_snapshot(spark, root: str) -> Snapshot | None:
-    """The warehouse tables under ``root``, or None for an empty warehouse."""
-    from ..sources.catalog import read_table
-
-    tables = {n: read_table(spark, root, n, optional=True) for n in STAR_TABLES}
-    if any(t is None for t in tables.values()):
+    """The newest finished version of the warehouse tables under ``root``; None if there never was
+    one. A version that lacks a table is an error, not an empty warehouse."""
+    version = catalog.current_version(spark, root)
+    if version is None:
         return None
-    return Snapshot(tables)
+    return Snapshot({n: catalog.read_table(spark, catalog.version_path(root, version), n) for n in STAR_TABLES})
 
 
 def write_snapshot(snap: Snapshot, root: str) -> None:
-    from ..sources.catalog import write_table
-
+    """Write all tables as a new version, which counts only once its mark is written, last. A run
+    that dies before leaves the version before it in force."""
+    spark = snap.tables[STAR_TABLES[0]].sparkSession
+    version = catalog.next_version(spark, root)
     for name in STAR_TABLES:
-        write_table(snap.tables[name], root, name)
+        catalog.write_table(snap.tables[name], catalog.version_path(root, version), name)
+    catalog.finish_version(spark, root, version)
 
 
 def run_etl(raw_text: DataFrame, root: str) -> Snapshot:
@@ -239,8 +255,6 @@ def run_etl(raw_text: DataFrame, root: str) -> Snapshot:
     prev = read_snapshot(spark, root)
     staging = stage(cut_lineage(extract(raw_text)))
     snap = load_batch(prev, staging)
-    # The new tables still read parts of the old ones; materialise them before the old
-    # files are replaced.
-    snap.tables = {n: cut_lineage(df) for n, df in snap.tables.items()}
     write_snapshot(snap, root)
+    snap.tables = read_snapshot(spark, root).tables
     return snap

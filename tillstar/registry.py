@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from .functions import metrics
-from .oracle_dash import M_SCALE, REGIONS, SEGMENTS, YEARS
+from .parameters import CATEGORIES, M_SCALE, REGIONS, SEGMENTS, YEARS
 from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
 from .plans import dashboard, etl, forecast, reports, roles, star_reports
 from .plans.warehouse import two_batch_run
@@ -36,7 +36,9 @@ def _report_queries() -> dict[str, Query]:
         q[f"chat_{intent}"] = _star(lambda s, i=intent: reports.chat_report(s, i))
     q["report_json"] = _star(reports.report_json)
     q["route_questions"] = lambda spark, base: reports.route_questions(
-        read_table(spark, base, "conversations", "role", "text").filter(F.col("role") == "user"))
+        read_table(spark, base, "conversations", "text"))
+    q["route_rendered"] = lambda spark, base: reports.route_rendered(
+        read_table(spark, base, "conversations", "conv_id", "turn", "text"))
     return q
 
 
@@ -71,12 +73,12 @@ def _etl_queries() -> dict[str, Query]:
         "upsert_product": etl.q_upsert_product, "upsert_customer": etl.q_upsert_customer,
         "upsert_order": etl.q_upsert_order, "fact_replace": etl.q_fact_replace,
         "fact_rejects": etl.q_fact_rejects, "order_rejects": etl.q_order_rejects,
-        "id_stability": etl.q_id_stability,
+        "id_stability": etl.q_id_stability, "table_counts": etl.q_table_counts,
         "loc_lookup_nullsafe": roles.q_loc_lookup_nullsafe, "date_roles": roles.q_date_roles,
         "same_day_orders": roles.q_same_day_orders, "location_roles": roles.q_location_roles,
         **{f"chk_{k}": roles.q_check(k) for k in ("not_null", "unique", "fk", "range", "length")},
         "chk_precision": roles.q_check("numeric"),
-        **{f"wh_{k}": (lambda star, f=f: f(two_batch_run(star)[1].tables)) for k, f in star_reports.REPORTS.items()},
+        **{f"wh_{k}": (lambda star, f=f: f(two_batch_run(star, whole=True)[1].tables)) for k, f in star_reports.REPORTS.items()},
     }
     return {k: _norm(v) for k, v in names.items()}
 
@@ -93,7 +95,8 @@ def _dash_queries() -> dict[str, Query]:
         "rfm_matrix": lambda s: d.rfm_matrix(s, segments=SEGMENTS, m_cuts=m_cuts),
         "state_city_rollup": d.state_city_rollup,
         "snapshot_years": lambda s: d.snapshot_years(s, years=YEARS),
-        "discount_trend": d.discount_trend,
+        "discount_trend": d.discount_trend, "heatmap_pivot": d.heatmap_pivot,
+        "sales_trends_categories": lambda s: d.sales_trends(s, years=YEARS, categories=CATEGORIES),
     }
     return {k: _norm(v) for k, v in names.items()}
 

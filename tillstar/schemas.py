@@ -19,13 +19,14 @@ def _s(*fields) -> StructType:
 S = StringType()
 MONEY = DecimalType(12, 4)
 RATE = DecimalType(3, 2)
+WIDE = DecimalType(38, 10)  # raw and staged numbers are not narrowed; the load is
 
 RAW_STAGING = _s(
     ("row_id", S), ("order_key", S), ("order_date", S), ("ship_date", S), ("ship_mode", S),
     ("customer_key", S), ("customer_name", S), ("segment", S), ("country", S), ("city", S),
     ("state", S), ("postal_code", S), ("region", S), ("product_key", S), ("category", S),
-    ("sub_category", S), ("product_name", S), ("sales", MONEY), ("quantity", IntegerType()),
-    ("discount", RATE), ("profit", MONEY), ("row_hash", S),
+    ("sub_category", S), ("product_name", S), ("sales", WIDE), ("quantity", IntegerType()),
+    ("discount", WIDE), ("profit", WIDE), ("row_hash", S), ("loaded_at", TimestampType()),
 )
 
 STG_DIM_LOCATION = _s(("city", S), ("state", S), ("postal_code", S), ("region", S))
@@ -35,8 +36,8 @@ STG_DIM_CUSTOMER = _s(("customer_key", S), ("customer_name", S), ("segment", S),
 STG_ORDERS = _s(("order_key", S), ("order_date", DateType()), ("ship_date", DateType()),
                 ("ship_mode", S), ("city", S), ("state", S), ("postal_code", S), ("region", S))
 STG_SALES_LINES = _s(("row_id", S), ("order_key", S), ("product_key", S), ("customer_key", S),
-                     ("quantity", IntegerType()), ("sales", MONEY), ("discount", RATE),
-                     ("profit", MONEY))
+                     ("quantity", IntegerType()), ("sales", WIDE), ("discount", WIDE),
+                     ("profit", WIDE))
 
 DIM_DATE = _s(("date_id", LongType()), ("full_date", DateType()), ("year", ShortType()),
               ("quarter", ShortType()), ("month", ShortType()), ("day", ShortType()),

@@ -27,14 +27,12 @@ def register_views(spark: SparkSession, base_dir: str, names=SOURCE_TABLES) -> N
         read_table(spark, base_dir, name).createOrReplaceTempView(name)
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan that arrived in fewer input splits than the cluster has task slots
-    (small files, or one Parquet row group) evenly over the shuffle partitions. Round-robin,
-    not by key: a key holding a third of the rows cannot make one partition hot, and the
-    next aggregate still combines map-side before its own shuffle. Inputs with enough
-    splits (any large table) pass through unchanged: no shuffle."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+def file_state(spark: SparkSession, base_dir: str, names=("lineitem", "orders", "customer", "part")) -> tuple:
+    """Size and time of the files of some tables: changes when they are written anew."""
+    state = []
+    for name in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(base_dir, name))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = fs.listStatus(path) if fs.exists(path) else []
+        state.append(tuple((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
+    return tuple(state)
