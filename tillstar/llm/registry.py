@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import language_id, license_scan, mixing, multiset_hash, ngram_join, quality_classifier, quality_rules, toxicity
+from . import language_id, license_scan, mixing, multiset_hash, ngram_join, oracle, quality_classifier, quality_rules, toxicity
 from .common import documents, fold, labels, shared_path, stored, tokenizer_path
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
@@ -116,10 +116,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op5_language": op5_language, "op4_sentencepiece": op4_sentencepiece, "op6_wavelet": op6_wavelet,
-            "op7_mixing": op7_mixing, "op8_multiset": op8_multiset, "op9_licenses": op9_licenses,
-            "op10_ngram_join": op10_ngram_join, "pipeline": corpus_pipeline.run}
+    return {
+        "op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op4_sentencepiece": op4_sentencepiece,
+        "op5_language": op5_language, "op6_wavelet": op6_wavelet, "op7_mixing": op7_mixing, "op8_multiset": op8_multiset,
+        "op9_licenses": op9_licenses, "op10_ngram_join": op10_ngram_join, "pipeline": corpus_pipeline.run,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_multiset": oracle.multiset(), "op9_licenses": oracle.licenses(), "op10_ngram_join": oracle.ngram_join()}
