@@ -5,7 +5,7 @@ from __future__ import annotations
 from .oracle import with_star
 
 # Parameters used by the registered dashboard queries (see registry).
-from .parameters import CATEGORIES, M_SCALE, REGIONS, SEGMENTS, YEARS
+from .parameters import CATEGORIES, F_CUTS, M_SCALE, REGIONS, SEGMENTS, YEARS
 
 
 def _in(vals):
@@ -39,8 +39,7 @@ rfm AS (
   SELECT customer_key, last_order, recency, frequency, monetary_d AS monetary,
     CAST(CASE WHEN recency <= 30 THEN 5 WHEN recency <= 60 THEN 4 WHEN recency <= 120 THEN 3
               WHEN recency <= 365 THEN 2 ELSE 1 END AS BIGINT) AS r_score,
-    CAST(CASE WHEN frequency >= 50 THEN 5 WHEN frequency >= 20 THEN 4 WHEN frequency >= 10 THEN 3
-              WHEN frequency >= 2 THEN 2 ELSE 1 END AS BIGINT) AS f_score,
+    CAST(CASE {' '.join(f'WHEN frequency >= {bound} THEN {score}' for score, bound in F_CUTS)} ELSE 1 END AS BIGINT) AS f_score,
     CAST(CASE WHEN monetary >= {10000 * M_SCALE} THEN 5 WHEN monetary >= {5000 * M_SCALE} THEN 4
               WHEN monetary >= {2000 * M_SCALE} THEN 3 WHEN monetary >= {500 * M_SCALE} THEN 2 ELSE 1 END AS BIGINT) AS m_score
   FROM sc)"""
@@ -108,6 +107,9 @@ SELECT r_score, f_score, CAST(ROUND(SUM(monetary), 2) AS DOUBLE) AS monetary, CO
 FROM rfm JOIN cust USING (customer_key)
 WHERE segment IN {_in(SEGMENTS)} AND r_score * 100 + f_score * 10 + m_score BETWEEN 111 AND 123
 GROUP BY r_score, f_score"""),
+        "rfm_matrix_all": with_star(OSALES + "," + rfm_lod + """
+SELECT r_score, f_score, CAST(ROUND(SUM(monetary), 2) AS DOUBLE) AS monetary, COUNT(*) AS customers
+FROM rfm GROUP BY r_score, f_score"""),
         "state_city_rollup": with_star(OSALES + """
 SELECT state, city, CAST(GROUPING_ID(state, city) AS BIGINT) AS level, CAST(SUM(sales) AS DOUBLE) AS sales
 FROM v GROUP BY ROLLUP (state, city)"""),

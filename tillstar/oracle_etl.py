@@ -320,6 +320,23 @@ def _dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
+def staged_checks_sql() -> str:
+    from .schemas import STAGED_CHECKS
+
+    tables = {"stg_sales_lines": "stg_lines0", "stg_orders": "stg_ord0", "stg_dim_location": "stg_loc0", "stg_dim_product": "stg_prod0"}
+    parts = []
+    for table, spec in STAGED_CHECKS.items():
+        rules = [(f"not_null({c})", f"{c} IS NULL") for c in spec.get("not_null", [])]
+        rules += [(f"range({c},{lo},{hi})", f"{c} < {lo}") for c, (lo, hi) in spec.get("range", {}).items()]
+        rules += [(f"length({c})<={n}", f"length({c}) > {n}") for c, n in spec.get("length", {}).items()]
+        rules += [(f"numeric({c},{p},{s})", f"{c} IS NOT NULL AND TRY_CAST(ROUND({c}, {s}) AS DECIMAL({p},{s})) IS NULL")
+                  for c, (p, s) in spec.get("numeric", {}).items()]
+        parts += [f"SELECT '{table}' AS table_name, '{name}' AS rule, COUNT(*) AS violations FROM {tables[table]} WHERE {cond}" for name, cond in rules]
+        parts += [f"SELECT '{table}', 'unique({','.join(k)})', COUNT(*) FROM (SELECT 1 FROM {tables[table]} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in k)} "
+                  f"GROUP BY {', '.join(k)} HAVING COUNT(*) > 1)" for k in spec.get("unique", [])]
+    return "\nUNION ALL ".join(parts)
+
+
 def etl_sql() -> dict[str, str]:
     one = single_batch_prefix()
     two = pipeline("12")
@@ -378,6 +395,7 @@ def etl_sql() -> dict[str, str]:
                 ("dim_order", "dim_ord{b}"), ("fact_sales", "fact{b}"),
                 ("fact_rejects", "(SELECT * FROM factc{b} WHERE reject_reason IS NOT NULL)"),
                 ("order_rejects", "(SELECT * FROM ordc{b} WHERE order_date_id IS NULL OR ship_date_id IS NULL)"))),
+        "chk_staged": one + staged_checks_sql(),
         "fact_rejects": two + """SELECT batch, reject_reason, COUNT(*) AS n FROM (
   SELECT CAST(1 AS BIGINT) AS batch, reject_reason FROM factc1 WHERE reject_reason IS NOT NULL
   UNION ALL SELECT CAST(2 AS BIGINT), reject_reason FROM factc2 WHERE reject_reason IS NOT NULL)

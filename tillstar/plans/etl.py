@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..functions.calendar import calendar_columns
+from .. import schemas
+from ..operators.quality import check_star
 from ..operators.stage import extract, stage
 from ..session import cut_lineage
 from ..sources.tables import file_state
@@ -195,6 +197,13 @@ def q_id_stability(star):
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_chk_staged(star: SourceStar) -> DataFrame:
+    """K8, K9, K11, K12 over the staged rows of every line: violations that the load then rejects or mends."""
+    frames = staging(star)
+    kinds = ("not_null", "unique", "range", "length", "numeric")
+    return reduce(DataFrame.unionByName, [check_star(frames, schemas.STAGED_CHECKS, kind) for kind in kinds])
+
+
 def q_table_counts(star: SourceStar) -> DataFrame:
     """Rows of every staging and star table after each batch, and of the rejects."""
     parts = []

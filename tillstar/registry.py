@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from .functions import metrics
-from .parameters import CATEGORIES, M_SCALE, REGIONS, SEGMENTS, YEARS
+from .parameters import CATEGORIES, F_CUTS, M_SCALE, REGIONS, SEGMENTS, YEARS
 from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
 from .plans import dashboard, etl, forecast, reports, roles, star_reports
 from .plans.warehouse import two_batch_run
@@ -73,7 +73,7 @@ def _etl_queries() -> dict[str, Query]:
         "upsert_product": etl.q_upsert_product, "upsert_customer": etl.q_upsert_customer,
         "upsert_order": etl.q_upsert_order, "fact_replace": etl.q_fact_replace,
         "fact_rejects": etl.q_fact_rejects, "order_rejects": etl.q_order_rejects,
-        "id_stability": etl.q_id_stability, "table_counts": etl.q_table_counts,
+        "id_stability": etl.q_id_stability, "table_counts": etl.q_table_counts, "chk_staged": etl.q_chk_staged,
         "loc_lookup_nullsafe": roles.q_loc_lookup_nullsafe, "date_roles": roles.q_date_roles,
         "same_day_orders": roles.q_same_day_orders, "location_roles": roles.q_location_roles,
         **{f"chk_{k}": roles.q_check(k) for k in ("not_null", "unique", "fk", "range", "length")},
@@ -91,8 +91,9 @@ def _dash_queries() -> dict[str, Query]:
         "sales_trends": lambda s: d.sales_trends(s, years=YEARS, regions=REGIONS, segments=SEGMENTS),
         "cum_profit_ratio": d.cum_profit_ratio, "profit_heatmap": d.profit_heatmap,
         "top_names": d.top_names,
-        "rfm_scores": lambda s: d.rfm_scores(s, m_cuts=m_cuts),
-        "rfm_matrix": lambda s: d.rfm_matrix(s, segments=SEGMENTS, m_cuts=m_cuts),
+        "rfm_scores": lambda s: d.rfm_scores(s, f_cuts=F_CUTS, m_cuts=m_cuts),
+        "rfm_matrix": lambda s: d.rfm_matrix(s, segments=SEGMENTS, f_cuts=F_CUTS, m_cuts=m_cuts),
+        "rfm_matrix_all": lambda s: d.rfm_matrix(s, codes=(111, 555), f_cuts=F_CUTS, m_cuts=m_cuts),
         "state_city_rollup": d.state_city_rollup,
         "snapshot_years": lambda s: d.snapshot_years(s, years=YEARS),
         "discount_trend": d.discount_trend, "heatmap_pivot": d.heatmap_pivot,

@@ -110,3 +110,16 @@ CONSTRAINTS = {
         "numeric": {"sales": (12, 4), "unit_price": (12, 4), "discount": (3, 2), "profit": (12, 4)},
     },
 }
+
+# Checks of staged rows, before the load rejects or types anything.
+STAGED_CHECKS = {
+    "stg_sales_lines": {
+        "not_null": ["order_key", "product_key", "customer_key", "quantity", "sales", "discount"],
+        "unique": [["order_key"], ["row_id"]],
+        "range": {"quantity": (1, None), "sales": (0, None), "profit": (0, None)},
+        "numeric": {"sales": (8, 4), "discount": (3, 2)},
+    },
+    "stg_orders": {"not_null": ["order_key", "order_date", "ship_date", "ship_mode"], "length": {"order_key": 4, "ship_mode": 10}},
+    "stg_dim_location": {"not_null": ["city", "postal_code"]},
+    "stg_dim_product": {"not_null": ["product_key"], "length": {"product_name": 20}},
+}
