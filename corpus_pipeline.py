@@ -55,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every text, and whether they decode to it."""
     bpe = SentencePieceBpe(spark, tokenizer_path("piece_bpe_32k.model"))
-    both = bpe.decode(bpe.encode(docs))
+    both = bpe.round_trip(docs)
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

@@ -66,6 +66,8 @@ def test_spark_columns(edge, nothing, library):
         assert r["tokens"] == library.encode(r["text"] or "")
         assert r["decoded"] == (r["text"] or "")
     assert bpe.decode(bpe.encode(nothing)).collect() == []
+    assert bpe.round_trip(edge, ids="tokens").select("text", "tokens", "decoded").collect() == rows
+    assert bpe.round_trip(nothing).collect() == []
 
 
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 511, 512, 513, 5000])

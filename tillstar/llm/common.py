@@ -125,9 +125,9 @@ _KEPT: dict[str, object] = {}
 
 
 def per_worker(key: str, make):
-    """Keep what ``make`` builds in a Python worker between its tasks (the last four keys)."""
+    """Keep what ``make`` builds in a Python worker between its tasks, until another key is asked for:
+    a worker that goes on to another stage gives the memory back."""
     if key not in _KEPT:
-        while len(_KEPT) >= 4:
-            _KEPT.pop(next(iter(_KEPT)))
+        _KEPT.clear()
         _KEPT[key] = make()
     return _KEPT[key]

@@ -60,7 +60,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; the ids and the decoded text as digests."""
     bpe = SentencePieceBpe(spark, tokenizer_path("piece_bpe_32k.model"))
-    both = bpe.decode(bpe.encode(documents(spark, sf_dir)))
+    both = bpe.round_trip(documents(spark, sf_dir))
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -296,3 +296,21 @@ class SentencePieceBpe:
                 yield pa.array([decoder.decode(flat[a:b].tolist()) for a, b in zip(offsets, offsets[1:])], pa.string())
 
         return df.withColumn(out, F.arrow_udf(decode_batches, "string")(F.col(ids_col)))
+
+    def round_trip(self, df: DataFrame, text_col: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+        """Add both: the text's ids, and the text decoded from them, in one pass through Python."""
+        shared, key = self.shared, self.key
+
+        def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encoder, decoder = per_worker(f"both-{key}", lambda: (Encoder(shared.value), Decoder(shared.value)))
+            for texts in batches:
+                raw = [encoder.encode_bytes(t) for part in slices(texts) for t in part.to_pylist()]
+                offsets = np.zeros(len(raw) + 1, np.int64)
+                np.cumsum([len(b) >> 2 for b in raw], out=offsets[1:])
+                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(raw))])
+                back = pa.array([decoder.decode(np.frombuffer(b, np.int32).tolist()) for b in raw], pa.string())
+                yield pa.StructArray.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values), back], ["ids", "decoded"])
+
+        both = df.withColumn("__both", F.arrow_udf(there_and_back, "struct<ids:array<int>,decoded:string>")(F.col(text_col)))
+        return both.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
