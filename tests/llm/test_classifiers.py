@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillstar.llm import language_id, quality_classifier, quality_rules, registry, toxicity
 from tillstar.llm.common import documents, fold, labels
 
-from conftest import EDGE, SF_SMALL
+from samples import EDGE, SF_SMALL
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

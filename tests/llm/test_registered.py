@@ -5,7 +5,7 @@ import pytest
 from oracle_check import compare, duck
 from tillstar.llm import registry
 
-from conftest import SF_SMALL
+from samples import SF_SMALL
 
 COLUMNS = {
     "op1": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},

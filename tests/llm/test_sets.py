@@ -12,7 +12,7 @@ from tillstar.llm import license_scan, mixing, multiset_hash, ngram_join, regist
 from tillstar.llm.common import documents
 from tillstar.llm.components import connected
 
-from conftest import EDGE, SF_SMALL
+from samples import EDGE, SF_SMALL
 
 BLANK = re.compile(r"[^ \t-\r]+")
 

@@ -13,7 +13,7 @@ from tillstar.llm import sentencepiece_bpe as S
 from tillstar.llm import wavelet_shards as W
 from tillstar.llm.common import shared_path, tokenizer_path
 
-from conftest import EDGE
+from samples import EDGE
 
 PIECES = ["ab", "  ", "\n", " ", "\t", "é", "日", "😀", "'s", "the", "<|endoftext|>", "12", "...", "\xa0", "\x1c", "▁", " x", "thing", ",", "<s>", "\0"]
 
