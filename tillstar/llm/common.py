@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import importlib.util
 import os
 import tempfile
@@ -124,10 +125,16 @@ class TwoGenerations(dict):
 _KEPT: dict[str, object] = {}
 
 
+def release() -> None:
+    """Let go of what an earlier stage kept in this worker; for stages that keep nothing themselves."""
+    _KEPT.clear()
+    gc.collect()
+
+
 def per_worker(key: str, make):
     """Keep what ``make`` builds in a Python worker between its tasks, until another key is asked for:
     a worker that goes on to another stage gives the memory back."""
     if key not in _KEPT:
-        _KEPT.clear()
+        release()
         _KEPT[key] = make()
     return _KEPT[key]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker, sampled, ship, slices, stored
+from .common import per_worker, release, sampled, ship, slices, stored
 
 WORDS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -72,6 +72,7 @@ def trigrams(word: str) -> list[str]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     counts: Counter = Counter()
 
     def flushed() -> pa.RecordBatch:

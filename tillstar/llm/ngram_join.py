@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, per_worker, ship, slices, stored, text_bytes
+from .common import TwoGenerations, per_worker, release, ship, slices, stored, text_bytes
 from .components import connected
 
 MEMO_WORDS = 150_000
@@ -141,6 +141,7 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
 
 def _reduce(rows: pd.DataFrame) -> pd.DataFrame:
     """Of one reducer: the n-grams that two or more sets hold, back by chunk. Other rows pass."""
+    release()
     if rows["kind"].iat[0] != ENTRIES:
         return rows
     r = int(rows["r"].iat[0])

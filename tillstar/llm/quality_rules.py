@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_worker, ship, slices, stored
+from .common import per_worker, release, ship, slices, stored
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
@@ -133,6 +133,7 @@ def normal_word(word: bytes) -> str:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts: (lang, word, n) rows, and (lang, null, n, character class) rows."""
+    release()
     words: dict[str, Counter] = {}
     chars: dict[str, np.ndarray] = {}
 
