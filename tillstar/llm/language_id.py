@@ -241,5 +241,6 @@ def identify(df: DataFrame, model: Model, penalty: float = 12.0, text_col: str =
                  pa.array([[dict(zip(("start", "end", "lang"), s)) for s in r[2]] for r in rows], pa.list_(span))],
                 ["lang_pred", "score", "spans"])
 
-    return df.withColumn("language", F.arrow_udf(
-        labelled, f"struct<lang_pred:string,score:double,spans:array<{SPAN}>>")(F.col(text_col)))
+    kind = f"struct<lang_pred:string,score:double,spans:array<{SPAN}>>"
+    # So marked, a filter and a column that both read the struct share one evaluation.
+    return df.withColumn("language", F.arrow_udf(labelled, kind).asNondeterministic()(F.col(text_col)))

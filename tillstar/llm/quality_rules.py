@@ -240,4 +240,4 @@ def judge(df: DataFrame, references: References, limits: Limits = Limits(), text
             columns = list(zip(*(one.row(t) for part in slices(texts) for t in part.to_pylist()))) or [()] * len(names)
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return df.withColumn("rules", F.arrow_udf(judged, f"struct<{RESULT}>")(F.col(text_col)))
+    return df.withColumn("rules", F.arrow_udf(judged, f"struct<{RESULT}>").asNondeterministic()(F.col(text_col)))
