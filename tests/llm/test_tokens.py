@@ -41,6 +41,15 @@ def test_encoding_and_decoding_equal_the_library(vocab, library):
         assert decoder.decode(ids) == library.decode(ids)
 
 
+def test_long_runs_without_a_space_equal_the_library(vocab, library):
+    rnd, encoder = random.Random(11), S.Encoder(vocab)
+    han = sorted(c for c in encoder.alphabet if "\u4e00" <= c <= "\u9fff")
+    runs = ["".join(rnd.choice(pool) for _ in range(10_000)) for pool in ("0123456789", han, han + list("12ab\u00e9\U0001f600\u9fa5"))]
+    for t in runs + [r + " the " + r[:700] + "the" for r in runs]:
+        assert encoder.encode(t) == library.encode(t)
+    assert len(encoder.chunks) < 30
+
+
 def test_decoding_of_any_ids(vocab, library):
     rnd, decoder = random.Random(5), S.Decoder(vocab)
     pool = [0, 1, 2, 3 + 195, 3 + 169, 3 + 240, 3 + 159, 3 + 152, 3 + 128, 28705, 259, 264, 13, 500]

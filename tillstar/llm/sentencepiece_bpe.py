@@ -200,9 +200,12 @@ class Encoder:
             yield chunk[start:]
 
     def _chunk_bytes(self, rest: str) -> bytes:
-        # No piece holds the last two characters side by side: the last one is a token of its own.
-        if len(rest) > 1 and rest[-2:] not in self.joints and rest[-1] in self.alphabet and rest[-2] in self.alphabet:
-            return self.chunks[rest[:-1]] + array("i", [self.vocab.ids[rest[-1]]]).tobytes()
+        # Where no piece holds the last two characters side by side, the last one is a token of its own.
+        end, known = len(rest), self.alphabet
+        while end > 1 and rest[end - 2:end] not in self.joints and rest[end - 1] in known and rest[end - 2] in known:
+            end -= 1
+        if end < len(rest):
+            return self.chunks[rest[:end]] + array("i", map(self.vocab.ids.__getitem__, rest[end:])).tobytes()
         return array("i", self.encode_chunk(MARK + rest)).tobytes()
 
     def encode_bytes(self, text: str | None) -> bytes:
