@@ -170,6 +170,26 @@ def test_mixed_text_has_two_spans_and_edges(spark, edge):
     assert len(rows) == len(EDGE)
 
 
+def test_a_rare_language_is_learned(spark):
+    """Ten Greek documents among 20,000, far more than the sample holds; and one of words seen once each."""
+    greek = ["\u03ba\u03b1\u03b9 \u03c4\u03bf \u03c0\u03b1\u03b9\u03b4\u03af", "\u0431\u0443\u043a\u0438 \u0432\u0435\u0434\u0438 \u0433\u043b\u0430\u0433\u043e\u043b"]
+    rows = spark.range(20_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") == 7, greek[1]).when(F.col("id") % 2000 == 77, greek[0]).when(F.col("id") % 3 == 0, "der die das und").otherwise("the of and to").alias("text"),
+        F.when(F.col("id") == 7, "cu").when(F.col("id") % 2000 == 77, "el").when(F.col("id") % 3 == 0, "de").otherwise("en").alias("lang"))
+    model = language_id.learn(rows, sample_docs=200, least_docs=50)
+    assert model.langs == ["cu", "de", "el", "en"]
+    found = {r["lang"]: (r["p"], r["s"], r["n"]) for r in language_id.identify(rows, model).groupBy("lang").agg(
+        F.min("language.lang_pred").alias("p"), F.min("language.score").alias("s"), F.count("*").alias("n")).collect()}
+    assert all(p == lang and s > 0.9 for lang, (p, s, _) in found.items()) and found["el"][2] == 10
+
+
+def test_language_sample_is_bounded(spark):
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 4000 == 0, "c").when(F.col("id") % 20 == 1, "b").otherwise("a").alias("lang"))
+    n = {r["lang"]: r["count"] for r in language_id.sampled_by_language(rows, "id", "lang", 4000, 400).groupBy("lang").count().collect()}
+    assert n["c"] == 10 and 300 < n["b"] < 500 and 3500 < n["a"] < 4100
+
+
 def test_nothing_learned(spark, edge, nothing):
     model = language_id.learn(nothing)
     assert {r["language"]["lang_pred"] for r in language_id.identify(edge.drop("language"), model).collect()} == {"und"}

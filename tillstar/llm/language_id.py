@@ -12,7 +12,8 @@ words times its posterior probability over the scores of those words. Null texts
 get ``und`` and 0; so does everything when nothing could be learned. Repeated rows get equal results. A
 language name is whatever value the language column holds; rows without one are not learned from.
 
-Learning reads a bounded sample: about ``sample_docs`` documents, chosen by a hash of their id.
+Learning reads a bounded sample, chosen by a hash of the id: about ``sample_docs`` documents in proportion to
+the languages, but of each language about ``least_docs`` at least, and all where it has no more than these.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker, release, sampled, ship, slices, stored
+from .common import per_worker, release, ship, slices, stored
 
 WORDS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -101,14 +102,40 @@ def _trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                           "n": pa.array(counts.values(), pa.int64())})
 
 
+def _script_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts: Counter = Counter()
+        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+            counts[lang, script(word)] += n
+        yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in counts], pa.string()),
+                                          "script": pa.array([k[1] for k in counts], pa.string()),
+                                          "n": pa.array(counts.values(), pa.int64())})
+
+
+def sampled_by_language(rows: DataFrame, id_col: str, lang_col: str, docs: int, least: int) -> DataFrame:
+    """About ``docs`` rows in proportion to the languages, but about ``least`` rows of each language (all, if
+    there are fewer), chosen by a hash of the id: the same rows each time."""
+    counts = {r[lang_col]: r["count"] for r in rows.groupBy(lang_col).count().collect()}
+    every = sum(counts.values())
+    if every <= docs:
+        return rows
+    limits = [(lang, int(docs / every * (1 << 20)) if n * docs >= least * every else min(1 << 20, -(-least * (1 << 20) // n)))
+              for lang, n in counts.items()]
+    limits = rows.sparkSession.createDataFrame(limits, rows.select(F.col(lang_col).alias("__lang"), F.lit(0).alias("__limit")).schema)
+    bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
+    chosen = rows.join(F.broadcast(limits), (F.col(lang_col) == F.col("__lang")) & (bucket < F.col("__limit")))  # a row for each language
+    return chosen.select(*rows.columns)
+
+
 def learn(df: DataFrame, learn_from: Column | None = None, text_col: str = "text", lang_col: str = "lang",
-          id_col: str = "doc_id", sample_docs: int = 20_000, min_count: int = 5) -> Model:
-    """Learn from the rows where ``learn_from`` holds and text and language are not null. The model's
-    size is bounded by the sample and ``min_count``, the least count of a known word."""
+          id_col: str = "doc_id", sample_docs: int = 20_000, min_count: int = 5, least_docs: int = 2_000) -> Model:
+    """Learn from the rows where ``learn_from`` holds and text and language are not null. The model's size is bounded
+    by the sample, the number of languages and ``min_count``, the least count of a known word."""
     spark = ship(df.sparkSession)
     rows = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = sampled(rows if learn_from is None else rows.where(learn_from), id_col, sample_docs)
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    rows = (rows if learn_from is None else rows.where(learn_from)).select(
+        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    rows = sampled_by_language(rows, "id", "lang", sample_docs, least_docs).select("lang", "text")
     words = stored(rows.mapInArrow(_counted, "lang string, word string, n long")
                    .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
     grams = (words.select("lang", "word").mapInArrow(_trigram_rows, "lang string, gram string, n long")
@@ -121,11 +148,12 @@ def learn(df: DataFrame, learn_from: Column | None = None, text_col: str = "text
     every = sum(totals.values())
     counts: dict[str, list[float]] = {}
     shared: dict[str, int] = {}
-    used = {}
+    used: dict[str, Counter] = {}
+    for r in words.mapInArrow(_script_rows, "lang string, script string, n long").groupBy("lang", "script").agg(F.sum("n").alias("n")).collect():
+        used.setdefault(r["script"], Counter())[r["lang"]] = r["n"]
     for r in known:
         counts.setdefault(r["word"], [0.0] * len(langs))[place[r["lang"]]] = r["n"]
         shared[r["word"]] = r["all"]
-        used.setdefault(script(r["word"]), Counter())[r["lang"]] += r["n"]
     # A word that a language lacks is backed by its frequency everywhere, discounted.
     table = {w: tuple(math.log((n + 0.01 * totals[lang] * shared[w] / every) / (1.01 * totals[lang]))
                       for n, lang in zip(c, langs)) for w, c in counts.items()}
