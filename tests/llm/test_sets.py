@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
@@ -172,6 +173,23 @@ def test_licenses_equal_brute_force(spark, edge, nothing):
     assert license_scan.scan(nothing, ["doc_id"]).collect() == []
 
 
+def test_wrapped_licenses_are_found(spark):
+    """Each notice in one line, and wrapped as in comments, below a line of its own kind and above other text."""
+    shapes = [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n"), ("dnl ", "\n"), ("REM ", "\r\n"), ("    ", "\n")]
+    rows, names = [], []
+    for name, texts in license_scan.TEMPLATES.items():
+        notice = " ".join(texts)
+        forms = [notice] + [end.join(prefix + line for line in textwrap.wrap(notice, width - len(prefix)))
+                            for prefix, end in shapes for width in (60, 72, 80)]
+        for form in forms:
+            rows.append((len(names), form))
+            rows.append((len(names) + 1, f"Some code.\n#\n{form}\n\nMore text follows here"))
+            names += [name, name]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: {x["license"] for x in r["licenses"]} for r in license_scan.scan(df, ["doc_id"]).collect()}
+    assert [(n, rows[k][1]) for k, n in enumerate(names) if n not in found[k]] == []
+
+
 # N-gram join
 
 def shingle_set(text, n=5):

@@ -1,7 +1,10 @@
 """Operator 9: licence scans by the Dice coefficient of word bigrams.
 
-Texts and licence templates are cut into passages (lines, and sentences within them) and normalised: lower
-case, words of letters and digits. A passage matches a template passage when the Dice coefficient of their
+Texts and licence templates are cut into passages and normalised: lower case, words of letters and digits. A
+text is cut in three ways, and all the passages count: into lines and the sentences within them; into sentences
+that run on over line ends, up to a line without words; and likewise, with a cut after each colon too. Marks at
+the start of a line are no words, and ``dnl`` and ``rem`` there, which open comments, are taken away, so a notice
+wrapped in comments has the same passages as an unwrapped one. A passage matches a template passage when the Dice coefficient of their
 sets of word bigrams, 2 * common / (size + size), reaches ``threshold`` (a passage of one word has that word
 as its only bigram). A document has a licence when at least ``coverage`` of the template's passages are
 matched; its score is the mean, over the template's passages, of their best Dice values.
@@ -27,6 +30,11 @@ from pyspark.sql import functions as F
 
 PASSAGE_END = r"\n|(?<=[.!?])[ \t]+"
 
+# Over line ends: a line without words ends a passage, a line end only after a sentence (or colon).
+BLOCK_END = r"\n[^A-Za-z0-9\n]*(?=\n)|(?<=[.!?])(?:[ \t]+|[^A-Za-z0-9\n]*\n)"
+CLAUSE_END = BLOCK_END.replace("[.!?]", "[.!?:]")
+COMMENT_WORD = r"(?im)^[ \t]*(?:dnl|rem)(?=[ \t\r\n])"
+
 # Public licence notices and the openings of public licence texts, by SPDX identifier.
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
@@ -117,8 +125,11 @@ def scan(df: DataFrame, keys: list[str], text_col: str = "text", threshold: floa
     low = [least_common(s, threshold) for s in sizes]
     high = [math.floor((2 - threshold) * s / threshold + 1e-9) for s in sizes]
     # Whole texts without an anchor word are out before they are cut up.
+    bare = F.regexp_replace(text_col, COMMENT_WORD, "")
+    # Equal passages of a text match alike: one is enough.
+    cuts = F.array_distinct(F.concat(F.split(text_col, PASSAGE_END), F.split(bare, BLOCK_END), F.split(bare, CLAUSE_END)))
     pieces = (df.where(F.col(text_col).rlike(pattern))
-              .select(*keys, F.posexplode(F.split(text_col, PASSAGE_END)).alias("at", "p")).where(F.col("p").rlike(pattern)))
+              .select(*keys, F.posexplode(cuts).alias("at", "p")).where(F.col("p").rlike(pattern)))
     words = F.filter(F.split(ascii_lower(F.col("p")), "[^a-z0-9]+"), lambda w: w != "")
     grams = F.when(F.size("words") > 1, F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.size("words") - 1),
