@@ -51,6 +51,19 @@ def test_toxicity_probabilities_are_the_formula(spark):
     assert llr["b"] > 1 and llr["c"] < -1 and abs(llr["x"]) < abs(llr["b"])
 
 
+def test_toxicity_score_reads_the_whole_difference(spark):
+    """Words for the ordinary class lower the score of a text whose clear words stay the same."""
+    rows = [(i, "alpha beta gamma " * 3 + ("insult " if i % 4 == 0 else "kind gentle ") + f"w{i % 5} end", int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    texts = [(1, "insult alpha beta gamma alpha beta gamma"), (2, "insult kind gentle kind gentle kind gentle")]
+    e = {r["doc_id"]: r["evidence"] for r in toxicity.add_evidence(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    assert e[2]["ratio"] < e[1]["ratio"] and e[2]["score"] < e[1]["score"]
+    weights = np.array([0.0, 2.0, -1.0, 0.5])
+    x = np.array([[0.3, 0.1, 0.2]])
+    assert abs(toxicity.logistic(weights, x)[0] - 1 / (1 + math.exp(-(0.6 - 0.1 + 0.5 * math.log(0.21))))) < 1e-12
+
+
 def test_toxicity_edges(spark, edge, nothing):
     none = labels(spark, SF_SMALL, "toxic").where("false")
     model = toxicity.learn(nothing, none)
