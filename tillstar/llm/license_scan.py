@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 PASSAGE_END = r"\n|(?<=[.!?])[ \t]+"
 
 # Over line ends: a line without words ends a passage, a line end only after a sentence (or colon).
-BLOCK_END = r"\n[^A-Za-z0-9\n]*(?=\n)|(?<=[.!?])(?:[ \t]+|[^A-Za-z0-9\n]*\n)"
+BLOCK_END = r"\n[^A-Za-z0-9\n]*(?=\n)|(?<=[.!?])(?:[ \t]+|[^A-Za-z0-9\n.!?:]*\n)"
 CLAUSE_END = BLOCK_END.replace("[.!?]", "[.!?:]")
 COMMENT_WORD = r"(?im)^[ \t]*(?:dnl|rem)(?=[ \t\r\n])"
 
