@@ -7,8 +7,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar.functions.clean import HEADER_TO_STAGING
 
+SF_SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 HEADERS = list(HEADER_TO_STAGING)
 SCHEMA = StructType([StructField(h, StringType(), True) for h in HEADERS])
 

@@ -69,7 +69,7 @@ def test_pivot_heatmap(spark):
 
 
 def test_snapshot_written_by_year(spark, tmpdir_path):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tillstar.plans.dashboard import snapshot, write_snapshot
     from tillstar.plans.star import SourceStar
 
@@ -84,7 +84,7 @@ def test_snapshot_written_by_year(spark, tmpdir_path):
 def test_report_json_payload(spark):
     import json
 
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tillstar.plans import reports
     from tillstar.plans.star import SourceStar
 

@@ -3,7 +3,7 @@ smallest source folder by default (``TEST_SF_DIR`` to change)."""
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_check import compare, duck
 
 from __spark_entry__ import entry, oracle_sql, queries

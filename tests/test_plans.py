@@ -1,6 +1,6 @@
 """Plan properties that matter at scale: pushdown, pruning, partial aggregation."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tillstar.plans import dashboard, reports
 from tillstar.plans.star import SourceStar
 
