@@ -80,3 +80,45 @@ SELECT e.doc_id, n_chars, sha256(edited) AS edited_sha256, {text("a")} AS finger
        CAST({likeness("a", "b")} AS DOUBLE) AS near_edited, CAST({likeness("a", "c")} AS DOUBLE) AS near_next
 FROM e JOIN l a ON a.doc_id = e.doc_id AND a.which = 0 JOIN l b ON b.doc_id = e.doc_id AND b.which = 1
 JOIN l c ON c.doc_id = e.doc_id AND c.which = 2"""
+
+
+def collocations(least: int = 100, longest: int = 5, top: int = 2000) -> str:
+    sizes = ", ".join(f"({k})" for k in range(1, longest + 1))
+    return f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM p),
+n AS (SELECT lang, SUM(len(w)) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES {sizes}) AS t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, COUNT(*) AS f FROM g GROUP BY ALL HAVING COUNT(*) >= {least}),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n.n AS n, c.cut,
+         (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ') JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT f.lang, f.f, string_split(f.phrase, ' ') AS w, f.k, m.k AS m FROM f, (VALUES {sizes}) AS m(k) WHERE m.k > 1 AND m.k < f.k),
+longer AS (
+  SELECT lang, phrase, MAX(f) AS f FROM (
+    SELECT lang, f, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM inner_parts)
+  GROUP BY lang, phrase),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.phrase = best.phrase
+  WHERE longer.f IS NULL OR 100 * longer.f < 100 * best.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {top}"""
+
+
+def warc(least_bytes: int = 1000) -> str:
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, html, CAST(octet_length(encode(html)) AS BIGINT) AS b, MAX(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, b AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN b >= {least_bytes} AND page_id IS DISTINCT FROM last AND last IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN b >= {least_bytes} AND page_id IS DISTINCT FROM last THEN last END AS refers_to FROM q"""

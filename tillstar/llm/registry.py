@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import language_id, license_scan, mixing, multiset_hash, ngram_join, oracle, quality_classifier, quality_rules, toxicity
+from . import (collocations, language_id, license_scan, mixing, multiset_hash, ngram_join, oracle, quality_classifier, quality_rules, token_alignment,
+               toxicity, warc_packages)
+from ..sources.tables import read_table
 from .common import documents, fold, labels, shared_path, stored, tokenizer_path
 from .sentencepiece_bpe import SentencePieceBpe
 from .wavelet_shards import read_documents, write_shards
@@ -115,13 +117,32 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align both vocabularies' ids of every text, with the links' counts over all texts."""
+    return token_alignment.align(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language, over every text."""
+    return collocations.mine(documents(spark, sf_dir, "text", "lang"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page into packages in the shared folder, and read their records back."""
+    manifest = warc_packages.write_packages(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), shared_path(spark, "warc"))
+    return warc_packages.read_packages(spark, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_rules": op3_rules, "op4_sentencepiece": op4_sentencepiece,
         "op5_language": op5_language, "op6_wavelet": op6_wavelet, "op7_mixing": op7_mixing, "op8_multiset": op8_multiset,
-        "op9_licenses": op9_licenses, "op10_ngram_join": op10_ngram_join, "pipeline": corpus_pipeline.run,
+        "op9_licenses": op9_licenses, "op10_ngram_join": op10_ngram_join,
+        "op11_token_alignment": op11_token_alignment, "op12_collocations": op12_collocations, "op13_warc": op13_warc, "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_multiset": oracle.multiset(), "op9_licenses": oracle.licenses(), "op10_ngram_join": oracle.ngram_join()}
+    return {"op8_multiset": oracle.multiset(), "op9_licenses": oracle.licenses(), "op10_ngram_join": oracle.ngram_join(),
+            "op12_collocations": oracle.collocations(), "op13_warc": oracle.warc()}
