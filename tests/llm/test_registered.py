@@ -18,12 +18,15 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string",
             "near_edited": "double", "near_next": "double"},
     "op10": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op11": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint",
+             "count_sum": "bigint", "groups_sha256": "string"},
+    "op13": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
 }
 
 
 def test_one_query_for_each_operator():
     names = [n.split("_")[0] for n in registry.queries()]
-    assert names == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert names == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
 
 
 @pytest.mark.parametrize("name", [n for n in registry.queries() if n.split("_")[0] in COLUMNS])
@@ -35,4 +38,4 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     r = compare(spark, duck(SF_SMALL), name, SF_SMALL, registry.queries()[name], registry.oracle_sql()[name])
-    assert r["ok"] and r["spark_rows"] == 200, r
+    assert r["ok"] and (r["spark_rows"] == 200 or name.startswith(("op12", "op13"))), r

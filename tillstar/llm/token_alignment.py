@@ -251,8 +251,8 @@ def align(df: DataFrame, byte_bpe_path: str, piece_model_path: str, id_col: str
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256."""
     chunks = stored(aligned_chunks(df, byte_bpe_path, piece_model_path, id_col, text_col, chunk_bytes), "aligned-chunks")
-    asked = chunks.select("chunk", F.posexplode("pairs").alias("at", "pair"))
-    told = asked.join(pair_counts(chunks), "pair").select("chunk", "at", "count", "best")
+    asked = chunks.select(F.col("chunk").alias("to"), F.posexplode("pairs").alias("at", "pair"))
+    told = asked.join(pair_counts(chunks), "pair").select("to", "at", "count", "best")
     names = [name for name, _ in DOCS]
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -268,7 +268,7 @@ def align(df: DataFrame, byte_bpe_path: str, piece_model_path: str, id_col: str
                          "groups_sha256": docs["groups_sha256"]})
 
     own = chunks.select("chunk", *names, "at", "times")
-    return own.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(summed, RESULT)
+    return own.groupBy("chunk").cogroup(told.groupBy("to")).applyInArrow(summed, RESULT)
 
 
 def texts_aligned(spark: SparkSession, df: DataFrame, byte_bpe_path: str, piece_model_path: str, id_col: str = "doc_id",
