@@ -110,3 +110,17 @@ def test_registered_query_with_fewer_occurrences(spark):
 def test_columns(spark):
     assert registry.op12_collocations(spark, SF_SMALL).dtypes == [
         ("lang", "string"), ("rank", "bigint"), ("phrase", "string"), ("a", "bigint"), ("l", "bigint"), ("r", "bigint"), ("n", "bigint"), ("score", "bigint")]
+
+
+def test_a_collision_between_chunks_is_counted_apart(spark):
+    """A fingerprint whose phrase was written out by another chunk with other words."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("a b a b c", "en")], "text string, lang string")
+    chunks = collocations.stored(collocations.cut_chunks(df), "chunks-test")
+    known = collocations.stored(collocations.frequent(collocations.word_counts(chunks), 1), "known-test")
+    out = collocations.written_out(chunks, known, 5)
+    assert sorted((r["phrase"], r["total"]) for r in out.collect()) == [("a", 2), ("b", 2), ("c", 1)]
+    hashes = out.select("print", F.xxhash64(F.when(F.col("phrase") == "b", "other words").otherwise(F.col("phrase"))).alias("hash"))
+    apart = collocations.differing(chunks, known.select("print", "chunk").join(hashes, "print"), 5)
+    assert [(r["lang"], r["phrase"], r["k"]) for r in apart.collect()] == [("en", "b", 2)]

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tillstar.llm import license_scan, mixing, multiset_hash, ngram_join, registry
+from tillstar.llm import license_scan, mixing, multiset_hash, ngram_join, oracle, registry
 from tillstar.llm.common import documents
 from tillstar.llm.components import connected
 
@@ -127,6 +127,7 @@ def test_next_rows_over_many_buckets(edge, nothing, spark):
         assert [(r["key"], r["text"]) for r in got] == [(r[0], r[1] or "") for r in order]
         assert [(r["next_key"], r["next_text"]) for r in got] == [(r[0], r[1] or "") for r in order[1:] + order[:1]]
         assert len({r["place"] for r in got}) == len(got)
+        assert [r["next_place"] for r in got] == [r["place"] for r in got[1:] + got[:1]]
     assert multiset_hash.with_next(nothing).collect() == []
 
 
@@ -190,6 +191,36 @@ def test_wrapped_licenses_are_found(spark):
     assert [(n, rows[k][1]) for k, n in enumerate(names) if n not in found[k]] == []
 
 
+def test_rows_of_one_id_are_one_document_of_distinct_passages(spark):
+    rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (2, "Released under the Foo License."),
+            (2, "Released under the Foo License."), (3, "Released under the Foo License."), (None, "All rights reserved."), (None, "All rights reserved.")]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"])
+    got = {r["doc_id"]: [(x["license"], x["score"]) for x in r["licenses"]] for r in found.collect()}
+    assert got[1] == [("MIT", 1.0)] and got[2] == got[3] == [] and got[None] == [("all-rights-reserved", 1.0)]
+
+
+def test_license_sql_cuts_like_the_query(spark):
+    """The SQL over wrapped and commented notices, and over repeated ids."""
+    import duckdb
+
+    rows = []
+    for name, texts in license_scan.TEMPLATES.items():
+        notice = " ".join(texts)
+        for prefix in ("", "# ", " * ", "dnl ", "REM "):
+            for width in (60, 80):
+                form = "\n".join(prefix + line for line in textwrap.wrap(notice, width - len(prefix)))
+                rows.append((len(rows), f"Some code: here.\n#\n{form}\n\nMore text follows.\n  \n{prefix}end"))
+    rows += [(0, "Released under the MIT License."), (5, rows[5][1]), (10_000, "Released under the Foo License."), (10_000, "Released under the Foo License.")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = {r[0]: (r[1], r[2], round(r[3], 6)) for r in con.execute(oracle.licenses()).fetchall()}
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), ["doc_id"]).collect()
+    got = {r["doc_id"]: (len(r["licenses"]), ",".join(x["license"] for x in r["licenses"]), round(max((x["score"] for x in r["licenses"]), default=0), 6))
+           for r in found}
+    assert got == want and sum(n > 0 for n, _, _ in got.values()) > 100
+
+
 # N-gram join
 
 def shingle_set(text, n=5):
@@ -288,6 +319,51 @@ def test_components_of_paths_and_stars(spark):
 
 # Pipeline
 
+def judge_plainly(docs):
+    """Rows that the rules keep, judged one by one by plain counts and the references."""
+    from tillstar.llm import quality_rules as q
+
+    judge = q.Judge(q.learn_references(docs), q.Limits())
+    out = []
+    for r in docs.select("doc_id", "text").collect():
+        words = BLANK.findall(r["text"] or "")
+        windows = Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
+        repeated = {i + k for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for k in range(3)}
+        n, *_, failed, char_d, word_d, kept = judge.row(r["text"])
+        assert n == len(words) and failed == (n < 50 or 100 * len(repeated) > 50 * n)
+        assert kept == (not failed and char_d <= 0.27 and word_d <= 0.40)
+        if kept:
+            out.append((r["doc_id"], r["text"]))
+    return out
+
+
+def test_pipeline_keeps_every_distinct_text(spark):
+    import corpus_pipeline as p
+
+    a, b, c = (" ".join(f"{w}{k}" for k in range(40)) for w in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, b + " end"), (3, c), (None, c), (4, None), (4, None), (5, "one two")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in p.drop_near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (4, None), (4, None), (5, "one two")], key=str)
+
+
+def test_pipeline_runs_whole(spark):
+    """``run`` gives the rows of its stages applied one behind the other, with the library's ids."""
+    import corpus_pipeline as p
+    import sentencepiece
+
+    from tillstar.llm.common import stored, tokenizer_path
+
+    docs = documents(spark, SF_SMALL, *p.COLUMNS)
+    for name, stage in p.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF_SMALL), "test-run")
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    want = sorted((r["doc_id"], r["lang"], r["source"], tuple(library.encode(r["text"]))) for r in docs.collect())
+    got = p.run(spark, SF_SMALL).collect()
+    assert sorted((r["doc_id"], r["lang"], r["source"], tuple(r["ids"])) for r in got) == want and len(want) > 100
+    assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in got)
+
+
 def test_pipeline_stages(spark, edge, nothing):
     import corpus_pipeline as p
 
@@ -304,6 +380,9 @@ def test_pipeline_stages(spark, edge, nothing):
         assert ids <= {r[0] for r in before.select("doc_id").collect()}
         if name == "language_id":
             assert not ids & {90001, 90002} and len(ids) > 995
+        if name == "quality_rules":
+            judged = judge_plainly(before)
+            assert sorted(map(tuple, after.select("doc_id", "text").collect()), key=str) == sorted(judged, key=str)
         if name == "ngram_jaccard_join":
             assert len(ids) == after.count()
             comp, _ = brute([(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()])

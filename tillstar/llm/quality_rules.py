@@ -7,13 +7,14 @@ lie from language references, as the Jensen-Shannon distance (base 2, so 0 to 1)
 * character classes (lower, upper, other letters, digits, sentence punctuation, other symbols), and
 * common words: the ``top_words`` most frequent words of the language, and all others as one class.
 
-References are counted over all documents, per language. A document is compared with every
+References are counted over all documents, per language; rows without a language, and languages of too few
+documents or words (``LEAST_DOCUMENTS``, ``LEAST_WORDS``), give none, so that junk is not its own measure. A document is compared with every
 language's reference and judged by the nearest, so its own language label is not trusted. Each
 histogram has a minimum length (characters, words) below which it does not decide.
 
 Words are runs of characters other than U+0020 and U+0009 to U+000D. Null texts have no words and
-fail; empty texts likewise. Rows are judged one by one, so repeated rows get equal verdicts. With no
-documents at all there are no references, and no rows.
+fail; empty texts likewise. Rows are judged one by one, so repeated rows get equal verdicts. Without references only the
+counts decide; with no documents at all there are no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ BLANKS = " \t\n\v\f\r"
 CLASSES = ("lower", "upper", "other letter", "digit", "punctuation", "symbol")
 MEMO_WORDS = 200_000
 FLUSH_WORDS = 200_000
+LEAST_DOCUMENTS, LEAST_WORDS = 20, 2_000  # of a language that gives a reference
+DOCUMENTS = -1  # the kind of a row that counts documents
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "base_failed boolean, char_distance double, word_distance double, kept boolean")
 
@@ -132,10 +135,11 @@ def normal_word(word: bytes) -> str:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts: (lang, word, n) rows, and (lang, null, n, character class) rows."""
+    """Partial counts: (lang, word, n) rows, and (lang, null, n, character class) rows, with documents as a class of their own."""
     release()
     words: dict[str, Counter] = {}
     chars: dict[str, np.ndarray] = {}
+    texts: Counter = Counter()
 
     def flushed() -> pa.RecordBatch:
         rows = []
@@ -145,6 +149,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 normal[normal_word(w)] += n
             rows += [(lang, w, n, None) for w, n in normal.items() if w]
         rows += [(lang, None, n, k) for lang, hist in chars.items() for k, n in enumerate(hist.tolist())]
+        rows += [(lang, None, n, DOCUMENTS) for lang, n in texts.items()]
         lang, word, n, kind = zip(*rows)
         return pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.string()),
                                            "n": pa.array(n, pa.int64()), "kind": pa.array(kind, pa.int32())})
@@ -154,26 +159,30 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = text.encode()
             words.setdefault(lang, Counter()).update(raw.split())
             chars[lang] = chars.get(lang, 0) + char_classes(raw)
+            texts[lang] += 1
             if len(words[lang]) > FLUSH_WORDS:
                 yield flushed()
-                words, chars = {}, {}
+                words, chars, texts = {}, {}, Counter()
     if words:
         yield flushed()
 
 
 def learn_references(df: DataFrame, text_col: str = "text", lang_col: str = "lang", top_words: int = 64) -> References:
-    """Count character classes and words over all documents with text, per language (no language: one
-    more group). What reaches the driver is bounded by the languages: ``top_words`` rows for each."""
+    """Count character classes and words over all documents with text and language, per language. What reaches the
+    driver is bounded by the languages of at least ``LEAST_DOCUMENTS``: ``top_words`` rows for each."""
     spark = ship(df.sparkSession)
-    rows = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    partial = rows.where(F.col("text").isNotNull()).mapInArrow(_counted, "lang string, word string, n long, kind int")
+    rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    partial = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).mapInArrow(_counted, "lang string, word string, n long, kind int")
     # A hot word meets as one partial sum from each task.
     counts = stored(partial.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")), "word-counts")
-    hist = counts.where(F.col("kind").isNotNull()).collect()
+    enough = counts.where((F.col("kind") == DOCUMENTS) & (F.col("n") >= LEAST_DOCUMENTS)).select("lang")
+    counts = counts.join(enough, "lang", "left_semi")
+    hist = counts.where(F.col("kind") >= 0).collect()
     by_word = counts.where(F.col("kind").isNull())
-    totals = {r["lang"]: r["n"] for r in by_word.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    totals = {r["lang"]: r["n"] for r in by_word.groupBy("lang").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_WORDS).collect()}
     rank = Window.partitionBy("lang").orderBy(F.desc("n"), "word")  # a rank limit: cut before the shuffle
     top = by_word.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= top_words).collect()
+    top = [r for r in top if r["lang"] in totals]
     langs = sorted(totals)
     vocabulary = {w: i for i, w in enumerate(sorted({r["word"] for r in top}))}
     chars = np.zeros((len(langs), len(CLASSES)))
