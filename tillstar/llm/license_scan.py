@@ -16,7 +16,7 @@ bigrams is out; the test is one pattern over the text. Only what is left is cut
 meet the templates' in a join with that fixed, small table.
 
 Null and empty texts have no licence. Every row gets a result; repeated rows get equal ones. Rows are told
-apart by ``keys``; rows that agree in them are read as one document.
+apart by ``keys``; rows that agree in them are read as one document, whose passages are those of all its rows, equal ones once.
 """
 
 from __future__ import annotations
@@ -129,7 +129,7 @@ def scan(df: DataFrame, keys: list[str], text_col: str = "text", threshold: floa
     # Equal passages of a text match alike: one is enough.
     cuts = F.array_distinct(F.concat(F.split(text_col, PASSAGE_END), F.split(bare, BLOCK_END), F.split(bare, CLAUSE_END)))
     pieces = (df.where(F.col(text_col).rlike(pattern))
-              .select(*keys, F.posexplode(cuts).alias("at", "p")).where(F.col("p").rlike(pattern)))
+              .select(*keys, F.explode(cuts).alias("p")).where(F.col("p").rlike(pattern)))
     words = F.filter(F.split(ascii_lower(F.col("p")), "[^a-z0-9]+"), lambda w: w != "")
     grams = F.when(F.size("words") > 1, F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.size("words") - 1),
@@ -137,8 +137,10 @@ def scan(df: DataFrame, keys: list[str], text_col: str = "text", threshold: floa
     fits = F.lit(False)
     for a, b in zip(low, high):
         fits = fits | F.col("n").between(a, b)
-    sets = pieces.select(*keys, "at", words.alias("words")).where(F.size("words") > 0)
-    sets = sets.select(*keys, "at", grams.alias("grams")).select(*keys, "at", F.size("grams").alias("n"), "grams").where(fits)
+    sets = pieces.select(*keys, words.alias("words")).where(F.size("words") > 0)
+    sets = sets.select(*keys, grams.alias("grams")).select(*keys, F.size("grams").alias("n"), "grams").where(fits)
+    # A passage is named by its set of bigrams; equal ones of a document's rows and cuts match alike, so one is enough.
+    sets = sets.withColumn("at", F.md5(F.array_join(F.array_sort("grams"), ",").cast("binary"))).dropDuplicates([*keys, "at"])
     common = (sets.select(*keys, "at", "n", F.explode("grams").alias("gram")).join(F.broadcast(known), "gram")  # fixed table
               .where((F.col("n") >= F.col("size") * threshold / (2 - threshold) - 1e-9)
                      & (F.col("n") <= F.col("size") * (2 - threshold) / threshold + 1e-9))
