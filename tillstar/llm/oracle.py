@@ -28,11 +28,21 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, MIN(k) AS component_id FR
 
 
 def licenses(threshold: float = 0.8, coverage: float = 0.75) -> str:
+    def gap(mark: str) -> str:
+        """A run of characters outside words in which a passage ends: after a mark and blanks, after a mark and a line end, or
+        at a line without words. (Marks are cut where the text was, so RE2 needs no look-around.)"""
+        no = "[^A-Za-z0-9]*"
+        return f"{no}({mark}([ \\t]+|[^A-Za-z0-9\\n.!?:]*\\n)|\\n[^A-Za-z0-9\\n]*\\n){no}"
+
     rows = ", ".join(f"('{name}', {total}, {k}, {len(b)}, '{g}')" for name, total, k, b in template_passages(TEMPLATES) for g in sorted(b))
     return f"""
 WITH known(license, passages, passage, size, gram) AS (VALUES {rows}),
+t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '(?im)^[ \\t]*(dnl|rem)([ \\t\\r\\n])', '\\2', 'g') AS bare FROM documents),
 p AS (
-  SELECT doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \\t]+', '\\1\n', 'g'), '\n')) AS p FROM documents),
+  SELECT DISTINCT doc_id, unnest(list_concat(
+    string_split(regexp_replace(text, '([.!?])[ \\t]+', '\\1\n', 'g'), '\n'),
+    string_split(regexp_replace(bare, '{gap("[.!?]")}', '\x01', 'g'), '\x01'),
+    string_split(regexp_replace(bare, '{gap("[.!?:]")}', '\x01', 'g'), '\x01'))) AS p FROM t),
 w AS (SELECT doc_id, row_number() OVER () AS place, regexp_extract_all(translate(p, '{UPPER}', '{LOWER}'), '[a-z0-9]+') AS w FROM p),
 b AS (
   SELECT doc_id, place, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS b FROM w),
