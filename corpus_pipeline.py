@@ -35,16 +35,18 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of near duplicates: the document of the smallest id. Rows without an id, which
-    cannot be told apart, stay."""
-    found = stored(ngram_join.components(docs), "near-duplicates")
-    dropped = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id"))
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    """Keep one row of each group of near duplicates: that of the smallest id (a row without an id only if none has one, and
+    of rows with the same id the first). Rows are told apart by a number, so rows of one id with different texts are compared
+    like any others, and every distinct text keeps a row of its group."""
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows-to-compare")
+    found = stored(ngram_join.components(rows, id_col="__row").select(F.col("id").alias("__row"), "component"), "near-duplicates")
+    # Most groups are one row, which is its component; only the others meet the ids.
+    several = found.groupBy("component").agg(F.count("*").alias("k")).where("k > 1").select("component")
+    members = found.join(several, "component").join(rows.select("__row", "doc_id"), "__row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    kept = members.groupBy("component").agg(F.min(order).alias("first")).select("first.__row")
+    dropped = members.select("__row").join(kept, "__row", "left_anti")
+    return rows.join(dropped, "__row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
