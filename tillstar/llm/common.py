@@ -131,6 +131,19 @@ def release() -> None:
     gc.collect()
 
 
+_TASK: list[int] = [-1]
+
+
+def release_once() -> None:
+    """``release``, once for each task; for functions that Spark calls for every group."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get().taskAttemptId()
+    if _TASK[0] != task:
+        _TASK[0] = task
+        release()
+
+
 def per_worker(key: str, make):
     """Keep what ``make`` builds in a Python worker between its tasks, until another key is asked for:
     a worker that goes on to another stage gives the memory back."""

@@ -4,7 +4,7 @@ A document's set holds the hashes of its distinct word n-grams. Two sets link wh
 percent * union. Sets are ordered rare first (by how many sets hold an n-gram, then by hash); two sets that link
 share an n-gram in their prefixes, the first n - ceil(t * n) + 1 places. The steps:
 
-1. ``frequent_sets``: one pass cuts the texts, in chunks of some documents; equal sets of a chunk count once.
+1. ``frequent_sets``: one pass cuts the texts, in chunks of bounded bytes; equal sets of a chunk count once.
    Each n-gram goes to one of many reducers, which returns, to the chunk it came from, the number of sets that hold
    it if these are two or more. N-grams of one set cannot be shared, so they are dropped, and where what is left is
    less than a link needs, so is the document: most documents end here. Dropped n-grams keep their places: they
@@ -23,6 +23,9 @@ so a large group of near copies is not compared pair by pair; no link between di
 Words are runs of characters other than U+0020 and U+0009 to U+000D, with A-Z in lower case. Texts with fewer than
 n words are one n-gram; null texts and texts without a word are an empty set, linked with nothing. Rows without an id
 are left out of the join and have no component. Rows of one id are one document: what one of them links to, all do.
+
+N-grams are told apart by 48 bits of their 64-bit hash and by their reducer, which the other 16 help to choose: with a million
+n-grams to a reducer, about one pair of unequal ones in 300 reducers is taken for equal, which moves one set's count by one.
 """
 
 from __future__ import annotations
@@ -38,14 +41,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, per_worker, release, ship, slices, stored, text_bytes
+from .common import TwoGenerations, per_worker, release_once, ship, slices, stored, text_bytes
 from .components import connected
 
 MEMO_WORDS = 150_000
-CHUNK_DOCS = 4096
+CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 1 << 16  # of a chunk: texts end it at either
+REDUCER_BYTES = 8 << 20  # texts for each reducer of n-grams
 CROWDED = 8  # documents of a chunk that hold an n-gram, above which the reducer gets their number only
-LOW = (1 << 40) - 1
-DOCS, ENTRIES, MEMBERS, COUNTS = range(4)
+LOW_BITS = 48
+LOW = (1 << LOW_BITS) - 1
+DOCS, ENTRIES, COUNTS = range(3)
 BLOBS = "kind int, r int, sub long, chunk long, x binary, y binary, z binary"
 LEADERS = 2  # of each prefix n-gram's list, in a round
 STAR_ROUNDS = 2
@@ -82,15 +87,25 @@ def shingles(text: str | None, n: int, hashes) -> np.ndarray:
     return np.unique(out)
 
 
+def _reducer(tokens: np.ndarray, reducers: int) -> np.ndarray:
+    """The reducer of each n-gram: by the hash's highest 16 bits first, with 8 more for many reducers."""
+    return (((tokens >> np.uint64(LOW_BITS)) << np.uint64(8)) | (tokens & np.uint64(255))) % np.uint64(reducers)
+
+
 def _low_bytes(tokens: np.ndarray) -> bytes:
-    """The low 40 bits of each number, in planes of 32 and of 8 bits."""
-    return (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (tokens >> np.uint64(32) & np.uint64(255)).astype(np.uint8).tobytes()
+    """The low 48 bits of each number, in planes of 32 and of 16 bits."""
+    return (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (tokens >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
+
+
+def _gram(low: np.ndarray, r: np.ndarray | int) -> np.ndarray:
+    """One number for an n-gram's low bits and its reducer."""
+    return low.astype(np.int64) | (np.int64(r) if isinstance(r, int) else r.astype(np.int64)) % (1 << 15) << LOW_BITS
 
 
 def _from_low(raw: bytes, r: int) -> np.ndarray:
-    n = len(raw) // 5
-    low, high = np.frombuffer(raw, np.uint32, n), np.frombuffer(raw, np.uint8, n, 4 * n)
-    return low.astype(np.int64) | high.astype(np.int64) << 32 | r << 40
+    n = len(raw) // 6
+    low, high = np.frombuffer(raw, np.uint32, n), np.frombuffer(raw, np.uint16, n, 4 * n)
+    return _gram(low.astype(np.int64) | high.astype(np.int64) << 32, r)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -100,34 +115,39 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _chunk_rows(chunk: int, ids: list[int | None], sets: list[np.ndarray], reducers: int) -> Iterator[tuple]:
-    """The rows of a chunk: its documents, and for each reducer its n-grams."""
+    """The rows of a chunk: for each reducer its n-grams, and one of its documents, with the members of crowded n-grams."""
     import xxhash
 
     keys = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
-    yield (DOCS, -1, chunk + 1, chunk, np.array([[i is not None, i or 0] for i in ids], np.int64).reshape(-1, 2).tobytes(),
-           np.array([len(s) for s in sets], np.int64).tobytes(), b"".join(keys))
     seen: set[bytes] = set()
     first = []
     for k, (i, key) in enumerate(zip(ids, keys)):
         if i is not None and len(sets[k]) and key not in seen:
             seen.add(key)
             first.append(k)
-    if not first:
-        return
-    tokens = np.concatenate([sets[k] for k in first])
-    place = np.repeat(np.array(first, np.uint16), [len(sets[k]) for k in first])
-    where = (tokens >> np.uint64(40)) % np.uint64(reducers)
-    order = np.argsort(tokens & np.uint64(LOW) | where << np.uint64(40), kind="stable")
-    tokens, place, where = tokens[order], place[order], where[order].astype(np.int64)
-    for r, (a, b) in zip(*_runs(where)):
-        _, inverse, counts = np.unique(tokens[a:b] & np.uint64(LOW), return_inverse=True, return_counts=True)
-        crowded = counts[inverse] > CROWDED
-        t, p = tokens[a:b] & np.uint64(LOW), place[a:b]
-        own, n = np.unique(t[crowded], return_counts=True)
-        # The crowded ones stand behind the entries, with their numbers instead of places.
-        yield (ENTRIES, int(r), 0, chunk, _low_bytes(np.concatenate((t[~crowded], own))), p[~crowded].tobytes(), n.astype(np.int32).tobytes())
-        if len(own):
-            yield (MEMBERS, int(r), chunk + 1, chunk, _low_bytes(own), p[crowded].tobytes(), n.astype(np.int32).tobytes())
+    crowded_grams, crowded_places, crowded_numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+    if first:
+        tokens = np.concatenate([sets[k] for k in first])
+        place = np.repeat(np.array(first, np.uint16), [len(sets[k]) for k in first])
+        where = _reducer(tokens, reducers)
+        order = np.lexsort((tokens & np.uint64(LOW), where))
+        tokens, place, where = tokens[order] & np.uint64(LOW), place[order], where[order].astype(np.int64)
+        for r, (a, b) in zip(*_runs(where)):
+            own, inverse, counts = np.unique(tokens[a:b], return_inverse=True, return_counts=True)
+            many = counts > CROWDED
+            crowded = many[inverse]
+            # The crowded ones stand behind the entries, with their numbers instead of places.
+            yield (ENTRIES, int(r), 0, chunk, _low_bytes(np.concatenate((tokens[a:b][~crowded], own[many]))), place[a:b][~crowded].tobytes(),
+                   counts[many].astype(np.int32).tobytes())
+            if many.any():
+                crowded_grams.append(_gram(own[many], int(r)))
+                crowded_places.append(place[a:b][crowded])
+                crowded_numbers.append(counts[many])
+    grams, numbers = np.concatenate(crowded_grams), np.concatenate(crowded_numbers)
+    head = np.array([len(ids), len(grams)], np.int64)
+    yield (DOCS, -1, chunk + 1, chunk, head.tobytes() + np.array([[i is not None, i or 0] for i in ids], np.int64).reshape(-1, 2).tobytes()
+           + np.array([len(s) for s in sets], np.int64).tobytes() + b"".join(keys),
+           grams.tobytes() + numbers.astype(np.int64).tobytes(), np.concatenate(crowded_places).tobytes())
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -140,8 +160,8 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
 
 
 def _reduce(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one reducer: the n-grams that two or more sets hold, back by chunk. Other rows pass."""
-    release()
+    """Of one reducer: the n-grams that two or more sets hold, back by chunk. A chunk's own row passes."""
+    release_once()
     if rows["kind"].iat[0] != ENTRIES:
         return rows
     r = int(rows["r"].iat[0])
@@ -172,29 +192,30 @@ def _reduce(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _gather(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     """Of one chunk: its documents, with the shared n-grams rare first where a link is possible."""
-    docs = rows[rows["kind"] == DOCS].iloc[0]
-    ids = np.frombuffer(docs["x"], np.int64).reshape(-1, 2)
-    sizes, keys = np.frombuffer(docs["y"], np.int64), docs["z"]
+    release_once()
+    own = rows[rows["kind"] == DOCS].iloc[0]
+    n, crowded = np.frombuffer(own["x"], np.int64, 2).tolist()
+    ids = np.frombuffer(own["x"], np.int64, 2 * n, 16).reshape(-1, 2)
+    sizes, keys = np.frombuffer(own["x"], np.int64, n, 16 + 16 * n), own["x"][16 + 24 * n:]
+    grams, numbers = np.frombuffer(own["y"], np.int64, crowded), np.frombuffer(own["y"], np.int64, crowded, 8 * crowded)
     tokens, places, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-    number = {}
+    of_all = np.zeros(len(grams), np.int32)
+    order = np.argsort(grams)
     for kind, x, y, z in zip(rows["kind"], rows["x"], rows["y"], rows["z"]):
         if kind == ENTRIES:
             tokens.append(np.frombuffer(x, np.int64))
             places.append(np.frombuffer(y, np.uint16).astype(np.int64))
             held.append(np.frombuffer(z, np.int32))
         elif kind == COUNTS:
-            number.update(zip(np.frombuffer(x, np.int64).tolist(), np.frombuffer(z, np.int32).tolist()))
-    for kind, r, x, y, z in zip(rows["kind"], rows["r"], rows["x"], rows["y"], rows["z"]):
-        if kind == MEMBERS:
-            t, n = _from_low(x, int(r)), np.frombuffer(z, np.int32)
-            tokens.append(np.repeat(t, n))
-            places.append(np.frombuffer(y, np.uint16).astype(np.int64))
-            held.append(np.repeat(np.array([number[k] for k in t.tolist()], np.int32), n))
+            of_all[order[np.searchsorted(grams, np.frombuffer(x, np.int64), sorter=order)]] = np.frombuffer(z, np.int32)
+    tokens.append(np.repeat(grams, numbers))
+    places.append(np.frombuffer(own["z"], np.uint16).astype(np.int64))
+    held.append(np.repeat(of_all, numbers))
     token, place, h = map(np.concatenate, (tokens, places, held))
     order = np.lexsort((token, h, place))
     token, place = token[order], place[order]
     found = {int(p): token[a:b] for p, (a, b) in zip(*_runs(place))}
-    rest = [t if (t := found.get(k)) is not None and len(t) >= rule.need(int(n)) else None for k, n in enumerate(sizes)]
+    rest = [t if (t := found.get(k)) is not None and len(t) >= rule.need(int(size)) else None for k, size in enumerate(sizes)]
     return pd.DataFrame({"id": pd.array([int(i) if there else None for there, i in ids], dtype="Int64"), "n": sizes,
                          "set_key": [keys[16 * k:16 * k + 16] for k in range(len(sizes))], "grams": rest})
 
@@ -204,16 +225,24 @@ def frequent_sets(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
     rare first; null where these are too few for a link, and for all but one of the equal sets of a chunk."""
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    reducers = min(1 << 23, max(1, math.ceil(text_bytes(rows) / (16 << 20))))
+    reducers = min(1 << 23, max(1, math.ceil(text_bytes(rows) / REDUCER_BYTES)))
 
     def blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word-hashes", lambda: TwoGenerations(word_hash, MEMO_WORDS))
-        chunk = TaskContext.get().partitionId() << 32
+        chunk, ids, sets, held = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for part in slices(batch, CHUNK_DOCS):
-                sets = [shingles(t, rule.n, hashes) for few in slices(part.column(1)) for t in few.to_pylist()]
-                yield _batch(list(_chunk_rows(chunk, part.column(0).to_pylist(), sets, reducers)))
-                chunk += 1
+            for few in slices(batch):
+                for i, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
+                    ids.append(i)
+                    sets.append(shingles(text, rule.n, hashes))
+                    held += len(text or "")
+                    if held >= CHUNK_BYTES or len(ids) == CHUNK_DOCS:
+                        for row in _chunk_rows(chunk, ids, sets, reducers):
+                            yield _batch([row])
+                        chunk, ids, sets, held = chunk + 1, [], [], 0
+        if ids:
+            for row in _chunk_rows(chunk, ids, sets, reducers):
+                yield _batch([row])
 
     shared = rows.mapInArrow(blobs, BLOBS).groupBy("r", "sub").applyInPandas(_reduce, BLOBS)
     return shared.groupBy("chunk").applyInPandas(lambda chunk: _gather(chunk, rule), "id long, n long, set_key binary, grams array<long>")
