@@ -4,21 +4,25 @@ Texts are lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and thes
 counted for each language (null: ``und``); n is its words, f(phrase) the places, overlaps included, at which a phrase
 stands inside a piece. The steps:
 
-1. ``cut_chunks`` turns texts into chunks of one language and bounded bytes: the distinct words, and for each place the number of its word.
+1. ``cut_chunks`` turns texts into chunks of one language and bounded bytes: the distinct words, and for each place the number of
+   its word. They lie in files in the shared folder; what Spark moves are rows that say where.
 2. Prefix polynomials over the words' 64-bit hashes give the fingerprint of every n-gram of a chunk as a difference, in numpy.
    A chunk sends each distinct fingerprint once, with its number of occurrences there; a shuffle by fingerprint
-   sums them and returns those of ``least`` occurrences or more to the chunks they came from (the pointers). First words; then
-   pairs of frequent words; then runs of 3 to 5 words all of whose pairs are frequent. A phrase cannot be more frequent than a
-   part of it, so nothing is lost.
-3. Each chunk writes out its frequent phrases only, and checks against the text: places that share a fingerprint
-   must have the same words, otherwise they are counted apart. Chunks' phrases meet by their words, not by
-   fingerprints, so counts are exact whatever collides.
-4. ``score`` compares a candidate (2 to ``longest`` words, a = f(phrase) >= ``least``) with its cuts: after k words, l = f(first
+   sums them, and those of ``least`` occurrences or more go back to the chunks they came from, which are the pointers to
+   their occurrences. First words; then pairs of frequent words; then runs of 3 to 5 words all of whose pairs are frequent.
+   A phrase cannot be more frequent than a part of it, so nothing is lost.
+3. Of the chunks that hold a frequent fingerprint the first writes out its phrase: only frequent phrases become text, each once.
+4. The others then check it against their text: places that share a fingerprint must have the same words, in a chunk word by
+   word and between chunks by another hash of the words. Words that differ are written out and counted apart, and taken off the
+   first phrase's count, so counts are exact when fingerprints collide.
+5. ``score`` compares a candidate (2 to ``longest`` words, a = f(phrase) >= ``least``) with its cuts: after k words, l = f(first
    part) and r = f(rest) give floor(1000 * a * n / (l * r)), in 38-digit arithmetic. The lowest score counts, ties
    to the smallest k. A candidate is dropped if its words stand inside a longer candidate, dropped or not, that is as frequent.
 
 What a shuffle sends for one fingerprint grows with the chunks, not with its occurrences. Null and empty texts and an empty table have no words.
 Repeated rows count as often as they stand. Other columns are not read.
+
+Recovery: a task writes its chunks to a file named after its attempt, and the rows that Spark commits name the files that count.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from typing import NamedTuple
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +39,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, ship, slices, stored
+from .common import release, shared_path, ship, slices, stored
+from .warc_packages import file_system, open_for_reading
 
 LEAST, LONGEST, TOP = 100, 5, 2000
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 16 << 20  # of one chunk, and three times that of all that a task has open
 UNKNOWN = "und"
 END = b"\xff"  # the end of a piece: a byte that no text holds
 #: A-Z in lower case, the ends of pieces as END, tabs as spaces; other bytes as they are.
 BYTES = bytes(b | 32 if 65 <= b <= 90 else 255 if 10 <= b <= 13 or b in b".,;:!?" else 32 if b == 9 else b for b in range(256))
-CHUNKS = "chunk long, lang string, n long, words binary, places binary"
+CHUNKS = "chunk long, lang string, n long, file string, start long, words long, places long"
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+HASH_SEED = 42  # of Spark's xxhash64
 
 
 class Chunk:
@@ -62,11 +70,11 @@ class Chunk:
         self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.bytes += len(raw)
 
-    def row(self, chunk: int, lang: str) -> dict:
+    def packed(self) -> tuple[int, bytes, bytes]:
+        """The number of words, and, packed, the distinct words and the places' numbers."""
         places = np.concatenate(self.parts)
         words = b"\n".join(list(self.numbers)[1:])  # no word holds a line end
-        return {"chunk": chunk, "lang": lang, "n": int(np.count_nonzero(places)),
-                "words": pack(words), "places": pack(places.tobytes())}
+        return int(np.count_nonzero(places)), pack(words), pack(places.tobytes())
 
 
 def pack(raw: bytes) -> bytes:
@@ -79,22 +87,31 @@ def unpack(raw: bytes) -> bytes:
 
 
 def cut_chunks(df: DataFrame, text_col: str = "text", lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Chunks of words: chunk, lang, n (words), and, packed, the distinct words and the places' word numbers."""
-    ship(df.sparkSession)
+    """Chunks of words: chunk, lang, n (words), and where they lie: file, start, and the lengths of words and places."""
+    folder = f"{shared_path(ship(df.sparkSession), 'phrase-files')}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        number = TaskContext.get().partitionId() << 32
+        task, at, made, stream = TaskContext.get().partitionId(), 0, 0, None
+        name = f"{folder}/chunks-{task:06d}-{uuid4().hex}"
         open_: dict[str, Chunk] = defaultdict(Chunk)
 
-        def full() -> Iterator[pa.RecordBatch]:
-            nonlocal number
-            for lang, chunk in open_.items():
-                yield pa.RecordBatch.from_pylist([chunk.row(number, lang)], schema)
-                number += 1
-            open_.clear()
-
-        schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("words", pa.binary()), ("places", pa.binary())])
+        def write(langs: list[str]) -> pa.RecordBatch:
+            nonlocal at, made, stream
+            if stream is None:
+                system, inner = file_system(name)
+                system.create_dir(inner.rpartition("/")[0], recursive=True)
+                stream = system.open_output_stream(inner)
+            rows = []
+            for lang in langs:
+                n, words, places = open_.pop(lang).packed()
+                stream.write(words)
+                stream.write(places)
+                rows.append({"chunk": task << 32 | made, "lang": lang, "n": n, "file": name, "start": at, "words": len(words), "places": len(places)})
+                at, made = at + len(words) + len(places), made + 1
+            return pa.RecordBatch.from_pylist(rows)
+
+        written = []  # rows leave when their file is closed; few, as chunks are large
         for batch in batches:
             for some in slices(batch):
                 by_lang: dict[str, list[str]] = defaultdict(list)
@@ -102,9 +119,15 @@ def cut_chunks(df: DataFrame, text_col: str = "text", lang_col: str = "lang", ch
                     by_lang[lang].append(text)
                 for lang, texts in by_lang.items():
                     open_[lang].add(texts)
-                if sum(c.bytes for c in open_.values()) >= chunk_bytes:
-                    yield from full()
-        yield from full()
+                    if open_[lang].bytes >= chunk_bytes:
+                        written.append(write([lang]))
+                if sum(c.bytes for c in open_.values()) >= 3 * chunk_bytes:
+                    written.append(write(list(open_)))
+        if open_:
+            written.append(write(list(open_)))
+        if stream is not None:
+            stream.close()
+        yield from written
 
     rows = df.where(F.length(text_col) > 0).select(F.col(text_col).cast("string"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)))
     return rows.mapInArrow(cut, CHUNKS)
@@ -184,19 +207,30 @@ def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 COUNTS = "print long, chunk long, k long"
+KNOWN = "print long, chunk long, total long, first boolean"
 
 
 def _counts(chunk: int, prints: np.ndarray, k: np.ndarray) -> pa.Table:
     return pa.table({"print": pa.array(prints, pa.int64()), "chunk": pa.array(np.full(len(prints), chunk), pa.int64()), "k": pa.array(k, pa.int64())})
 
 
-def _chunk(left: pa.Table) -> tuple[int, str, Prints]:
-    row = left.to_pylist()[0]
-    return row["chunk"], row["lang"], Prints(row["lang"], row["words"], row["places"])
+def _read(row: dict) -> Prints:
+    with open_for_reading(row["file"]) as file:
+        raw = file.read_at(row["words"] + row["places"], row["start"])
+    return Prints(row["lang"], raw[:row["words"]], raw[row["words"]:])
+
 
+class Known(NamedTuple):
+    """What a chunk is told of its frequent fingerprints, in their order."""
 
-def _known(right: pa.Table) -> np.ndarray:
-    return np.unique(right.column("print").to_numpy()) if right.num_rows else np.zeros(0, np.int64)
+    prints: np.ndarray
+    columns: dict[str, np.ndarray]
+
+    @classmethod
+    def of(cls, told: pa.Table) -> Known:
+        columns = {c: told.column(c).to_numpy(zero_copy_only=False) for c in told.column_names}
+        order = np.argsort(columns["print"], kind="stable")
+        return cls(columns["print"][order].astype(np.int64), {c: v[order] for c, v in columns.items()})
 
 
 def word_counts(chunks: DataFrame) -> DataFrame:
@@ -205,57 +239,100 @@ def word_counts(chunks: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            for one in slices(batch, 1):
-                chunk, _, prints = _chunk(pa.Table.from_batches([one]))
+            for row in batch.to_pylist():
+                prints = _read(row)
                 k = np.bincount(prints.places, minlength=len(prints.words))[1:]
-                yield from _counts(chunk, prints.of_words()[1:], k).to_batches(max_chunksize=1 << 16)
+                yield from _counts(row["chunk"], prints.of_words()[1:], k).to_batches(max_chunksize=1 << 16)
+
+    return spread(chunks).mapInArrow(count, COUNTS)
 
-    return chunks.mapInArrow(count, COUNTS)
+
+def spread(chunks: DataFrame) -> DataFrame:
+    """Rows that only name chunks are too small for their number to decide on tasks."""
+    return chunks.repartition(max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "chunk")
 
 
 def gram_counts(chunks: DataFrame, known: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     """Likewise for n-grams of these sizes that may be frequent, by what is known of the smaller ones."""
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _counts(0, np.zeros(0, np.int64), np.zeros(0, np.int64))
-        chunk, _, prints = _chunk(left)
-        found = [np.unique(prints.at(s, n), return_counts=True) for n, s in prints.starts(_known(right), max(sizes)) if n in sizes]
-        return _counts(chunk, np.concatenate([p for p, _ in found]), np.concatenate([k for _, k in found]))
+        row = left.to_pylist()[0]
+        prints = _read(row)
+        found = [np.unique(prints.at(s, n), return_counts=True) for n, s in prints.starts(Known.of(right).prints, max(sizes)) if n in sizes]
+        return _counts(row["chunk"], np.concatenate([p for p, _ in found]), np.concatenate([k for _, k in found]))
+
+    return with_known(chunks, known, count, COUNTS)
+
+
+def with_known(chunks: DataFrame, known: DataFrame, function, schema: str) -> DataFrame:
+    """Each chunk's row together with what is known of its fingerprints; chunks without any are left out."""
+    told = known.withColumnRenamed("chunk", "of")
 
-    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(count, COUNTS)
+    def call(left: pa.Table, right: pa.Table) -> pa.Table:
+        return function(left, right) if left.num_rows and right.num_rows else empty
+
+    empty = pa.table({c.split(" ")[0]: pa.array([], {"long": pa.int64(), "string": pa.string()}[c.split(" ")[1]]) for c in schema.split(", ")})
+    return chunks.groupBy("chunk").cogroup(told.groupBy("of")).applyInArrow(call, schema)
 
 
 def frequent(counts: DataFrame, least: int) -> DataFrame:
-    """The fingerprints with at least so many occurrences in all, by chunk: print, chunk."""
-    total = F.sum("k").over(Window.partitionBy("print"))
-    return counts.withColumn("total", total).where(F.col("total") >= least).select("print", "chunk")
+    """The fingerprints with at least so many occurrences in all, by chunk: print, chunk, their total, and whether the chunk is
+    the first that holds them."""
+    same = Window.partitionBy("print")
+    counts = counts.select("print", "chunk", F.sum("k").over(same).alias("total"), F.min("chunk").over(same).alias("least_chunk"))
+    return counts.where(F.col("total") >= least).select("print", "chunk", "total", (F.col("chunk") == F.col("least_chunk")).alias("first"))
+
+
+def phrases_at(prints: Prints, known: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """The chunk's phrases with known fingerprints: of some at a time, the fingerprints' places among the known ones, the phrases'
+    occurrences, and their words. A fingerprint comes again for every other phrase that has it."""
+    own = member(prints.of_words(), known)
+    own[0] = False
+    k = np.bincount(prints.places, minlength=len(prints.words))
+    yield np.searchsorted(known, prints.of_words()[own]), k[own], [prints.words[i] for i in np.flatnonzero(own).tolist()]
+    for n, starts in prints.starts(known, longest):
+        at = prints.at(starts, n)
+        there = member(at, known)
+        for first, times in same_words(prints.places, starts[there], at[there], n):
+            words = [b" ".join([prints.words[i] for i in w]) for w in prints.places[first[:, None] + np.arange(n)].tolist()]
+            yield np.searchsorted(known, prints.at(first, n)), times, words
 
 
 def written_out(chunks: DataFrame, known: DataFrame, longest: int) -> DataFrame:
-    """The chunks' frequent phrases in words, with their occurrences there: lang, phrase, k."""
+    """Each frequent fingerprint's phrase, from the first chunk that holds it: print, lang, phrase, total."""
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
-        langs, phrases, ks = [], [], []
-        if left.num_rows:
-            _, lang, prints = _chunk(left)
-            frequent_ = _known(right)
-            own = member(prints.of_words(), frequent_)
-            own[0] = False
-            k = np.bincount(prints.places, minlength=len(prints.words))
-            phrases += [prints.words[i] for i in np.flatnonzero(own).tolist()]
-            ks += k[own].tolist()
-            for n, starts in prints.starts(frequent_, longest):
-                at = prints.at(starts, n)
-                there = member(at, frequent_)
-                for first, times in same_words(prints.places, starts[there], at[there], n):
-                    phrases += [b" ".join([prints.words[i] for i in w]) for w in prints.places[first[:, None] + np.arange(n)].tolist()]
-                    ks += times.tolist()
-            langs = [lang] * len(phrases)
-        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array([p.decode() for p in phrases], pa.string()),
-                         "k": pa.array(ks, pa.int64())})
-
-    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(write, "lang string, phrase string, k long")
+        row, told = left.to_pylist()[0], Known.of(right)
+        first, total = told.columns["first"].astype(bool), told.columns["total"]
+        phrases: dict[int, bytes] = {}
+        for at, _, words in phrases_at(_read(row), told.prints, longest):
+            for i in np.flatnonzero(first[at]).tolist():
+                phrases.setdefault(int(at[i]), words[i])
+        at = np.array(list(phrases), np.int64)
+        return pa.table({"print": pa.array(told.prints[at]), "lang": pa.array([row["lang"]] * len(at), pa.string()),
+                         "phrase": pa.array([p.decode() for p in phrases.values()], pa.string()), "total": pa.array(total[at].astype(np.int64))})
+
+    return with_known(chunks, known, write, "print long, lang string, phrase string, total long")
+
+
+def differing(chunks: DataFrame, known: DataFrame, longest: int) -> DataFrame:
+    """Phrases that are not the one written out for their fingerprint, of which ``known`` holds the ``hash``: print, lang, phrase
+    and k, their occurrences in a chunk."""
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        import xxhash
+
+        row, told = left.to_pylist()[0], Known.of(right)
+        expected = told.columns["hash"].astype(np.int64)
+        out = []
+        for at, times, words in phrases_at(_read(row), told.prints, longest):
+            own = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), np.uint64, len(words)).view(np.int64)
+            out += [(told.prints[at[i]], row["lang"], words[i].decode(), times[i]) for i in np.flatnonzero(own != expected[at]).tolist()]
+        columns = list(zip(*out)) or [()] * 4
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(("print", "lang", "phrase", "k"), columns,
+                                                              (pa.int64(), pa.string(), pa.string(), pa.int64()))})
+
+    return with_known(chunks, known, compare, "print long, lang string, phrase string, k long")
 
 
 def same_words(places: np.ndarray, starts: np.ndarray, prints: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -280,8 +357,13 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     for sizes in ((2,), tuple(range(3, longest + 1))):
         more = stored(frequent(gram_counts(chunks, known, sizes), least), "frequent-grams")
         known = known.unionByName(more)
-    parts = written_out(chunks, known, longest)
-    phrases = parts.groupBy("lang", "phrase").agg(F.sum("k").alias("f")).where(F.col("f") >= least)
+    out = stored(written_out(chunks, known, longest), "phrases-written")
+    hashes = out.select("print", F.xxhash64("phrase").alias("hash"))
+    other = stored(differing(chunks, known.select("print", "chunk").join(hashes, "print"), longest), "phrases-differing")
+    off = other.groupBy("print").agg(F.sum("k").alias("k"))
+    first = out.join(off, "print", "left").select("lang", "phrase", (F.col("total") - F.coalesce("k", F.lit(0))).alias("f"))
+    apart = other.groupBy("lang", "phrase").agg(F.sum("k").alias("f"))
+    phrases = first.unionByName(apart).where(F.col("f") >= least)
     return stored(phrases, "phrases"), stored(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
 
 

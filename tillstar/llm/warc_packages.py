@@ -71,13 +71,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 
 def open_for_reading(path: str):
-    from pyarrow import fs
-
-    system, inner = _file_system(path, fs)
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 
-def _file_system(path: str, fs):
+def file_system(path: str):
+    """Arrow's file system for a path's scheme, and the path within it."""
+    from pyarrow import fs
+
     if path.startswith("file:"):
         path = "/" + path[5:].lstrip("/")
     return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
@@ -227,10 +228,8 @@ def write_packages(df: DataFrame, path: str, id_col: str = "page_id", url_col: s
     date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         release()
-        system, folder = _file_system(f"{path}/packages", fs)
+        system, folder = file_system(f"{path}/packages")
         package = stream = name = None
 
         def finished() -> pa.RecordBatch:
