@@ -39,7 +39,8 @@ from .common import TwoGenerations, per_worker, ship, slices
 
 MARK = "▁"
 MEMO_CHUNKS = 150_000
-MEMO_PAIRS = 200_000
+MEMO_CHARACTERS = 40  # longer chunks are not kept, so that the memo is bounded in bytes as well
+MEMO_PAIRS = 400_000
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
 PROBES = ("", " ", "a", " a", "a  b", "a\nb", "\ta b ", f"{MARK}a", "héllo wörld", "中文 x",
           "\U0001f600\U0001f601", "<s> </s> <0x0A>", "the  quick   brown    fox", "\x00", "ab" * 40, " " * 37)
@@ -117,8 +118,14 @@ class Encoder:
         self.vocab = vocab
         self.automaton = ahocorasick.Automaton()
         for piece in vocab.reachable:
-            self.automaton.add_word(piece, (vocab.ids[piece], len(piece)))
+            self.automaton.add_word(piece, vocab.ids[piece])
         self.automaton.make_automaton()
+        self.sizes = [len(p) for p in vocab.pieces]
+        # The next shorter match at a token's start: the longest piece that begins it.
+        self.shorter = [-1] * len(vocab.pieces)
+        for piece in vocab.reachable:
+            begins = next((piece[:k] for k in range(len(piece) - 1, 0, -1) if piece[:k] in vocab.reachable), None)
+            self.shorter[vocab.ids[piece]] = -1 if begins is None else vocab.ids[begins]
         self.alphabet = frozenset(p for p in vocab.ids if len(p) == 1)
         self.joints = frozenset(p[i:i + 2] for p in vocab.ids for i in range(len(p) - 1))
         self.pairs: dict[int, bool] = {}
@@ -129,7 +136,8 @@ class Encoder:
         found = self.pairs.get(key)
         if found is None:
             a, b = self.vocab.pieces[left], self.vocab.pieces[right]
-            found = merged(self.vocab, a + b) == [a, b]
+            # Where no piece holds the two characters at the border side by side, no merge crosses it.
+            found = a[-1] + b[0] not in self.joints or merged(self.vocab, a + b) == [a, b]
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
             self.pairs[key] = found
@@ -137,38 +145,45 @@ class Encoder:
 
     def backtrack(self, text: str) -> list[int]:
         """Ids of a text of known characters without two space marks in a row."""
-        n = len(text)
-        matches: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(text):
-            matches[end - match[1] + 1].append(match)  # shorter matches of a start come first
+        pairs, sizes, shorter = self.pairs, self.sizes, self.shorter
+        n, at, longest, fits = len(text), 0, {}, True
+        for _, token in self.automaton.iter_long(text):  # the longest match, and from its end again
+            longest[at] = token
+            at += sizes[token]
+        path = list(longest.values())
+        # Mostly these fit one behind the other.
+        for left, right in zip(path, path[1:]):
+            ok = pairs.get(left << 32 | right)
+            if not (ok or ok is None and self.compatible(left, right)):
+                fits = False
+                break
+        if fits and at == n:
+            return path
         failed = bytearray((n >> 3) + 1)
         tokens: list[int] = []
-        starts: list[int] = []
-        tried: list[int] = []  # index of each token among the matches at its start
-        at, k = 0, len(matches[0]) - 1
-        pairs = self.pairs
+        at, token = 0, longest[0]
         while at < n:
-            here = matches[at]
-            while k >= 0:
-                token, length = here[k]
-                end = at + length
+            while token >= 0:
+                end = at + sizes[token]
                 if not failed[end >> 3] >> (end & 7) & 1:
                     if not tokens:
                         break
                     ok = pairs.get(tokens[-1] << 32 | token)
                     if ok or ok is None and self.compatible(tokens[-1], token):
                         break
-                k -= 1
-            if k >= 0:
+                token = shorter[token]
+            if token >= 0:
                 tokens.append(token)
-                starts.append(at)
-                tried.append(k)
                 at = end
-                k = len(matches[at]) - 1 if at < n else 0
+                if at < n:
+                    token = longest.get(at, -1)
+                    if token < 0:
+                        token = longest[at] = next(self.automaton.iter_long(text, at))[1]
             elif tokens:
                 failed[at >> 3] |= 1 << (at & 7)
-                tokens.pop()
-                at, k = starts.pop(), tried.pop() - 1
+                token = tokens.pop()
+                at -= sizes[token]
+                token = shorter[token]
             else:
                 raise ValueError(f"no tokens spell {text!r}")
         return tokens
@@ -205,7 +220,8 @@ class Encoder:
         while end > 1 and rest[end - 2:end] not in self.joints and rest[end - 1] in known and rest[end - 2] in known:
             end -= 1
         if end < len(rest):
-            return self.chunks[rest[:end]] + array("i", map(self.vocab.ids.__getitem__, rest[end:])).tobytes()
+            own = self.chunks[rest[:end]] if end <= MEMO_CHARACTERS else self._chunk_bytes(rest[:end])
+            return own + array("i", map(self.vocab.ids.__getitem__, rest[end:])).tobytes()
         return array("i", self.encode_chunk(MARK + rest)).tobytes()
 
     def encode_bytes(self, text: str | None) -> bytes:
@@ -216,6 +232,8 @@ class Encoder:
             chunks = [c[1:] for c in CHUNKS.findall(MARK + text.replace(" ", MARK))]
         else:
             chunks = text.split(" ")
+        if len(text) > MEMO_CHARACTERS and max(map(len, chunks)) > MEMO_CHARACTERS:
+            return b"".join([self.chunks[c] if len(c) <= MEMO_CHARACTERS else self._chunk_bytes(c) for c in chunks])
         return b"".join(map(self.chunks.__getitem__, chunks))
 
     def encode(self, text: str | None) -> list[int]:
