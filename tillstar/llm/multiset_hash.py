@@ -123,26 +123,30 @@ def bounds_below(key: Column, cuts: list[int]) -> Column:
 
 def with_next(df: DataFrame, key: str = "doc_id", text_col: str = "text", bucket_bytes: int = 32 << 20) -> DataFrame:
     """Each row with the text of the next row in ascending ``key`` (after the last: the first): columns
-    ``key``, ``text``, ``next_key``, ``next_text`` and ``place``, a number of the row's own. Rows without a key come first; rows of one key are
-    ordered by text. Keys are meant to be unique: all rows of one key meet in one task.
+    ``key``, ``text``, ``next_key``, ``next_text``, and ``place`` and ``next_place``, numbers of the row and of the next. Rows without
+    a key come first; rows of one key are ordered by text. Keys are meant to be unique: all rows of one key meet in one task.
 
-    Rows are dealt into buckets by key range (bounds from one quantile pass over the keys), and a copy of
+    Rows are dealt into buckets by key range (bounds from one quantile pass over the keys), a bucket to a partition, and a copy of
     each bucket's first key goes to the bucket before it, so no window spans more than a bucket."""
     rows = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = max(1, math.ceil(text_bytes(rows) / bucket_bytes))
-    cuts = sorted(set(rows.agg(F.percentile_approx("key", [k / n for k in range(1, n)], 100 * n)).first()[0] or [])) if n > 1 else []
-    bucket = bounds_below(F.col("key"), cuts)
+    cuts = sorted(set(rows.agg(F.percentile_approx("key", [k / n for k in range(1, n)], 20 * n)).first()[0] or [])) if n > 1 else []
+    bucket = bounds_below(F.col("key"), cuts).cast("int")
     dealt = rows.withColumn("bucket", bucket)
     firsts = dealt.groupBy("bucket").agg(F.min(F.struct(F.col("key").isNotNull(), F.col("key"))).getField("key").alias("first"))
     order = Window.orderBy("bucket")  # a row per bucket
     ends = F.min("bucket").over(Window.partitionBy()), F.max("bucket").over(Window.partitionBy())
-    borders = firsts.select("first", F.coalesce(F.lag("bucket").over(order), ends[1]).alias("to"),
+    borders = firsts.select("first", F.col("bucket").alias("from"), F.coalesce(F.lag("bucket").over(order), ends[1]).alias("to"),
                             (F.col("bucket") == ends[0]).alias("wraps"))
     # The copies: rows of the first key of each bucket, for the bucket before (the last one, for the first).
     copies = (rows.join(F.broadcast(borders), F.col("key").eqNullSafe(F.col("first")))  # a row per bucket
-              .select("key", "text", F.col("to").alias("bucket"), F.when(F.col("wraps"), 2).otherwise(1).alias("copy")))
+              .select("key", "text", F.col("to").alias("bucket"), F.when(F.col("wraps"), 2).otherwise(1).alias("copy"), "from"))
     inside = Window.partitionBy("bucket").orderBy("copy", F.col("key").asc_nulls_first(), "text")
-    both = dealt.select("key", "text", "bucket", F.lit(0).alias("copy")).unionByName(copies)
-    place = F.shiftleft(F.col("bucket").cast("long"), 32) + F.row_number().over(inside)
-    return (both.select("key", "text", "copy", place.alias("place"), F.lead("key").over(inside).alias("next_key"), F.lead("text").over(inside).alias("next_text"))
-            .where("copy = 0").select("key", "text", "next_key", "next_text", "place"))
+    both = dealt.select("key", "text", "bucket", F.lit(0).alias("copy"), F.lit(None).cast("int").alias("from")).unionByName(copies)
+    both = both.repartitionById(len(cuts) + 1, F.col("bucket"))
+    first_place = lambda b: F.shiftleft(b.cast("long"), 32) + 1
+    place = first_place(F.col("bucket")) - 1 + F.row_number().over(inside)
+    following = F.coalesce(first_place(F.lead("from").over(inside)), place + 1)  # a copy is the first row of its bucket
+    return (both.select("key", "text", "copy", place.alias("place"), following.alias("next_place"), F.lead("key").over(inside).alias("next_key"),
+                        F.lead("text").over(inside).alias("next_text"))
+            .where("copy = 0").select("key", "text", "next_key", "next_text", "place", "next_place"))

@@ -83,19 +83,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint every text, its edited text and the next document's text."""
+    """Fingerprint every text and its edited text, and compare them and the next document's fingerprint."""
     rows = multiset_hash.with_next(documents(spark, sf_dir))
     n, moved = F.length("text").cast("long"), F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.left("text", F.length("text") - moved), F.left("next_text", moved))
-    rows = rows.select("place", F.col("key").alias("doc_id"), n.alias("n_chars"), edited.alias("edited"), "text", "next_text")
-    rows = rows.withColumn("edited_sha256", sha256("edited"))
-    own = ["place", "doc_id", "n_chars", "edited_sha256"]
-    texts = rows.select(*own, F.posexplode(F.array("text", "edited", "next_text")).alias("which", "t"))
-    found = multiset_hash.lane_sums(texts, [*own, "which"], "t")
-    # The three texts' sums side by side: plain numbers, so this aggregate hashes as well.
-    one = found.groupBy(*own).agg(*(F.sum(F.when(F.col("which") == k, F.col(c))).alias(f"{name}_{c}")
-                                    for k, name in enumerate(("own", "edited", "next")) for c in multiset_hash.SUMS))
-    one = one.select(*own, *(multiset_hash.lanes(f"{name}_").alias(name) for name in ("own", "edited", "next")))
+    rows = rows.select("place", "next_place", F.col("key").alias("doc_id"), n.alias("n_chars"), "text", edited.alias("edited"))
+    own = ["place", "next_place", "doc_id", "n_chars", "edited_sha256"]
+    texts = rows.select(*own[:-1], sha256("edited").alias("edited_sha256"), F.posexplode(F.array("text", "edited")).alias("which", "t"))
+    sums = multiset_hash.lane_sums(texts, [*own, "which"], "t")
+    found = stored(sums.select(*own, "which", multiset_hash.lanes().alias("lanes")), "fingerprints")  # read three times
+    side = lambda which, name: found.where(F.col("which") == which).select("place", F.col("lanes").alias(name))
+    one = found.where("which = 0").select(*own, F.col("lanes").alias("own"))
+    one = one.join(side(1, "edited"), "place").join(side(0, "next").withColumnRenamed("place", "next_place"), "next_place")
     text = lambda name: multiset_hash.fingerprint_text(F.col(f"{name}.uniform"), F.col(f"{name}.signs"))
     return one.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("edited").alias("edited_fingerprint"),
                       multiset_hash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
