@@ -160,12 +160,14 @@ class Aligner:
             if not text:
                 yield None
                 continue
-            a, b, raw = self.a.encode(" " + text), next(of_b), b" " + text.encode()
-            if (b"".join(map(self.b.spelled.__getitem__, b)) != raw or b"".join(map(self.a.spelled.__getitem__, a)) != raw):
+            a, b, raw = np.array(self.a.encode(" " + text), np.int64), next(of_b), b" " + text.encode()
+            # A's tokens are cut from the text's own bytes, each of which is an entry, so their length tells whether all are there.
+            ends_a = np.cumsum(self.sizes_a[a])
+            if ends_a[-1] != len(raw) or b"".join(map(self.b.spelled.__getitem__, b)) != raw:
                 yield None
                 continue
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
-            last = common_ends(np.cumsum(self.sizes_a[a]).tolist(), np.cumsum(self.sizes_b[b]).tolist())
+            b = np.array(b, np.int64)
+            last = common_ends(ends_a.tolist(), np.cumsum(self.sizes_b[b]).tolist())
             yield Alignment(a, b, *(np.array(x, np.int64) for x in last))
 
     def groups_text(self, found: Alignment) -> bytes:
@@ -175,14 +177,20 @@ class Aligner:
         code_a[found.last_a] += n_a
         code_b[found.last_b] += n_b
         # Before a token stand the other side's tokens of the groups before its own, and for B of its own.
-        group_a = np.searchsorted(found.last_a, np.arange(len(code_a)))
-        group_b = np.searchsorted(found.last_b, np.arange(len(code_b)))
+        sizes_a, sizes_b = np.diff(found.last_a, prepend=-1), np.diff(found.last_b, prepend=-1)
         out = np.empty(len(code_a) + len(code_b), np.int64)
-        out[np.arange(len(code_a)) + np.concatenate(([0], found.last_b + 1))[group_a]] = code_a
-        out[np.arange(len(code_b)) + (found.last_a + 1)[group_b]] = code_b
+        of_b = np.zeros(len(out), bool)
+        ends = np.cumsum(sizes_a + sizes_b)
+        of_b[np.repeat(ends - sizes_b, sizes_b) + _within(sizes_b)] = True
+        out[of_b], out[~of_b] = code_b, code_a
         return b"".join(map(self.decimals.__getitem__, out.tolist()))[:-1]
 
 
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0 up to each size, one run behind the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 DOCS = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
         ("groups_sha256", pa.string()), ("distinct", pa.int64())]
 CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), *((name, pa.list_(kind)) for name, kind in DOCS), ("at", pa.list_(pa.int32())),
