@@ -60,6 +60,7 @@ def number_rows(df: DataFrame, order_cols: list[str], id_col: str, start: int =
 
 
 def assign_ids(existing: DataFrame | None, new_rows: DataFrame, key_cols: list[str],
-               id_col: str) -> DataFrame:
-    """Ids for rows whose key is not in ``existing`` (callers pass only new keys)."""
-    return number_rows(new_rows, key_cols, id_col, start=max_id(existing, id_col))
+               id_col: str, start: int | None = None) -> DataFrame:
+    """Ids for rows whose key is not in ``existing`` (callers pass only new keys), after the largest id there or after
+    ``start``, the table's high-water mark where ``existing`` is only a part of it."""
+    return number_rows(new_rows, key_cols, id_col, start=max_id(existing, id_col) if start is None else start)

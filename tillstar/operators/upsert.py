@@ -28,14 +28,15 @@ def _key_condition(e: DataFrame, i: DataFrame, keys: list[str], null_safe: bool)
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str], id_col: str,
-           rules: dict[str, str], null_safe: bool = False) -> DataFrame:
+           rules: dict[str, str], null_safe: bool = False, start: int | None = None) -> DataFrame:
     """Return the new dimension snapshot: ``id_col`` + ``keys`` + rule columns.
 
-    ``incoming`` must hold one row per key (staging already guarantees it).
+    ``incoming`` must hold one row per key (staging already guarantees it). ``start`` is the id after which new ones
+    follow (default: the largest in ``existing``).
     """
     cols = list(rules)
     if existing is None:
-        return assign_ids(None, incoming.select(*keys, *cols), keys, id_col).select(id_col, *keys, *cols)
+        return assign_ids(None, incoming.select(*keys, *cols), keys, id_col, start).select(id_col, *keys, *cols)
 
     e = existing.select(
         id_col, *[F.col(k).alias(f"_e_{k}") for k in keys], *[F.col(c).alias(f"_e_{c}") for c in cols]
@@ -58,20 +59,20 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str], id_
         id_col, *[F.col(f"_e_{k}").alias(k) for k in keys], *[rule(c).alias(c) for c in cols]
     )
     fresh = j.filter(F.col("_e_here").isNull()).select(*keys, *cols)
-    fresh = assign_ids(existing, fresh, keys, id_col).select(id_col, *keys, *cols)
+    fresh = assign_ids(existing, fresh, keys, id_col, start).select(id_col, *keys, *cols)
     return updated.unionByName(fresh)
 
 
 def insert_new(existing: DataFrame | None, incoming: DataFrame, keys: list[str], id_col: str,
-               null_safe: bool = True) -> DataFrame:
+               null_safe: bool = True, start: int | None = None) -> DataFrame:
     """K2: insert-only dimension (every column is part of the key)."""
     inc = incoming.select(*keys).dropDuplicates()
     if existing is None:
-        return assign_ids(None, inc, keys, id_col).select(id_col, *keys)
+        return assign_ids(None, inc, keys, id_col, start).select(id_col, *keys)
     e = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys])
     fresh = inc.join(e, _key_condition(e, inc, keys, null_safe), "left_anti")
     return existing.select(id_col, *keys).unionByName(
-        assign_ids(existing, fresh, keys, id_col).select(id_col, *keys))
+        assign_ids(existing, fresh, keys, id_col, start).select(id_col, *keys))
 
 
 def replace_by_key(existing: DataFrame | None, new_rows: DataFrame, key: str) -> DataFrame:

@@ -16,14 +16,14 @@ from ..functions import clean
 from ..functions.calendar import calendar_columns
 from .. import schemas
 from ..operators.quality import check_star
-from ..operators.stage import extract, stage
+from ..operators.stage import extract
 from ..session import cut_lineage
 from ..sources.tables import file_state
 from .rawtext import raw_lines
 from .star import SourceStar
-from .warehouse import two_batch_run
+from .warehouse import stored_staging, two_batch_run
 
-_MEMO: dict[tuple, DataFrame] = {}
+_MEMO: dict[tuple, DataFrame | dict[str, DataFrame]] = {}
 
 
 def _memo(star: SourceStar, name: str, build) -> DataFrame:
@@ -58,7 +58,8 @@ def raw_staging(star: SourceStar) -> DataFrame:
 
 
 def staging(star: SourceStar) -> dict[str, DataFrame]:
-    return stage(raw_staging(star))
+    """The five staging frames over every line, stored once per session."""
+    return _memo(star, "staging", lambda: stored_staging(raw_staging(star)))
 
 
 # ---- cleaning (B) ----
