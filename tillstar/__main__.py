@@ -39,9 +39,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark()
     if args.cmd == "load":
         from .plans.warehouse import run_etl
-        from .sources.csv import read_raw_csv
+        from .sources.csv_ranges import read_raw_csv_ranges
 
-        snap = run_etl(read_raw_csv(spark, args.csv_path), args.warehouse_root)
+        snap = run_etl(read_raw_csv_ranges(spark, args.csv_path), args.warehouse_root)
         for name, df in snap.tables.items():
             print(f"{name}: {df.count()} rows")
         snap.fact_rejects.groupBy("reject_reason").count().show(truncate=False)

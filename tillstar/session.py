@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,3 +89,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give Python workers this package (a few small files), once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tillstar-"), "tillstar.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, os.path.dirname(package)))
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
+    return spark

@@ -6,16 +6,13 @@ fields may span lines and escape quotes by doubling them. Windows-1252 input is
 the reader itself (no transcoded copy on the driver); Spark 4 only accepts that charset
 with ``spark.sql.legacy.javaCharsets`` enabled, which ``session.BASE_CONF`` sets.
 
-Multi-line CSV cannot be split inside a file, so parallelism comes from the number of
-files: drop the export as many files (one task each) for large inputs.
+Spark's reader cannot split multi-line CSV inside a file; ``csv_ranges`` reads large files in byte ranges.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import clean
-
 # --- fixed values: how the raw export is written ---
 READ_OPTIONS = {"header": True, "inferSchema": False, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 # --- end of fixed values ---
@@ -29,12 +26,6 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str = "windows-1252",
     return spark.read.options(**READ_OPTIONS, multiLine=multi_line, encoding=encoding).csv(path)
 
 
-def read_staging_text(spark: SparkSession, path: str, encoding: str = "windows-1252") -> DataFrame:
-    """A1 + B1-B3: the raw file as trimmed text under staging names, all 21 columns."""
-    raw = read_raw_csv(spark, path, encoding)
-    return clean.ensure_columns(clean.rename_headers(clean.trim_all(raw)))
-
-
 def read_profile_csv(spark: SparkSession, path: str) -> DataFrame:
     """A2: the profiling read (Latin-1); dates are parsed by the profiler, not the reader."""
     return read_raw_csv(spark, path, encoding="ISO-8859-1")
