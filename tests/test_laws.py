@@ -60,6 +60,29 @@ def test_forecast_pipeline_unseen_category_and_persistence(spark, tmpdir_path):
     assert m.test_rows == len(rows) and m.r2 > 0.9
 
 
+def test_closed_form_is_the_pipeline_and_survives_storage(spark, tmpdir_path):
+    """The ridge of the normal equations against MLlib's, on rows with missing values, a constant feature and unseen levels."""
+    import random
+
+    from tillstar.plans import forecast, ridge
+
+    some = random.Random(3)
+    schema = ("product_id long, product_key string, category string, month date, monthly_sales double, "
+              "lag_1 double, lag_2 double, lag_3 double, roll3_mean double, prod_mean_sales double, month_of_year long, next_month double")
+    rows = [(k, f"P{k}", some.choice(["A", "B", None, "C"]), dt.date(2020, 1 + k % 12, 1), 1.0, some.uniform(1, 900), some.choice([None, some.uniform(1, 9)]),
+             7.0, some.uniform(-5, 5), some.uniform(0, 1e5), 1 + k % 12, some.uniform(0, 1000)) for k in range(200)]
+    train = spark.createDataFrame(rows, schema)
+    test = spark.createDataFrame([rows[3], rows[7], (9, "P9", "new", dt.date(2021, 1, 1), 1.0, 3.0, None, None, None, None, 13, 5.0)], schema)
+    mllib = forecast.scores(forecast.fit(train), test).orderBy("product_id").collect()
+    model = ridge.fit(train)
+    path = os.path.join(tmpdir_path, "terms")
+    ridge.save(model, path)
+    again = ridge.load(spark, path)
+    assert again.count() == model.count() == 5 + 12 + 4 + 1
+    for a, b, c in zip(mllib, *(ridge.score(m, test).orderBy("product_id").collect() for m in (model, again))):
+        assert abs(a["pred_next_month"] - b["pred_next_month"]) < 1e-4 and b == c
+
+
 def test_pivot_heatmap(spark):
     from tillstar.plans.dashboard import pivot_heatmap
 

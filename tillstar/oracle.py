@@ -154,7 +154,7 @@ ROUTER = {"route_questions": _route_sql(), "route_rendered": _rendered_sql()}
 
 
 def all_sql() -> dict[str, str]:
-    from .oracle_dash import dash_sql, forecast_source_sql, forecast_sql, profile_sql
+    from .oracle_dash import dash_sql, forecast_source_sql, forecast_sql, profile_sql, ridge_sql
     from .oracle_etl import etl_sql, roles_sql
 
     out: dict[str, str] = {}
@@ -163,4 +163,15 @@ def all_sql() -> dict[str, str]:
     out["profile_columns"] = profile_sql()
     out["forecast_features"] = forecast_sql()
     out["forecast_source"] = forecast_source_sql()
+    out.update(ridge_sql())
+    out["csv_ranges"] = out["row_hash"]
+    out["sql_source"] = """
+SELECT l.l_partkey AS product_id, 'P-' || p.p_partkey AS product_ref, p.p_type AS category, CAST(o.o_orderdate AS DATE) AS order_date,
+       CAST(l.l_quantity AS DOUBLE) AS quantity
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
+    amounts = [f"'\"{c}\":' || CAST(CAST({c} AS DECIMAL(20, 2)) AS VARCHAR)" for c in ("total_sales", "total_profit", "profit_margin_pct")]
+    out["report_json"] = f"""
+WITH r AS (SELECT * FROM ({_sales_by_region("LIMIT 50")}) ORDER BY total_sales DESC NULLS FIRST, region LIMIT 8)
+SELECT '[' || string_agg('{{"region":"' || region || '","orders":' || orders || ',"total_qty":' || total_qty || ',' || {" || ',' || ".join(amounts)} || '}}', ','
+       ORDER BY total_sales DESC NULLS FIRST, region) || ']' AS json FROM r"""
     return out

@@ -67,6 +67,16 @@ SELECT year, month, sales, {_r6("CASE WHEN prev <> 0 THEN (sales - prev) / prev
         "pct_diff_month": with_star(OSALES + f""",
 q AS (SELECT year, month, sales, LAG(sales) OVER (ORDER BY year, month) AS prev FROM m)
 SELECT year, month, sales, {_r6("CASE WHEN prev <> 0 THEN (sales - prev) / abs(prev) END")} AS pct_diff FROM q"""),
+        "pct_diff_day": with_star(OSALES + f""",
+d AS (SELECT order_date, CAST(SUM(sales) AS DOUBLE) AS sales FROM v GROUP BY order_date),
+q AS (SELECT order_date, sales, LAG(sales) OVER (ORDER BY order_date) AS prev FROM d)
+SELECT order_date, sales, {_r6("CASE WHEN prev <> 0 THEN (sales - prev) / abs(prev) END")} AS pct_diff FROM q"""),
+        "sales_mavg": with_star(f"""
+y AS (SELECT CAST(date_trunc('year', o.order_date) AS DATE) AS year_start, CAST(SUM(f.sales) AS DOUBLE) AS sales, COUNT(p.category) AS category_count
+      FROM line f LEFT JOIN prod p ON f.l_partkey = p.p_partkey JOIN ord o ON f.l_orderkey = o.o_orderkey GROUP BY 1)
+SELECT year_start, sales, category_count,
+  {_r6("AVG(sales) OVER (ORDER BY year_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")} AS mavg3,
+  {_r6("AVG(sales) OVER (ORDER BY category_count, year_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")} AS mavg3_by_count FROM y"""),
         "cagr2": with_star(OSALES + f""",
 q AS (SELECT year, sales, LAG(sales, 2) OVER (ORDER BY year) AS prev FROM y)
 SELECT year, sales, {_r6("CASE WHEN prev > 0 AND sales > 0 THEN pow(sales / prev, 1.0 / 2) - 1 END")} AS cagr2 FROM q"""),
@@ -182,3 +192,50 @@ fe AS (
     CAST(LEAD(ms, 1) OVER w AS DOUBLE) AS next_month
   FROM mo WINDOW w AS (PARTITION BY product_id ORDER BY month))
 SELECT * FROM fe WHERE lag_1 IS NOT NULL AND next_month IS NOT NULL""")
+
+
+def ridge_sql() -> dict[str, str]:
+    """The forecast's model and scores: the normal equations in long form, solved by elimination, a pivot a step. The matrix has a
+    positive definite block for all but the last unknown, so its order needs no exchange."""
+    numeric = ["lag_1", "lag_2", "lag_3", "roll3_mean", "prod_mean_sales"]
+    z = lambda c: f"(coalesce({c}, 0) - m_{c}) / s_{c}"
+    stats = ", ".join(f"AVG(coalesce({c}, 0)) AS m_{c}, CASE WHEN STDDEV_POP(coalesce({c}, 0)) > 0 THEN STDDEV_POP(coalesce({c}, 0)) ELSE 1 END AS s_{c}"
+                      for c in numeric)
+    features = forecast_sql().rpartition("SELECT * FROM fe")[0]
+    entries = " UNION ALL ".join([f"SELECT id, 'n_{c}' AS term, {z(c)} AS v, next_month AS y FROM tr, st" for c in numeric]
+                                 + ["SELECT id, 'm_' || month_of_year, 1.0, next_month FROM tr", "SELECT id, 'c_' || category, 1.0, next_month FROM tr",
+                                    "SELECT id, 'z', 1.0, next_month FROM tr"])
+    kinds = "CASE t[1:1] WHEN 'n' THEN 1 WHEN 'm' THEN 2 WHEN 'c' THEN 3 ELSE 4 END"
+    numbers = " + ".join(f"{z(c)} * coalesce((SELECT w FROM weight WHERE term = 'n_{c}'), 0)" for c in numeric)
+    body = features.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+ok AS (SELECT * FROM fe WHERE lag_1 IS NOT NULL AND next_month IS NOT NULL),
+cut AS (SELECT MAX(month) AS last FROM ok),
+tr AS (SELECT row_number() OVER () AS id, ok.* FROM ok, cut WHERE month < last),
+te AS (SELECT ok.* FROM ok, cut WHERE month = last),
+st AS (SELECT {stats} FROM tr),
+x AS ({entries}),
+ix AS (SELECT term, row_number() OVER (ORDER BY kind, term) AS i FROM (SELECT DISTINCT term, {kinds.replace("t[", "term[")} AS kind FROM x)),
+size AS (SELECT COUNT(*) AS d FROM ix),
+gram AS (SELECT a.term AS ta, b.term AS tb, SUM(a.v * b.v) AS v FROM x a JOIN x b ON a.id = b.id GROUP BY 1, 2),
+eq AS (
+  SELECT p.i, q.i AS j, coalesce(g.v, 0) + CASE WHEN p.i = q.i AND p.term <> 'z' THEN 1.0 ELSE 0 END AS v
+  FROM ix p CROSS JOIN ix q LEFT JOIN gram g ON g.ta = p.term AND g.tb = q.term
+  UNION ALL SELECT ix.i, size.d + 1, SUM(x.v * x.y) FROM x JOIN ix ON ix.term = x.term, size GROUP BY ix.i, size.d),
+elim AS (
+  SELECT 1 AS k, i, j, v FROM eq
+  UNION ALL
+  SELECT k + 1, i, j, CASE WHEN i = k THEN v / pv ELSE v - cv * rv / pv END
+  FROM (SELECT k, i, j, v, MAX(CASE WHEN i = k AND j = k THEN v END) OVER () AS pv,
+               MAX(CASE WHEN j = k THEN v END) OVER (PARTITION BY i) AS cv, MAX(CASE WHEN i = k THEN v END) OVER (PARTITION BY j) AS rv FROM elim), size
+  WHERE k <= d),
+weight AS (SELECT ix.term, e.v AS w FROM elim e JOIN ix ON ix.i = e.i, size WHERE e.k = size.d + 1 AND e.j = size.d + 1),
+sc AS (
+  SELECT te.*, {numbers} + coalesce(wm.w, 0) + coalesce(wc.w, 0) + (SELECT w FROM weight WHERE term = 'z') AS pred
+  FROM te CROSS JOIN st LEFT JOIN weight wm ON wm.term = 'm_' || te.month_of_year LEFT JOIN weight wc ON wc.term = 'c_' || te.category)"""
+    scores = body + """
+SELECT product_id, product_key, month, monthly_sales, next_month, CAST(ROUND(pred, 2) AS DOUBLE) AS pred_next_month FROM sc"""
+    metrics = body + """
+SELECT COUNT(*) AS test_rows, CAST(ROUND(AVG(abs(next_month - pred)), 3) AS DOUBLE) AS mae,
+       CAST(ROUND(sqrt(AVG((next_month - pred) * (next_month - pred))), 3) AS DOUBLE) AS rmse,
+       CAST(ROUND(1 - SUM((next_month - pred) * (next_month - pred)) / NULLIF(VAR_POP(next_month) * COUNT(*), 0), 6) AS DOUBLE) AS r2 FROM sc"""
+    return {"forecast_scores": scores, "forecast_stored_model": scores, "forecast_metrics": metrics}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metrics
-from ..functions.calendar import quarter_of_month
+from ..functions.calendar import quarter_of_month, year_start
 from ..operators import windows as W
 from ..parameters import CATEGORIES
 from .star import SourceStar
@@ -95,6 +95,27 @@ def pct_diff_month(star: SourceStar) -> DataFrame:
                     _d_expr(W.pct_diff("sales", order)).alias("pct_diff"))
 
 
+def pct_diff_day(star: SourceStar) -> DataFrame:
+    """F10 by day: percent difference of an order date's sales from those of the order date before. The window over
+    all days is one task, of a row a day."""
+    d = orders_view(star).groupBy("order_date").agg(F.sum("sales").cast("double").alias("sales"))
+    return d.select("order_date", "sales", _d_expr(W.pct_diff("sales", ["order_date"])).alias("pct_diff"))
+
+
+def sales_mavg(star: SourceStar) -> DataFrame:
+    """F8 for sales, B27: yearly sales by the year's first day, with 3-row moving averages in the order of the years, and in
+    the order of how many lines with a category they have (ties by year)."""
+    p = star.t("part", "p_partkey", "p_type")
+    lines = star.lines()
+    per_order = (lines.join(p, lines.l_partkey == p.p_partkey, "left")
+                 .groupBy("l_orderkey").agg(F.sum("sales").alias("sales"), F.count("p_type").alias("n")))
+    o = star.orders().select("o_orderkey", "order_date")
+    y = (per_order.join(o, per_order.l_orderkey == o.o_orderkey).groupBy(year_start(F.col("order_date")).alias("year_start"))
+         .agg(F.sum("sales").cast("double").alias("sales"), F.sum("n").alias("category_count")))
+    return y.select("year_start", "sales", "category_count", _d_expr(W.moving_avg("sales", ["year_start"], 3)).alias("mavg3"),
+                    _d_expr(W.moving_avg("sales", ["category_count", "year_start"], 3)).alias("mavg3_by_count"))
+
+
 def _d_expr(c, digits: int = 6):
     return F.round(c, digits).cast("double")
 

@@ -7,6 +7,7 @@ warehouse queries run the full pipeline.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,8 @@ from ..functions.calendar import calendar_columns
 from .. import schemas
 from ..operators.quality import check_star
 from ..operators.stage import extract
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources.csv_ranges import read_raw_csv_ranges
 from ..sources.tables import file_state
 from .rawtext import raw_lines
 from .star import SourceStar
@@ -105,6 +107,14 @@ def q_row_hash(star: SourceStar) -> DataFrame:
     return t.select("row_id", clean.row_hash().alias("row_hash"))
 
 
+def q_csv_ranges(star: SourceStar) -> DataFrame:
+    """A1: the raw lines as CSV files, read back in byte ranges and fingerprinted."""
+    path = f"{ensure_checkpoint_dir(star.spark)}/csv-{uuid.uuid4().hex}"
+    raw_file(star).write.option("escape", '"').option("header", True).csv(path)
+    raw = read_raw_csv_ranges(star.spark, path, encoding="utf-8", range_bytes=1 << 20)
+    return clean.ensure_columns(clean.rename_headers(clean.trim_all(raw))).select("row_id", clean.row_hash().alias("row_hash"))
+
+
 def q_unit_price(star: SourceStar) -> DataFrame:
     rs = raw_staging(star)
     return rs.select("row_id", clean.unit_price(F.col("sales"), F.col("quantity")).cast("double").alias("unit_price"))

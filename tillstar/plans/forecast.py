@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import month_start
 from ..operators import windows as W
 from ..session import cut_lineage
+from ..sources.tables import register_views
 from .star import SourceStar
 
 NUMERIC = ["lag_1", "lag_2", "lag_3", "roll3_mean", "prod_mean_sales"]
@@ -127,6 +128,15 @@ def metrics(scored: DataFrame) -> DataFrame:
                       (F.lit(1.0) - F.try_divide("sse", F.col("var_y") * F.col("test_rows"))).alias("r2"))
 
 
+def sql_source(star: SourceStar) -> DataFrame:
+    """The source rows by a query over registered views, as the reference asks a database for them."""
+    register_views(star.spark, star.base_dir, ("lineitem", "orders", "part"))
+    return star.spark.sql("""
+        SELECT l.l_partkey AS product_id, concat('P-', p.p_partkey) AS product_ref, p.p_type AS category, CAST(o.o_orderdate AS date) AS order_date,
+               l.l_quantity AS quantity
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON l.l_partkey = p.p_partkey""")
+
+
 def run(star: SourceStar) -> tuple[PipelineModel, DataFrame]:
     # The feature table is read by several passes (split, scaling statistics, indexers,
     # the solver); materialise it once instead of re-running the joins for each.

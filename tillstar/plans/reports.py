@@ -203,6 +203,8 @@ def rows_json(df: DataFrame, order_cols: list, n: int = 8) -> DataFrame:
 
 
 def report_json(star: SourceStar) -> DataFrame:
-    """The routed region report's payload: its first 8 rows as JSON."""
-    return rows_json(sales_by_region(star, limit=50),
+    """The routed region report's payload: its first 8 rows as JSON, amounts in plain notation."""
+    report = sales_by_region(star, limit=50)
+    amounts = {c: F.col(c).cast("decimal(20,2)") for c in ("total_sales", "total_profit", "profit_margin_pct")}
+    return rows_json(report.withColumns(amounts),
                      [F.col("total_sales").desc_nulls_first(), F.col("region").asc_nulls_last()])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 from .functions import metrics
 from .parameters import CATEGORIES, F_CUTS, M_SCALE, REGIONS, SEGMENTS, YEARS
 from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
-from .plans import dashboard, etl, forecast, reports, roles, star_reports
+from .plans import dashboard, etl, forecast, reports, ridge, roles, star_reports
 from .plans.warehouse import two_batch_run
 from .plans.star import SourceStar
+from .session import cut_lineage, ensure_checkpoint_dir
 from .sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,7 +67,7 @@ def _etl_queries() -> dict[str, Query]:
         "clean_money": etl.q_clean_money, "guarded_numeric": etl.q_guarded_numeric,
         "norm_discount": etl.q_norm_discount, "norm_discount_clamped": etl.q_norm_discount_clamped,
         "parse_date": etl.q_parse_date, "to_qty": etl.q_to_qty, "row_hash": etl.q_row_hash,
-        "unit_price": etl.q_unit_price, "calendar_attrs": etl.q_calendar_attrs, "conform": etl.q_conform,
+        "csv_ranges": etl.q_csv_ranges, "unit_price": etl.q_unit_price, "calendar_attrs": etl.q_calendar_attrs, "conform": etl.q_conform,
         "stg_location": etl.q_stage("stg_dim_location"), "stg_product": etl.q_stage("stg_dim_product"),
         "stg_customer": etl.q_stage("stg_dim_customer"), "stg_orders": etl.q_stage("stg_orders"),
         "stg_sales_lines": etl.q_stage("stg_sales_lines"),
@@ -88,6 +90,7 @@ def _dash_queries() -> dict[str, Query]:
     m_cuts = metrics.scale_cuts(metrics.MONETARY_MIN, M_SCALE)
     names = {
         "yoy_year": d.yoy_year, "yoy12": d.yoy12, "pct_diff_month": d.pct_diff_month, "cagr2": d.cagr2,
+        "pct_diff_day": d.pct_diff_day, "sales_mavg": d.sales_mavg,
         "sales_trends": lambda s: d.sales_trends(s, years=YEARS, regions=REGIONS, segments=SEGMENTS),
         "cum_profit_ratio": d.cum_profit_ratio, "profit_heatmap": d.profit_heatmap,
         "top_names": d.top_names,
@@ -106,12 +109,23 @@ def _profile(star: SourceStar) -> DataFrame:
     return profile_columns(etl.raw_text_untrimmed(star), PROFILE_TEXT, PROFILE_NUMERIC)
 
 
+def _scores(star: SourceStar) -> DataFrame:
+    """One result for the queries on it, stored once per session."""
+    return etl._memo(star, "forecast_scores", lambda: cut_lineage(ridge.run(star)))
+
+
 def _forecast_scores(star: SourceStar) -> DataFrame:
-    return forecast.run(star)[1]
+    return ridge.rounded(_scores(star))
 
 
 def _forecast_metrics(star: SourceStar) -> DataFrame:
-    return forecast.metrics(forecast.run(star)[1])
+    found = forecast.metrics(_scores(star))
+    return found.select("test_rows", *(F.round(c, d).alias(c) for c, d in (("mae", 3), ("rmse", 3), ("r2", 6))))
+
+
+def _forecast_stored_model(star: SourceStar) -> DataFrame:
+    """Scores by a model that was stored and read again."""
+    return ridge.rounded(ridge.run(star, through=f"{ensure_checkpoint_dir(star.spark)}/model-{uuid.uuid4().hex}"))
 
 
 def _model_queries() -> dict[str, Query]:
@@ -121,6 +135,8 @@ def _model_queries() -> dict[str, Query]:
         "forecast_features": forecast.features,
         "forecast_scores": _forecast_scores,
         "forecast_metrics": _forecast_metrics,
+        "forecast_stored_model": _forecast_stored_model,
+        "sql_source": forecast.sql_source,
     }
     return {k: _norm(v) for k, v in names.items()}
 

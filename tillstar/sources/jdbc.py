@@ -25,11 +25,6 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict[str,
     return reader.load()
 
 
-def read_query(spark: SparkSession, url: str, query: str, properties: dict[str, str]) -> DataFrame:
-    """A6 over JDBC: a query as source (pushed to the database)."""
-    return spark.read.format("jdbc").option("url", url).option("query", query).options(**properties).load()
-
-
 def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str],
                 batch_size: int = BATCH_SIZE) -> None:
     """A4: overwrite by TRUNCATE (the table definition stays), inserts in batches."""
