@@ -491,6 +491,18 @@ GROUP BY ls.region, lh.region""",
 def star_reports_sql() -> dict[str, str]:
     """The five reports written the reference's way: facts joined to dimensions, then grouped."""
     two = pipeline("12", whole=True)
+    facts = "SELECT sales_id, order_id, product_id, customer_id, location_id, CAST(quantity AS BIGINT) AS quantity, " + ", ".join(
+        f"{_dbl(c)} AS {c}" for c in ("sales", "unit_price", "discount", "profit")) + " FROM fact2"
+    reports = _star_reports(two)
+    return reports | {
+        "parts_facts": two + facts, "parts_customers": two + "SELECT customer_id, customer_key, customer_name, segment, location_id FROM dim_cust2",
+        "agg_sales_by_region": reports["wh_sales_by_region"], "agg_monthly_trend": reports["wh_monthly_trend"],
+        "wh_distinct_orders": two + """SELECT CAST(GROUPING(l.state, l.city) AS BIGINT) AS level, l.state, l.city, COUNT(DISTINCT f.order_id) AS orders
+FROM fact2 f JOIN dim_loc2 l ON f.location_id = l.location_id GROUP BY ROLLUP (l.state, l.city)""",
+    }
+
+
+def _star_reports(two: str) -> dict[str, str]:
     return {
         "wh_sales_by_region": two + """SELECT l.region, COUNT(DISTINCT o.order_id) AS orders,
   CAST(SUM(f.quantity) AS BIGINT) AS total_qty, CAST(ROUND(SUM(f.sales), 2) AS DOUBLE) AS total_sales,

@@ -13,8 +13,8 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 from .functions import metrics
 from .parameters import CATEGORIES, F_CUTS, M_SCALE, REGIONS, SEGMENTS, YEARS
 from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
-from .plans import dashboard, etl, forecast, reports, ridge, roles, star_reports
-from .plans.warehouse import two_batch_run
+from .plans import dashboard, etl, forecast, maintained, reports, ridge, roles, star_reports
+from .plans.warehouse import parts_run, read_snapshot, two_batch_run
 from .plans.star import SourceStar
 from .session import cut_lineage, ensure_checkpoint_dir
 from .sources.tables import read_table
@@ -80,6 +80,12 @@ def _etl_queries() -> dict[str, Query]:
         "same_day_orders": roles.q_same_day_orders, "location_roles": roles.q_location_roles,
         **{f"chk_{k}": roles.q_check(k) for k in ("not_null", "unique", "fk", "range", "length")},
         "chk_precision": roles.q_check("numeric"),
+        "wh_distinct_orders": lambda star: maintained.distinct_orders(two_batch_run(star, whole=True)[1].tables),
+        "parts_facts": lambda star: read_snapshot(star.spark, parts_run(star)).tables["fact_sales"].drop("created_at"),
+        "parts_customers": lambda star: read_snapshot(star.spark, parts_run(star)).tables["dim_customer"],
+        "agg_sales_by_region": lambda star: maintained.sales_by_region(
+            maintained.read(star.spark, parts_run(star)), read_snapshot(star.spark, parts_run(star)).tables["dim_location"]),
+        "agg_monthly_trend": lambda star: maintained.monthly_trend(maintained.read(star.spark, parts_run(star))),
         **{f"wh_{k}": (lambda star, f=f: f(two_batch_run(star, whole=True)[1].tables)) for k, f in star_reports.REPORTS.items()},
     }
     return {k: _norm(v) for k, v in names.items()}
