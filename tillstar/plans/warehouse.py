@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import clean
 from ..functions.calendar import calendar_columns
+from ..operators import skew
 from ..operators.joins import lookup
 from ..operators.keys import number_rows, max_id
 from ..operators.quality import check_star
@@ -113,10 +114,10 @@ def order_candidates(stg_orders: DataFrame, dim_date: DataFrame, dim_location: D
     """D5 + D4: role-played date lookups (order date, ship date) and the shipping location."""
     dates = dim_date.select("date_id", "full_date")
     o = stg_orders.filter(F.col("order_key").isNotNull())
-    o = o.join(dates.select(F.col("full_date").alias("order_date"), F.col("date_id").alias("order_date_id")),
-               "order_date", "left")
-    o = o.join(dates.select(F.col("full_date").alias("ship_date"), F.col("date_id").alias("ship_date_id")),
-               "ship_date", "left")
+    hot = skew.hot_keys(o, ["order_date", "ship_date"])  # orders without a date among them
+    for role in ("order", "ship"):
+        role_dates = dates.select(F.col("full_date").alias(f"{role}_date"), F.col("date_id").alias(f"{role}_date_id"))
+        o = skew.lookup(o, role_dates, f"{role}_date", hot[f"{role}_date"])
     o = location_ids(o, dim_location)
     return o.withColumns({
         "order_year": F.year("order_date").cast("short"),
@@ -139,11 +140,12 @@ def build_dim_order(existing: DataFrame | None, candidates: DataFrame, start: in
 
 def fact_candidates(stg_lines: DataFrame, dim_order: DataFrame, dim_product: DataFrame,
                     dim_customer: DataFrame) -> DataFrame:
-    """D3: key lookups, then the load-time normalisation of the measures."""
-    f = (stg_lines
-         .join(dim_order.select("order_key", "order_id", "location_id"), "order_key", "left")
-         .join(dim_product.select("product_key", "product_id"), "product_key", "left")
-         .join(dim_customer.select("customer_key", "customer_id"), "customer_key", "left"))
+    """D3: key lookups, split where an order, product or customer holds very many lines; then the load-time normalisation
+    of the measures."""
+    hot = skew.hot_keys(stg_lines, ["order_key", "product_key", "customer_key"])
+    f = skew.lookup(stg_lines, dim_order.select("order_key", "order_id", "location_id"), "order_key", hot["order_key"])
+    f = skew.lookup(f, dim_product.select("product_key", "product_id"), "product_key", hot["product_key"])
+    f = skew.lookup(f, dim_customer.select("customer_key", "customer_id"), "customer_key", hot["customer_key"])
     return f.select(
         "row_id", "order_id", "product_id", "customer_id", "location_id",
         "quantity", F.col("sales").alias("staged_sales"), F.col("profit").alias("staged_profit"),
