@@ -160,7 +160,7 @@ def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (REPORTS, ROUTER, etl_sql(), roles_sql(), dash_sql()):
         out.update(part)
-    out["profile_columns"] = profile_sql()
+    out["profile_columns"] = out["profile_stored"] = profile_sql()
     out["forecast_features"] = forecast_sql()
     out["forecast_source"] = forecast_source_sql()
     out.update(ridge_sql())

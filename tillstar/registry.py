@@ -13,6 +13,7 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 from .functions import metrics
 from .parameters import CATEGORIES, F_CUTS, M_SCALE, REGIONS, SEGMENTS, YEARS
 from .operators.profile import PROFILE_NUMERIC, PROFILE_TEXT, profile_columns
+from .operators.profile_state import StoredProfile
 from .plans import dashboard, etl, forecast, maintained, reports, ridge, roles, star_reports
 from .plans.warehouse import parts_run, read_snapshot, two_batch_run
 from .plans.star import SourceStar
@@ -115,6 +116,16 @@ def _profile(star: SourceStar) -> DataFrame:
     return profile_columns(etl.raw_text_untrimmed(star), PROFILE_TEXT, PROFILE_NUMERIC)
 
 
+def _profile_stored(star: SourceStar) -> DataFrame:
+    """The profile of two raw files added one after the other: the lines of the years to 1994, and the others."""
+    raw = etl.raw_text_untrimmed(star)
+    early = F.coalesce(F.regexp_extract("order_date", r"(\d{4})", 1).try_cast("int") <= 1994, F.lit(False))
+    kept = StoredProfile(star.spark, f"{ensure_checkpoint_dir(star.spark)}/profile-{uuid.uuid4().hex}", PROFILE_TEXT, PROFILE_NUMERIC)
+    kept.add("early", raw.where(early))
+    kept.add("late", raw.where(~early))
+    return kept.profile()
+
+
 def _scores(star: SourceStar) -> DataFrame:
     """One result for the queries on it, stored once per session."""
     return etl._memo(star, "forecast_scores", lambda: cut_lineage(ridge.run(star)))
@@ -137,6 +148,7 @@ def _forecast_stored_model(star: SourceStar) -> DataFrame:
 def _model_queries() -> dict[str, Query]:
     names = {
         "profile_columns": _profile,
+        "profile_stored": _profile_stored,
         "forecast_source": forecast.source_rows,
         "forecast_features": forecast.features,
         "forecast_scores": _forecast_scores,
