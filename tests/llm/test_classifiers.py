@@ -51,6 +51,82 @@ def test_toxicity_probabilities_are_the_formula(spark):
     assert llr["b"] > 1 and llr["c"] < -1 and abs(llr["x"]) < abs(llr["b"])
 
 
+def test_toxicity_discounts():
+    """The modified Kneser-Ney estimates; half a count where they are undefined or out of bounds."""
+    y = 100 / (100 + 2 * 40)
+    assert np.allclose(toxicity.discounts({1: 100, 2: 40, 3: 20, 4: 12}), [0, 1 - 2 * y * 40 / 100, 2 - 3 * y * 20 / 40, 3 - 4 * y * 12 / 20])
+    assert np.allclose(toxicity.discounts({}), [0, 0.5, 0.5, 0.5])
+    assert np.allclose(toxicity.discounts({1: 10, 2: 40, 3: 400}), [0, 1 / 9, 0.5, 0.5])
+
+
+def plain_model(rows):
+    """Log ratios of words and of (word, bigram) by plain counting: class-conditional modified Kneser-Ney, shared back-off."""
+    n2 = [Counter(), Counter()]
+    seen = Counter(w for _, text, _ in rows for w in set(re.findall(r"[a-z]+", text)))
+    for _, text, label in rows:
+        w = [x if seen[x] > 1 else "<unk>" for x in re.findall(r"[a-z]+", text)]
+        n2[label].update(set(zip(["<s>", *w], w)))
+    both = set(n2[0]) | set(n2[1])
+    kept = {b for b in both if n2[0][b] + n2[1][b] > 1}
+    words = {x for x in seen if seen[x] > 1} | {"<unk>", "<s>"}
+    shared = {x: 1e-3 + sum(b[1] == x for b in both) for x in words}
+    total_shared = sum(shared.values())
+    size = [sum(n2[c].values()) for c in (0, 1)]
+    d2 = [toxicity.discounts(Counter(n2[c].values())) for c in (0, 1)]
+
+    def cut(c, b):
+        return n2[c][b] if b not in kept else d2[c][min(n2[c][b], 3)]
+
+    p1 = []
+    for c in (0, 1):
+        n = {x: sum(k for b, k in n2[c].items() if b[1] == x) for x in words}
+        d1 = toxicity.discounts(Counter(n.values()))
+        mass = sum(d1[min(k, 3)] for k in n.values()) + 1
+        p1.append({x: (n[x] - d1[min(n[x], 3)] + mass * shared[x] / total_shared) / (size[c] + 1) for x in words})
+    first = {v: sum(n2[0][b] + n2[1][b] for b in both if b[0] == v) for v in words}
+    back = {v: (sum(cut(0, b) + cut(1, b) for b in both if b[0] == v) + 1) / (first[v] + 1) for v in words}
+
+    def p2(c, b):
+        return (n2[c][b] - cut(c, b)) / (max(first[b[0]], 1) * size[c] / sum(size)) + back[b[0]] * p1[c][b[1]]
+
+    return {x: math.log(p1[1][x] / p1[0][x]) for x in words}, {b: math.log(p2(1, b) / p2(0, b)) for b in kept}
+
+
+def test_toxicity_model_equals_plain_counting(spark):
+    rng = np.random.default_rng(5)
+    letters, odds = list("abcdefghijklmnopqrst"), np.arange(1, 21) / 210
+    rows = [(i, " ".join(rng.choice(letters, 12, p=odds if i % 3 else odds[::-1])) + (f" {'xyz'[i % 3]}uu" * (i % 50 == 0)), int(i % 3 == 0))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    apart = {r["doc_id"] for r in df.where(F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id").cast("string")), F.lit(5)) == 0).collect()}
+    words, pairs = plain_model([r for r in rows if r[0] not in apart])
+    name = {k: w for w, k in model.words.items()} | {toxicity.UNKNOWN: "<unk>", toxicity.START: "<s>"}
+    assert {name[k] for k in range(len(model.word))} == set(words)
+    assert np.allclose([words[name[k]] for k in range(len(model.word))], model.word, atol=1e-9)
+    got = {(name[int(k) >> 32], name[int(k) & 0xFFFFFFFF]): x for k, x in zip(model.pairs, model.pair)}
+    assert set(got) == set(pairs)
+    assert all(abs(got[b] + words[b[1]] - pairs[b]) < 1e-9 for b in pairs)
+
+
+def test_toxicity_rare_expressions_count(spark):
+    """A bigram of ordinary words, and a word of its own, each in 0.5 % of the toxic documents."""
+    rng, common = np.random.default_rng(2), [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    rows = []
+    for i in range(2400):
+        text, label = " ".join(rng.choice(common, 30)), int(i % 2 == 0)
+        if label:
+            text += " insult" * (i % 5 == 0)
+            text += (" waa zzq wbb" if i % 400 == 0 else "") + (" wcc wdd" * (i % 400 == 2))
+        rows.append((i, text, label))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    plain = "waa wbb wcc waa wdd wbb waa"
+    texts = [(1, plain), (2, plain.replace("wcc waa wdd", "waa wcc wdd")), (3, plain + " zzq")]
+    e = {r["doc_id"]: r["evidence"] for r in toxicity.add_evidence(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    assert e[2]["ratio"] > e[1]["ratio"] + 0.1 and e[3]["ratio"] > e[1]["ratio"] + 0.1
+
+
 def test_toxicity_score_reads_the_whole_difference(spark):
     """Words for the ordinary class lower the score of a text whose clear words stay the same."""
     rows = [(i, "alpha beta gamma " * 3 + ("insult " if i % 4 == 0 else "kind gentle ") + f"w{i % 5} end", int(i % 4 == 0)) for i in range(400)]
