@@ -255,7 +255,8 @@ class Labeller(dict):
 
 
 def identify(df: DataFrame, model: Model, penalty: float = 12.0, text_col: str = "text") -> DataFrame:
-    """Add ``language``: a struct of lang_pred, score and spans (first word, word after the last, language)."""
+    """Add ``language``: a struct of lang_pred, score and spans (first word, word after the last, language). A column of that
+    name is replaced."""
     spark = ship(df.sparkSession)
     shared, key = spark.sparkContext.broadcast((model, penalty)), uuid.uuid4().hex  # bounded by the sample
 

@@ -60,7 +60,7 @@ def statistics(text: str | None) -> list[float]:
 
 
 def add_statistics(df: DataFrame, text_col: str = "text", out: str = "stats") -> DataFrame:
-    """Add ``out``: array<double> of the text's statistics."""
+    """Add ``out``: array<double> of the text's statistics. A column of that name is replaced."""
     ship(df.sparkSession)
 
     def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -113,7 +113,7 @@ def fit(rows: DataFrame, stats_col: str = "stats", label_col: str = "label", poo
 
 
 def score(df: DataFrame, model: Discriminant, stats_col: str = "stats", out: str = "score") -> DataFrame:
-    """Add ``out``: the posterior of class 1."""
+    """Add ``out``: the posterior of class 1. A column of that name is replaced."""
     spark = ship(df.sparkSession)
     shared, key = spark.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex  # a few kilobytes
 

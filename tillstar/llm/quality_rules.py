@@ -237,7 +237,7 @@ class Judge:
 
 
 def judge(df: DataFrame, references: References, limits: Limits = Limits(), text_col: str = "text") -> DataFrame:
-    """Add ``rules``, a struct of the counts, both distances, base_failed and kept."""
+    """Add ``rules``, a struct of the counts, both distances, base_failed and kept. A column of that name is replaced."""
     spark = ship(df.sparkSession)
     shared, key = spark.sparkContext.broadcast((references, limits)), uuid.uuid4().hex  # top words per language
 

@@ -319,7 +319,8 @@ class SentencePieceBpe:
         return df.withColumn(out, F.arrow_udf(decode_batches, "string")(F.col(ids_col)))
 
     def round_trip(self, df: DataFrame, text_col: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-        """Add both: the text's ids, and the text decoded from them, in one pass through Python."""
+        """Add both: the text's ids, and the text decoded from them, in one pass through Python. Columns of these names are
+        replaced, and one named ``__both`` is lost."""
         shared, key = self.shared, self.key
 
         def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
