@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,8 +88,49 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    write_parquet(df, path)
+    return remember(spark.read.schema(df.schema).parquet(path), path)
+
+
+#: Spark removes the shuffle files of a query once it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    """Write ``df``; once that is done, the shuffle files of the write go, as nothing reads them again.
+
+    Without this they stay on the executors' disks until the driver collects the query's objects.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
+#: The folder of each frame that ``remember`` was told of; a frame that is gone is forgotten.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def remember(df: DataFrame, path: str) -> DataFrame:
+    """Note that ``df`` reads the folder ``path``, which was written for it, so that ``discard`` can delete it."""
+    _FOLDERS[df] = path
+    return df
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of intermediate frames that nothing reads any more; frames without a folder of their own are left."""
+    for df in frames:
+        folder = _FOLDERS.pop(df, None)
+        if folder is not None:
+            delete_folder(df.sparkSession, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
