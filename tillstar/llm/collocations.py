@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import delete_folder, discard
 from .common import release, shared_path, ship, slices, stored
 from .warc_packages import file_system, open_for_reading
 
@@ -86,9 +87,11 @@ def unpack(raw: bytes) -> bytes:
     return pa.decompress(raw[8:], size, "zstd", asbytes=True) if size else b""
 
 
-def cut_chunks(df: DataFrame, text_col: str = "text", lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Chunks of words: chunk, lang, n (words), and where they lie: file, start, and the lengths of words and places."""
-    folder = f"{shared_path(ship(df.sparkSession), 'phrase-files')}"
+def cut_chunks(df: DataFrame, text_col: str = "text", lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES,
+               folder: str | None = None) -> DataFrame:
+    """Chunks of words: chunk, lang, n (words), and where they lie, in files of ``folder`` (by default a new one): file, start,
+    and the lengths of words and places."""
+    folder = folder or shared_path(ship(df.sparkSession), "phrase-files")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -352,11 +355,14 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                   chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Every phrase of 1 to ``longest`` words with ``least`` occurrences or more in a language (lang, phrase, f), and
     each language's words (lang, n). Both are stored."""
-    chunks = stored(cut_chunks(df, text_col, lang_col, chunk_bytes), "phrase-chunks")
+    files = shared_path(ship(df.sparkSession), "phrase-files")
+    chunks = stored(cut_chunks(df, text_col, lang_col, chunk_bytes, files), "phrase-chunks")
     known = stored(frequent(word_counts(chunks), least), "frequent-words")
+    done = [chunks, known]
     for sizes in ((2,), tuple(range(3, longest + 1))):
         more = stored(frequent(gram_counts(chunks, known, sizes), least), "frequent-grams")
         known = known.unionByName(more)
+        done.append(more)
     out = stored(written_out(chunks, known, longest), "phrases-written")
     hashes = out.select("print", F.xxhash64("phrase").alias("hash"))
     other = stored(differing(chunks, known.select("print", "chunk").join(hashes, "print"), longest), "phrases-differing")
@@ -364,7 +370,10 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     first = out.join(off, "print", "left").select("lang", "phrase", (F.col("total") - F.coalesce("k", F.lit(0))).alias("f"))
     apart = other.groupBy("lang", "phrase").agg(F.sum("k").alias("f"))
     phrases = first.unionByName(apart).where(F.col("f") >= least)
-    return stored(phrases, "phrases"), stored(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
+    found = stored(phrases, "phrases"), stored(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
+    discard(*done, out, other)
+    delete_folder(df.sparkSession, files)
+    return found
 
 
 def score(phrases: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remember, write_parquet
 from ..sources.tables import read_table
 
 
@@ -84,12 +84,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a frame that reads it.
 
-    Cuts lineage like a checkpoint, but keeps columns prunable; a lost executor loses nothing.
+    Cuts lineage like a checkpoint, but keeps columns prunable; a lost executor loses nothing. The write's shuffle
+    files go when it is done; ``discard`` deletes the table itself once nothing reads it.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    write_parquet(df, path)
+    return remember(spark.read.schema(df.schema).parquet(path), path)
 
 
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:

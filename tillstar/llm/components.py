@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard
 from .common import stored
 
 
@@ -19,11 +20,15 @@ def connected(edges: DataFrame) -> DataFrame:
         # A hot label meets as partial minima.
         parent = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("x"), F.least("a", "b").alias("p"))
         for _ in range(2):
-            above = parent.select(F.col("x").alias("p"), F.col("p").alias("pp"))
+            above, before = parent.select(F.col("x").alias("p"), F.col("p").alias("pp")), parent
             parent = stored(parent.join(above, "p").select("x", F.col("pp").alias("p")), "parents")
+            discard(before)
+        old = parent, labels, edges
         labels = stored(labels.join(parent, labels["component"] == parent["x"], "left")
                         .select("node", F.coalesce("p", "component").alias("component")), "labels")
         a, b = parent.select(F.col("x").alias("a"), F.col("p").alias("pa")), parent.select(F.col("x").alias("b"), F.col("p").alias("pb"))
         edges = stored(edges.join(a, "a").join(b, "b").where("pa <> pb")
                        .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        discard(*old)
+    discard(edges)
     return labels

@@ -41,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard
 from .common import TwoGenerations, per_worker, release_once, ship, slices, stored, text_bytes
 from .components import connected
 
@@ -356,7 +357,7 @@ def components(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_
     lists = postings(nodes, rule)
     several = lists.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
     lists = stored(lists.join(several, "gram"), "ngram-lists")
-    found, labels = None, None
+    found, labels, done = None, None, [sets, reps, nodes, lists]
     for step in range(STAR_ROUNDS + 1):
         if labels is None:
             now = lists
@@ -367,15 +368,18 @@ def components(df: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_
         tried = star_candidates(now, rule, step) if step < STAR_ROUNDS else candidates(now, rule)
         links = stored(verified(tried, nodes, rule).select("a", "b"), "ngram-links")
         found = links if found is None else found.unionByName(links)
+        done.append(links)
+        if labels is not None:
+            discard(labels)
         labels = connected(found)
     member = sets.join(reps, "set_key", "left").select("id", "n", F.coalesce("rep", "id").alias("node"))
     # Rows of one id are one document, even if their sets differ: their classes are linked.
-    return same_id(member, labels)
+    named = stored(member.join(labels, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component")), "ngram-members")
+    discard(*done, labels)
+    return same_id(named)
 
 
-def same_id(member: DataFrame, labels: DataFrame) -> DataFrame:
-    named = member.join(labels, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component"))
-    named = stored(named, "ngram-members")
+def same_id(named: DataFrame) -> DataFrame:
     torn = named.groupBy("id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi and id is not null")
     if torn.isEmpty():
         return named
