@@ -112,15 +112,20 @@ def test_columns(spark):
         ("lang", "string"), ("rank", "bigint"), ("phrase", "string"), ("a", "bigint"), ("l", "bigint"), ("r", "bigint"), ("n", "bigint"), ("score", "bigint")]
 
 
-def test_a_collision_between_chunks_is_counted_apart(spark):
-    """A fingerprint whose phrase was written out by another chunk with other words."""
+def test_a_collision_is_counted_by_its_text(spark):
+    """A fingerprint that comes with two hashes: what was written out for it does not count, the text does."""
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame([("a b a b c", "en")], "text string, lang string")
+    df = spark.createDataFrame([("a b a b c", "en"), ("b d", "de")], "text string, lang string")
     chunks = collocations.stored(collocations.cut_chunks(df), "chunks-test")
     known = collocations.stored(collocations.frequent(collocations.word_counts(chunks), 1), "known-test")
     out = collocations.written_out(chunks, known, 5)
-    assert sorted((r["phrase"], r["total"]) for r in out.collect()) == [("a", 2), ("b", 2), ("c", 1)]
-    hashes = out.select("print", F.xxhash64(F.when(F.col("phrase") == "b", "other words").otherwise(F.col("phrase"))).alias("hash"))
-    apart = collocations.differing(chunks, known.select("print", "chunk").join(hashes, "print"), 5)
-    assert [(r["lang"], r["phrase"], r["k"]) for r in apart.collect()] == [("en", "b", 2)]
+    true = [("de", "b", 1), ("de", "d", 1), ("en", "a", 2), ("en", "b", 2), ("en", "c", 1)]
+    rows = out.collect()
+    assert sorted((r["lang"], r["phrase"], r["total"]) for r in rows) == true
+    assert len({r["hash"] for r in rows}) == 5  # the language is part of it
+    wrong = out.withColumn("phrase", F.when((F.col("phrase") == "b"), "other").otherwise(F.col("phrase"))).withColumn("total", F.lit(9))
+    shared = out.where("phrase = 'b'").select("print")
+    left = collocations.settled(wrong, shared, chunks, known, 1, 5).collect()
+    assert sorted(map(tuple, left)) == [("de", "b", 1), ("de", "d", 9), ("en", "a", 9), ("en", "b", 2), ("en", "c", 9)]
+    assert collocations.settled(wrong, shared, chunks, known, 2, 5).where("phrase = 'b'").count() == 1

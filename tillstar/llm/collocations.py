@@ -9,12 +9,12 @@ stands inside a piece. The steps:
 2. Prefix polynomials over the words' 64-bit hashes give the fingerprint of every n-gram of a chunk as a difference, in numpy.
    A chunk sends each distinct fingerprint once, with its number of occurrences there; a shuffle by fingerprint
    sums them, and those of ``least`` occurrences or more go back to the chunks they came from, which are the pointers to
-   their occurrences. First words; then pairs of frequent words; then runs of 3 to 5 words all of whose pairs are frequent.
-   A phrase cannot be more frequent than a part of it, so nothing is lost.
+   their occurrences. First words, then pairs of frequent words, then level by level the n-grams whose first and last n - 1
+   words are frequent. A phrase cannot be more frequent than a part of it, so nothing is lost.
 3. Of the chunks that hold a frequent fingerprint the first writes out its phrase: only frequent phrases become text, each once.
-4. The others then check it against their text: places that share a fingerprint must have the same words, in a chunk word by
-   word and between chunks by another hash of the words. Words that differ are written out and counted apart, and taken off the
-   first phrase's count, so counts are exact when fingerprints collide.
+4. Places that share a fingerprint must have the same words: a chunk compares its own places word by word, and every chunk sends
+   another hash of language and words. Fingerprints with more than one hash are counted again by their text, in every chunk that holds
+   one, so counts are exact when fingerprints collide.
 5. ``score`` compares a candidate (2 to ``longest`` words, a = f(phrase) >= ``least``) with its cuts: after k words, l = f(first
    part) and r = f(rest) give floor(1000 * a * n / (l * r)), in 38-digit arithmetic. The lowest score counts, ties
    to the smallest k. A candidate is dropped if its words stand inside a longer candidate, dropped or not, that is as frequent.
@@ -51,7 +51,7 @@ END = b"\xff"  # the end of a piece: a byte that no text holds
 BYTES = bytes(b | 32 if 65 <= b <= 90 else 255 if 10 <= b <= 13 or b in b".,;:!?" else 32 if b == 9 else b for b in range(256))
 CHUNKS = "chunk long, lang string, n long, file string, start long, words long, places long"
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-HASH_SEED = 42  # of Spark's xxhash64
+HASH_SEED = 42  # of the hash that tells phrases of one fingerprint apart
 
 
 class Chunk:
@@ -188,15 +188,15 @@ class Prints:
         return own[self.places]
 
     def starts(self, known: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
-        """For n from 2 up, the places at which n frequent words stand, all their pairs frequent too if n > 2."""
+        """For n from 2 up, the places at which n words stand whose first and last n - 1 are frequent."""
         one = self.frequent_words(known)
-        pairs = np.flatnonzero(one[:-1] & one[1:])
-        yield 2, pairs
-        frequent = np.zeros(len(one) + longest, bool)
-        frequent[pairs[member(self.at(pairs, 2), known)]] = True
-        run = np.flatnonzero(frequent)
+        run = np.flatnonzero(one[:-1] & one[1:])
+        yield 2, run
         for n in range(3, longest + 1):
-            run = run[frequent[run + n - 2]]
+            run = run[member(self.at(run, n - 1), known)]
+            frequent = np.zeros(len(one) + 1, bool)
+            frequent[run] = True
+            run = run[frequent[run + 1]]
             yield n, run
 
 
@@ -255,14 +255,14 @@ def spread(chunks: DataFrame) -> DataFrame:
     return chunks.repartition(max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "chunk")
 
 
-def gram_counts(chunks: DataFrame, known: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
-    """Likewise for n-grams of these sizes that may be frequent, by what is known of the smaller ones."""
+def gram_counts(chunks: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """Likewise for the n-grams that may be frequent, by what is known of the smaller ones."""
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         prints = _read(row)
-        found = [np.unique(prints.at(s, n), return_counts=True) for n, s in prints.starts(Known.of(right).prints, max(sizes)) if n in sizes]
-        return _counts(row["chunk"], np.concatenate([p for p, _ in found]), np.concatenate([k for _, k in found]))
+        (starts,) = (s for size, s in prints.starts(Known.of(right).prints, n) if size == n)
+        return _counts(row["chunk"], *np.unique(prints.at(starts, n), return_counts=True))
 
     return with_known(chunks, known, count, COUNTS)
 
@@ -302,40 +302,41 @@ def phrases_at(prints: Prints, known: np.ndarray, longest: int) -> Iterator[tupl
 
 
 def written_out(chunks: DataFrame, known: DataFrame, longest: int) -> DataFrame:
-    """Each frequent fingerprint's phrase, from the first chunk that holds it: print, lang, phrase, total."""
+    """For each chunk and phrase of a frequent fingerprint: print, and the phrase's ``hash``; the first chunk that holds the
+    fingerprint adds lang, phrase and total."""
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
+        import xxhash
+
         row, told = left.to_pylist()[0], Known.of(right)
-        first, total = told.columns["first"].astype(bool), told.columns["total"]
-        phrases: dict[int, bytes] = {}
+        seed = xxhash.xxh64_intdigest(row["lang"].encode(), HASH_SEED)
+        first, total = told.columns["first"].astype(bool), told.columns["total"].astype(np.int64)
+        out = []
         for at, _, words in phrases_at(_read(row), told.prints, longest):
-            for i in np.flatnonzero(first[at]).tolist():
-                phrases.setdefault(int(at[i]), words[i])
-        at = np.array(list(phrases), np.int64)
-        return pa.table({"print": pa.array(told.prints[at]), "lang": pa.array([row["lang"]] * len(at), pa.string()),
-                         "phrase": pa.array([p.decode() for p in phrases.values()], pa.string()), "total": pa.array(total[at].astype(np.int64))})
-
-    return with_known(chunks, known, write, "print long, lang string, phrase string, total long")
+            own = first[at]
+            hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words)).view(np.int64)
+            out.append(pa.table({"print": pa.array(told.prints[at], pa.int64()), "hash": pa.array(hashes, pa.int64()),
+                                 "lang": pa.array([row["lang"] if f else None for f in own.tolist()], pa.string()),
+                                 "phrase": pa.array([w.decode() if f else None for f, w in zip(own.tolist(), words)], pa.string()),
+                                 "total": pa.array(total[at], pa.int64(), mask=~own)}))
+        return pa.concat_tables(out)
 
+    return with_known(chunks, known, write, "print long, hash long, lang string, phrase string, total long")
 
-def differing(chunks: DataFrame, known: DataFrame, longest: int) -> DataFrame:
-    """Phrases that are not the one written out for their fingerprint, of which ``known`` holds the ``hash``: print, lang, phrase
-    and k, their occurrences in a chunk."""
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        import xxhash
+def phrases_of(chunks: DataFrame, known: DataFrame, longest: int) -> DataFrame:
+    """Every phrase of the known fingerprints, from every chunk: lang, phrase and k, its occurrences in the chunk."""
 
+    def write(left: pa.Table, right: pa.Table) -> pa.Table:
         row, told = left.to_pylist()[0], Known.of(right)
-        expected = told.columns["hash"].astype(np.int64)
+        wanted = told.columns["wanted"].astype(bool)
         out = []
         for at, times, words in phrases_at(_read(row), told.prints, longest):
-            own = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), np.uint64, len(words)).view(np.int64)
-            out += [(told.prints[at[i]], row["lang"], words[i].decode(), times[i]) for i in np.flatnonzero(own != expected[at]).tolist()]
-        columns = list(zip(*out)) or [()] * 4
-        return pa.table({c: pa.array(v, t) for c, v, t in zip(("print", "lang", "phrase", "k"), columns,
-                                                              (pa.int64(), pa.string(), pa.string(), pa.int64()))})
+            out += [(row["lang"], words[i].decode(), times[i]) for i in np.flatnonzero(wanted[at]).tolist()]
+        columns = list(zip(*out)) or [()] * 3
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(("lang", "phrase", "k"), columns, (pa.string(), pa.string(), pa.int64()))})
 
-    return with_known(chunks, known, compare, "print long, lang string, phrase string, k long")
+    return with_known(chunks, known, write, "lang string, phrase string, k long")
 
 
 def same_words(places: np.ndarray, starts: np.ndarray, prints: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -351,6 +352,19 @@ def same_words(places: np.ndarray, starts: np.ndarray, prints: np.ndarray, n: in
         starts, prints = starts[~same], prints[~same]
 
 
+def settled(out: DataFrame, shared: DataFrame, chunks: DataFrame, known: DataFrame, least: int, longest: int) -> DataFrame:
+    """The frequent phrases, lang, phrase and f: as written out, but those of ``shared`` fingerprints counted from the text."""
+    phrases = out.where(F.col("phrase").isNotNull()).select("print", "lang", "phrase", F.col("total").alias("f"))
+    if shared.isEmpty():
+        return phrases.select("lang", "phrase", "f")
+    marked = known.join(shared.withColumn("wanted", F.lit(True)), "print", "left")
+    some = marked.where("wanted").select("chunk").distinct()
+    # All that is frequent in these chunks leads to the places.
+    told = marked.join(some, "chunk").select("print", "chunk", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    apart = phrases_of(chunks.join(some, "chunk"), told, longest).groupBy("lang", "phrase").agg(F.sum("k").alias("f"))
+    return phrases.join(shared, "print", "left_anti").select("lang", "phrase", "f").unionByName(apart.where(F.col("f") >= least))
+
+
 def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST,
                   chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Every phrase of 1 to ``longest`` words with ``least`` occurrences or more in a language (lang, phrase, f), and
@@ -359,19 +373,18 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     chunks = stored(cut_chunks(df, text_col, lang_col, chunk_bytes, files), "phrase-chunks")
     known = stored(frequent(word_counts(chunks), least), "frequent-words")
     done = [chunks, known]
-    for sizes in ((2,), tuple(range(3, longest + 1))):
-        more = stored(frequent(gram_counts(chunks, known, sizes), least), "frequent-grams")
+    for n in range(2, longest + 1):
+        more = stored(frequent(gram_counts(chunks, known, n), least), f"frequent-{n}-grams")
         known = known.unionByName(more)
         done.append(more)
     out = stored(written_out(chunks, known, longest), "phrases-written")
-    hashes = out.select("print", F.xxhash64("phrase").alias("hash"))
-    other = stored(differing(chunks, known.select("print", "chunk").join(hashes, "print"), longest), "phrases-differing")
-    off = other.groupBy("print").agg(F.sum("k").alias("k"))
-    first = out.join(off, "print", "left").select("lang", "phrase", (F.col("total") - F.coalesce("k", F.lit(0))).alias("f"))
-    apart = other.groupBy("lang", "phrase").agg(F.sum("k").alias("f"))
-    phrases = first.unionByName(apart).where(F.col("f") >= least)
+    done.append(out)
+    shared = out.groupBy("print").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi")).where("lo <> hi")
+    shared = stored(shared.select("print"), "fingerprints-shared")
+    done.append(shared)
+    phrases = settled(out, shared, chunks, known, least, longest)
     found = stored(phrases, "phrases"), stored(chunks.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
-    discard(*done, out, other)
+    discard(*done)
     delete_folder(df.sparkSession, files)
     return found
 
