@@ -140,6 +140,19 @@ def test_toxicity_score_reads_the_whole_difference(spark):
     assert abs(toxicity.logistic(weights, x)[0] - 1 / (1 + math.exp(-(0.6 - 0.1 + 0.5 * math.log(0.21))))) < 1e-12
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """More labelled rows of a class than were once read (8,000): each word is in two of them, and every one is counted."""
+    n = 9_000
+    name = lambda k: "q" + "".join(chr(97 + int(d)) for d in str(k // 2))
+    rows = [(k, f"plain {name(k)}", 0) for k in range(n)] + [(n + k, "awful words", 1) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(8)
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col("doc_id").cast("string")), F.lit(5)) == 0
+    apart = {r["doc_id"] for r in df.where(part).select("doc_id").collect()}
+    counted = Counter(name(k) for k in range(n) if k not in apart)
+    model = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    assert {w for w in model.words if w.startswith("q")} == {w for w, k in counted.items() if k == 2}
+
+
 def test_toxicity_edges(spark, edge, nothing):
     none = labels(spark, SF_SMALL, "toxic").where("false")
     model = toxicity.learn(nothing, none)

@@ -18,8 +18,9 @@ and texts without a word have no evidence and get the score of none. Rows withou
 learned from. If a class has no labelled row, every score is the share of class 1 (0.5 with none).
 Repeated rows get equal scores.
 
-Learning reads a bounded sample: about ``docs_per_class`` documents of each class, chosen by a hash of
-their id; a fifth of them fit the logistic function. The model's size is bounded by that sample.
+Learning reads every labelled document: four fifths of them are counted, and the fifth that is not, told by a hash
+of the id, fits the logistic function. The model holds the words and bigrams of two documents or more, so it grows with the
+labelled rows as their vocabulary does, much slower than the rows.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker, sampled, ship, slices, stored
+from ..session import discard
+from .common import per_worker, ship, slices, stored
 
 WORDS = re.compile(r"[^\W\d_]+")
 CLEAR = 1.5  # a word's log ratio above this speaks clearly
@@ -107,9 +109,9 @@ def discounts(seen: dict[int, int]) -> np.ndarray:
     return np.array([0.0] + [d if 0 < d < k else 0.5 for k, d in enumerate(out, 1)])
 
 
-def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", docs_per_class: int = 8_000,
-          min_count: int = 2, min_pair_count: int = 2) -> Model:
-    """Learn from the documents in ``labels`` (one row per id: ``id_col`` and ``label``, 0 or 1). Words of fewer documents than
+def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_count: int = 2,
+          min_pair_count: int = 2) -> Model:
+    """Learn from all the documents in ``labels`` (one row per id: ``id_col`` and ``label``, 0 or 1). Words of fewer documents than
     ``min_count`` are ``<unk>``; bigrams of fewer than ``min_pair_count`` give all their mass to the back-off."""
     spark = ship(df.sparkSession)
     counts = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
@@ -117,12 +119,11 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         share = 0.5 if not counts.get(0) and not counts.get(1) else float(bool(counts.get(1)))
         empty, limit = np.zeros(2), np.clip(share, 1e-6, 1 - 1e-6)
         return Model({}, empty, np.zeros(0, np.int64), np.zeros(0), np.array([np.log(limit / (1 - limit)), 0, 0, 0]))
-    ids = [sampled(labels.where(F.col("label") == c), id_col, docs_per_class).select(id_col, "label") for c in (0, 1)]
-    chosen = F.broadcast(ids[0].unionByName(ids[1]))  # bounded by docs_per_class
+    chosen = labels.where(F.col("label").isin(0, 1)).select(id_col, "label")
     part = F.pmod(F.xxhash64(F.lit("part"), F.col(id_col).cast("string")), F.lit(5)) == 0
-    sample = stored(df.select(id_col, F.col(text_col).alias("text")).join(chosen, id_col)
-                    .select("label", part.alias("apart"), "text"), "toxicity-sample")
-    fit_on = sample.where(~F.col("apart")).select("label", "text")
+    labelled = stored(df.select(id_col, F.col(text_col).alias("text")).join(chosen, id_col)
+                    .select("label", part.alias("apart"), "text"), "toxicity-labelled")
+    fit_on = labelled.where(~F.col("apart")).select("label", "text")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,8 +134,8 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
             yield pa.RecordBatch.from_pydict({"word": pa.array(n.keys(), pa.string()), "n": pa.array(n.values(), pa.int64())})
 
     frequent = (fit_on.mapInArrow(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-                .where(F.col("n") >= min_count).select("word").orderBy("word").collect())
-    words = Ids({r["word"]: k for k, r in enumerate(frequent, 2)})
+                .where(F.col("n") >= min_count).select("word").orderBy("word").toArrow()["word"].to_pylist())
+    words = Ids({w: k for k, w in enumerate(frequent, 2)})
     shared, key = spark.sparkContext.broadcast(dict(words)), uuid.uuid4().hex
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,10 +157,9 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
                    "toxicity-pairs")
     size = len(words) + 2
 
-    def column(rows, name: str, at: str) -> np.ndarray:
+    def column(rows: pa.Table, name: str, at: str) -> np.ndarray:
         out = np.zeros(size)
-        for r in rows:
-            out[r[at]] = r[name]
+        out[rows[at].to_numpy()] = rows[name].to_numpy()
         return out
 
     sums = pairs.agg(F.sum("n0"), F.sum("n1")).first()
@@ -167,11 +167,11 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     pair_discounts = [discounts({r["n"]: r["count"] for r in rows}) for rows in seen]
     second = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("w")
     first = F.shiftright("pair", 32).alias("v")
-    by_word = pairs.groupBy(second).agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"), F.count("*").alias("contexts")).collect()
+    by_word = pairs.groupBy(second).agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"), F.count("*").alias("contexts")).toArrow()
     kept = F.col("n0") + F.col("n1") >= min_pair_count
     cuts = [F.when(~kept, F.col(f"n{c}").cast("double")).when(F.col(f"n{c}") == 0, 0.0).when(F.col(f"n{c}") == 1, float(d[1]))
             .when(F.col(f"n{c}") == 2, float(d[2])).otherwise(float(d[3])) for c, d in enumerate(pair_discounts)]
-    by_first = pairs.groupBy(first).agg(F.sum(F.col("n0") + F.col("n1")).alias("n"), F.sum(cuts[0] + cuts[1]).alias("cut")).collect()
+    by_first = pairs.groupBy(first).agg(F.sum(F.col("n0") + F.col("n1")).alias("n"), F.sum(cuts[0] + cuts[1]).alias("cut")).toArrow()
     shared_p = column(by_word, "contexts", "w") + 1e-3
     shared_p /= shared_p.sum()
     word_p = []
@@ -181,7 +181,7 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         word_p.append((n - cut + (cut.sum() + 1) * shared_p) / (n.sum() + 1))
     total = column(by_first, "n", "v")
     back = (column(by_first, "cut", "v") + 1) / (total + 1)  # an unseen context backs off with all its mass
-    counted = pairs.where(kept).toArrow()  # bounded by the sample
+    counted = pairs.where(kept).toArrow()  # bigrams of two documents or more, each once
     keys = counted["pair"].to_numpy()
     order = np.argsort(keys)
     keys, v, w = keys[order], keys[order] >> 32, keys[order] & 0xFFFFFFFF
@@ -191,9 +191,10 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         in_class = np.maximum(total[v], 1) * (sums[c] or 1) / max(1, (sums[0] or 0) + (sums[1] or 0))
         p.append((n - pair_discounts[c][np.minimum(n, 3)]) / in_class + back[v] * word_p[c][w])
     model = Model(dict(words), word, keys, np.log(p[1]) - np.log(p[0]) - word[w], np.zeros(4))
-    apart = add_evidence(sample.where("apart"), model).select("label", "evidence.*").collect()
-    x = features(np.array([(r["ratio"], r["level"], r["excess"]) for r in apart], float).reshape(-1, 3))
-    label = np.array([r["label"] for r in apart], float)
+    apart = add_evidence(labelled.where("apart"), model).select("label", "evidence.*").toArrow()  # four numbers a row
+    x = features(np.stack([apart[c].to_numpy() for c in ("ratio", "level", "excess")], 1))
+    label = apart["label"].to_numpy().astype(float)
+    discard(labelled, pairs)
     weight = np.where(label == 1, counts[1] / max(1.0, label.sum()), counts[0] / max(1.0, len(label) - label.sum()))
     return model._replace(weights=_fit_logistic(x, label, weight / max(1e-9, weight.mean())))
 
@@ -201,7 +202,7 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
 def add_evidence(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Add ``evidence``: ratio, level and excess per word, and the score. A column of that name is replaced."""
     spark = ship(df.sparkSession)
-    shared, key = spark.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex  # bounded by the sample
+    shared, key = spark.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex
 
     def make() -> Model:
         model = Model(*shared.value)
