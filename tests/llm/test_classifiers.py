@@ -255,6 +255,28 @@ def test_viterbi_equals_all_paths():
         assert abs(value(language_id.viterbi(s, penalty)) - best) < 1e-9
 
 
+def test_new_words_are_scored_together_as_one_by_one():
+    grams = {g: (-1.0 - k / 7, -2.0 + k / 9, -1.5) for k, g in enumerate(("^ab", "abc", "bc$", "^xx", "xxx", "xx$"))}
+    model = language_id.Model(["de", "en", "fr"], {"abc": (-3.0, -9.0, -40.0)}, grams, (-5.0, -6.0, -7.0),
+                              {"Latin": (True, True, False), "Greek": (False, False, False)})
+    words = ["abc", "ab", "x" * 200, "καλη", "語", "xxabc", "²½", "x" * (language_id.LONG_WORD + 1)]
+
+    def alone(word):
+        fits = model.scripts.get(language_id.script(word))
+        if not fits or not any(fits):
+            return np.zeros(3)
+        rows = [model.words[word]] if word in model.words else [grams.get(g, model.unseen) for g in language_id.trigrams(word)]
+        s = np.where(fits, np.sum(rows, 0), -np.inf)
+        return np.maximum(s - s.max(), language_id.FLOOR)
+
+    labeller = language_id.Labeller(model, 12.0)
+    assert np.array_equal(labeller.scores(words), [alone(w) for w in words])
+    labeller.label(" ".join(words))
+    assert [labeller[w] for w in words] == list(range(len(words)))
+    assert np.array_equal(labeller.table[:len(words)], [alone(w) for w in words])
+    assert labeller.letters[:len(words)].tolist() == [True] * 6 + [False, True]
+
+
 def test_language_on_held_out_rows(spark):
     rows = registry.op5_language(spark, SF).join(documents(spark, SF, "doc_id", "lang"), "doc_id").where("held_out")
     assert rows.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.98

@@ -38,6 +38,7 @@ UNKNOWN = "und"
 FLOOR = -8.0  # the least a word can say against a language
 MEMO_WORDS = 150_000
 FLUSH_WORDS = 200_000
+LONG_WORD = 64  # trigrams of a word that is summed by itself
 SPAN = "struct<start:int,end:int,lang:string>"
 
 # First and last code point of the letters of each script.
@@ -211,37 +212,68 @@ class Labeller(dict):
         self.model, self.penalty = model, penalty
         self.table = np.zeros((1024, max(1, len(model.langs))))
         self.letters = np.zeros(1024, bool)
-
-    def __missing__(self, word: str) -> int:
-        k = len(self)
-        if k == len(self.table):
+        self.grams = {g: k for k, g in enumerate(model.trigrams)}
+        # A row for each trigram, then one for those never seen, then one of zeros, which fills up short words.
+        self.gram_rows = np.array([*model.trigrams.values(), model.unseen, [0.0] * len(model.langs)])
+        self.masks: dict[str, tuple[bool, ...]] = {}  # first letter -> whether each language uses its script
+
+    def mask(self, word: str) -> tuple[bool, ...]:
+        first = word[:1]
+        if not first.isalpha():
+            return self.model.scripts.get(script(word)) or (False,) * len(self.model.langs)
+        found = self.masks.get(first)
+        if found is None:
+            found = self.masks[first] = self.model.scripts.get(script(word)) or (False,) * len(self.model.langs)
+        return found
+
+    def add(self, words: list[str]) -> None:
+        """Give each of these new words the next row of the table."""
+        at = len(self)
+        end = at + len(words)
+        while end > len(self.table):
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
             self.letters = np.concatenate((self.letters, np.zeros_like(self.letters)))
-        self.table[k] = self.scores(word)
-        self.letters[k] = any(c.isalpha() for c in word)
-        self[word] = k
-        return k
-
-    def scores(self, word: str) -> np.ndarray:
-        model = self.model
-        candidates = model.scripts.get(script(word))
-        if not candidates or not any(candidates):
-            return np.zeros(self.table.shape[1])
-        known = model.words.get(word)
-        if known is not None:
-            s = np.array(known)
-        else:
-            s = np.sum([model.trigrams.get(t, model.unseen) for t in trigrams(word)], 0)
+        self.table[at:end] = self.scores(words)
+        self.letters[at:end] = [w[0].isalpha() or any(c.isalpha() for c in w) for w in words]
+        self.update(zip(words, range(at, end)))
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row for each word: known words by their own scores, others by the sums of their trigrams', first to last."""
+        model, never = self.model, len(self.grams)
+        known = [model.words.get(w) for w in words]
+        s = np.zeros((len(words), len(model.langs)))
+        at = [k for k, row in enumerate(known) if row is not None]
+        if at:
+            s[at] = [known[k] for k in at]
+        at = [k for k, row in enumerate(known) if row is None]
+        if at:
+            grams = [[self.grams.get(g, never) for g in trigrams(words[k])] for k in at]
+            width = min(LONG_WORD, max(map(len, grams)))
+            sums = np.zeros((len(at), len(model.langs)))
+            for column in np.array([g + [never + 1] * (width - len(g)) if len(g) <= width else [never + 1] * width for g in grams]).T:
+                sums += self.gram_rows[column]
+            for k, g in enumerate(grams):
+                if len(g) > width:
+                    sums[k] = self.gram_rows[g].sum(0)
+            s[at] = sums
+        candidates = np.array([self.mask(w) for w in words], bool).reshape(s.shape)
         s = np.where(candidates, s, -np.inf)
-        return np.maximum(s - s.max(), FLOOR)
+        some = candidates.any(1)
+        best = np.where(some, s.max(1), 0.0)
+        return np.where(some[:, None], np.maximum(s - best[:, None], FLOOR), 0.0)
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
         langs = self.model.langs
         words = WORDS.findall(text.lower()) if text else []
         if len(self) > MEMO_WORDS:
             self.clear()
+        if not langs:
+            return UNKNOWN, 0.0, []
+        unseen = [w for w in dict.fromkeys(words) if w not in self]
+        if unseen:
+            self.add(unseen)
         rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if not len(langs) or not self.letters[rows].any():
+        if not self.letters[rows].any():
             return UNKNOWN, 0.0, []
         scores = self.table[rows]
         path = viterbi(scores, self.penalty)
