@@ -153,6 +153,20 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert {w for w in model.words if w.startswith("q")} == {w for w, k in counted.items() if k == 2}
 
 
+def test_toxicity_joins_labels_without_sorting_or_broadcasting(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        raise StopIteration
+
+    monkeypatch.setattr(toxicity, "stored", kept)
+    docs = spark.createDataFrame([(k, "a b") for k in range(4)], "doc_id long, text string")
+    with pytest.raises(StopIteration):
+        toxicity.learn(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("label")))
+    assert "ShuffledHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[0] and "SortMergeJoin" not in plans[0]
+
+
 def test_toxicity_edges(spark, edge, nothing):
     none = labels(spark, SF_SMALL, "toxic").where("false")
     model = toxicity.learn(nothing, none)

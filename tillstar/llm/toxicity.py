@@ -121,7 +121,8 @@ def learn(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         return Model({}, empty, np.zeros(0, np.int64), np.zeros(0), np.array([np.log(limit / (1 - limit)), 0, 0, 0]))
     chosen = labels.where(F.col("label").isin(0, 1)).select(id_col, "label")
     part = F.pmod(F.xxhash64(F.lit("part"), F.col(id_col).cast("string")), F.lit(5)) == 0
-    labelled = stored(df.select(id_col, F.col(text_col).alias("text")).join(chosen, id_col)
+    # The labels are the side that is hashed: no sort of the texts, and nothing that grows with the rows goes through the driver.
+    labelled = stored(df.select(id_col, F.col(text_col).alias("text")).join(chosen.hint("shuffle_hash"), id_col)
                     .select("label", part.alias("apart"), "text"), "toxicity-labelled")
     fit_on = labelled.where(~F.col("apart")).select("label", "text")
 
