@@ -53,6 +53,19 @@ def test_dates(spark):
     assert one(spark, clean.parse_date, "zz") is None
 
 
+def test_dates_equal_trying_each_format(spark):
+    texts = [None, "", "zz", "/", "-", "13/1/2018", "2/30/2018", "1/2/18", "1-2-2018", "2016/11/08", "2016-11-8", "0000-01-01",
+             " 1/2/2018", "1/2/2018 ", "2016-02-29", "2017-02-29", "-2016-01-01", "12/31/1999-", "1/2-3"]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    tried = F.coalesce(*[F.try_to_date("v", f) for f in clean.DATE_FORMATS])
+    assert rows.where(~clean.parse_date(F.col("v")).eqNullSafe(tried)).count() == 0
+
+
+def test_a_date_format_is_not_tried_on_text_without_its_separator(spark, monkeypatch):
+    monkeypatch.setattr(clean.F, "try_to_date", lambda c, f: F.raise_error(F.lit("tried")).cast("date"))
+    assert one(spark, clean.parse_date, "zz") is None
+
+
 def test_quantity_truncates(spark):
     q = lambda c: clean.to_quantity(clean.money(c))
     assert one(spark, q, "2.7") == 2

@@ -24,6 +24,13 @@ def test_discard_deletes_only_the_frames_own_folder(spark):
     assert folders(spark) == before
 
 
+def test_intermediate_tables_are_written_with_zstd(spark):
+    before = folders(spark)
+    kept = cut_lineage(spark.range(5))
+    (folder,) = folders(spark) - before
+    assert glob.glob(os.path.join(folder, "*.zstd.parquet")) and kept.count() == 5
+
+
 def test_writing_leaves_the_session_as_it_was(spark):
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     rows = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
