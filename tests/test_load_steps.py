@@ -48,3 +48,41 @@ def test_first_per_key_breaks_ties_and_keeps_nulls(spark):
     assert {tuple(r) for r in picked.collect()} == {("a", "y", "q"), ("b", "n", "m"), (None, "p", "p")}
     assert "min_by" not in plan(picked)  # which carries every value twice
     assert picked.where(F.col("k") == "a").columns == ["k", "v", "w"]
+
+
+def test_exact_measures_are_read_without_their_text(spark):
+    """Raw staging's numbers do not go through text; numbers in text still do, and give the same."""
+    rows = [{"Sales": "$1,234.50", "Quantity": "2.7", "Discount": "150", "Profit": "-0.00004"}, {"Sales": "0", "Quantity": "-3", "Discount": "", "Profit": "n/a"},
+            {"Sales": "99999999999999999999.12345", "Quantity": "9999999999", "Discount": "0.005", "Profit": "1e3"}]
+    raw = extract(raw_rows(spark, *rows))
+    lines = stage(raw)["stg_sales_lines"]
+    assert "RLIKE" not in plan(lines).upper()
+    as_text = raw.select(*(F.col(c).cast("string").alias(c) for c in raw.columns))
+    assert "RLIKE" in plan(stage(as_text)["stg_sales_lines"]).upper()
+    assert lines.schema == stage(as_text)["stg_sales_lines"].schema
+    assert sorted(map(str, lines.collect())) == sorted(map(str, stage(as_text)["stg_sales_lines"].collect()))
+
+
+def test_sales_lines_are_not_stored_again(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(warehouse, "cut_lineage", lambda df: kept.append(df.columns) or df)
+    frames = warehouse.stored_staging(extract(raw_rows(spark, {"Order ID": "O-1"})))
+    assert len(kept) == 4 and frames["stg_sales_lines"].columns not in kept
+
+
+def test_batches_share_the_shuffles_of_their_lines(spark, monkeypatch):
+    """Raw staging of both batches is one write, in which the lines dealt by order are shuffled once."""
+    kept = []
+    monkeypatch.setattr(warehouse, "cut_lineage", lambda df: kept.append(df) or df)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        first, second = warehouse.stage_batches(SourceStar(spark, SF_SMALL), (1, 2), whole=True)
+        assert kept[0]._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    for batch, frames in ((1, first), (2, second)):
+        alone = stage(extract(raw_lines(SourceStar(spark, SF_SMALL), batch, True)))["stg_sales_lines"]
+        got = frames["stg_sales_lines"]
+        assert got.schema == alone.schema and got.count() == alone.count()
+        assert got.exceptAll(alone).count() == 0
