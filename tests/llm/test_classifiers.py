@@ -167,6 +167,55 @@ def test_toxicity_joins_labels_without_sorting_or_broadcasting(spark, monkeypatc
     assert "ShuffledHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[0] and "SortMergeJoin" not in plans[0]
 
 
+def test_toxicity_model_stays_off_the_driver(spark, monkeypatch):
+    """Words, bigrams and evidence are neither collected nor broadcast: all grow with the labelled rows."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(list("abcdefghijkl"), 9)) + " vile" * (i % 4 == 0), int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    most, collect = [], type(df).collect
+
+    def counted(frame):
+        found = collect(frame)
+        most.append(len(found))
+        return found
+
+    def never(*_, **__):
+        raise AssertionError("goes through the driver")
+
+    monkeypatch.setattr(type(df), "collect", counted)
+    for name in ("toArrow", "toPandas"):
+        monkeypatch.setattr(type(df), name, never)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", never)
+    model = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    scored = toxicity.add_evidence(df, model).select("label", "evidence.score")
+    assert scored.where((F.col("score") > 0.5) != (F.col("label") == 1)).count() == 0
+    assert len(model.pairs) > 100 > max(most) and not any(isinstance(x, dict) or np.size(x) > 4 for x in model)
+    assert (np.diff(model.pairs) > 0).all()
+
+
+def plain_logistic(x, label, weight, ridge=0.01):
+    x = (x - x.mean(0)) / x.std(0)
+    x = np.concatenate((np.ones((len(x), 1)), x), 1)
+    w = np.zeros(x.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-x @ w))
+        penalty = np.array([1e-6] + [ridge] * (len(w) - 1))
+        w += np.clip(np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (weight * (label - p)) - penalty * w), -2, 2)
+    return 1 / (1 + np.exp(-x @ w))
+
+
+def test_toxicity_fit_over_tasks_equals_one_array(spark):
+    rng = np.random.default_rng(8)
+    label = (rng.random(500) < 0.2).astype(int)
+    x = np.stack((rng.normal(label, 1), rng.normal(0, 2, 500), rng.random(500) * (1 + label)), 1)
+    rows = spark.createDataFrame([(int(y), *map(float, r)) for y, r in zip(label, x)], "label int, ratio double, level double, excess double")
+    counts = {0: 9000, 1: 700}
+    weights = toxicity._fit_logistic(rows.repartition(7), counts)
+    weight = np.where(label == 1, counts[1] / label.sum(), counts[0] / (500 - label.sum()))
+    assert np.allclose(toxicity.logistic(weights, x), plain_logistic(toxicity.features(x), label, weight / weight.mean()), atol=1e-9)
+    assert (toxicity._fit_logistic(rows.where("false"), counts) == 0).all()
+
+
 def test_toxicity_edges(spark, edge, nothing):
     none = labels(spark, SF_SMALL, "toxic").where("false")
     model = toxicity.learn(nothing, none)
