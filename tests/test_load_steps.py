@@ -5,10 +5,13 @@ import itertools
 from pyspark.sql import functions as F
 
 from helpers import SF_SMALL, raw_rows
+from tillstar import schemas
+from tillstar.operators.quality import check_star
 from tillstar.operators.stage import extract, first_per_key, stage
 from tillstar.plans import etl, warehouse
 from tillstar.plans.rawtext import raw_lines
 from tillstar.plans.star import SourceStar
+from tillstar.session import cut_lineage
 
 
 def plan(df):
@@ -63,6 +66,34 @@ def test_exact_measures_are_read_without_their_text(spark):
     assert sorted(map(str, lines.collect())) == sorted(map(str, stage(as_text)["stg_sales_lines"].collect()))
 
 
+def physical(spark, frame) -> str:
+    """The plan as first made, under a threshold that every table here is below."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        return frame()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_growing_dimensions_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch):
+    """Sorted keys take far fewer bytes in files than in the driver: lookups of orders, products and customers go by no threshold."""
+    staging = warehouse.stored_staging(extract(raw_rows(spark, {"Order ID": "O-1"}, {"Order ID": "O-1"}, {"Order ID": "O-2", "Customer ID": "C-2"})))
+    stored = {name: cut_lineage(df) for name, df in warehouse.load_batch(None, staging).tables.items()}
+    facts = physical(spark, lambda: warehouse.fact_candidates(
+        staging["stg_sales_lines"], stored["dim_order"], stored["dim_product"], stored["dim_customer"]))
+    assert not [line for line in facts.splitlines() if "BroadcastHashJoin" in line and "__hot" not in line]
+    assert facts.count("SortMergeJoin") >= 3
+    checks = physical(spark, lambda: check_star({"fact_sales": stored["fact_sales"]}, {"fact_sales": schemas.CONSTRAINTS["fact_sales"]}, "fk", stored))
+    assert "BroadcastHashJoin" not in checks and "SortMergeJoin" in checks
+    monkeypatch.setattr(etl, "two_batch_run", lambda star: (warehouse.Snapshot(stored), warehouse.Snapshot(stored)))
+    ids = physical(spark, lambda: etl.q_id_stability(None))
+    assert "BroadcastHashJoin" not in ids and ids.count("SortMergeJoin") == 4
+    assert {(r["keys_before"], r["keys_after"], r["changed"]) for r in etl.q_id_stability(None).where("table_name = 'dim_order'").collect()} == {(2, 2, 0)}
+
+
 def test_sales_lines_are_not_stored_again(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(warehouse, "cut_lineage", lambda df: kept.append(df.columns) or df)
