@@ -1,6 +1,7 @@
 """What the steps of a load store, and what they read again."""
 
 import itertools
+import os
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from tillstar.operators.stage import extract, first_per_key, stage
 from tillstar.plans import etl, warehouse
 from tillstar.plans.rawtext import raw_lines
 from tillstar.plans.star import SourceStar
-from tillstar.session import cut_lineage
+from tillstar.session import cut_lineage, ensure_checkpoint_dir, scratch
 
 
 def plan(df):
@@ -94,6 +95,35 @@ def test_growing_dimensions_are_not_broadcast_by_the_size_of_their_files(spark,
     assert {(r["keys_before"], r["keys_after"], r["changed"]) for r in etl.q_id_stability(None).where("table_name = 'dim_order'").collect()} == {(2, 2, 0)}
 
 
+def stored_folders(spark) -> set[str]:
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    return {n for n in os.listdir(folder) if n.startswith("cut-")}
+
+
+def test_a_load_leaves_only_tables_that_are_read(spark, tmpdir_path):
+    before = stored_folders(spark)
+    for k, order in enumerate(("O-1", "O-2", "O-2")):  # the last is the batch in force again
+        snap = warehouse.run_etl(raw_rows(spark, {"Order ID": order}, {"Order ID": "O-3", "Order Date": "zz"}), f"{tmpdir_path}/w")
+        left, before = stored_folders(spark) - before, stored_folders(spark)
+        read = {f.rsplit("/", 2)[-2] for df in snap.frames() for f in df.inputFiles()}
+        assert left == {n for n in read if n.startswith("cut-")} and bool(left) == (k < 2)
+        if left:
+            assert snap.staging["stg_sales_lines"].count() == 2 and snap.fact_rejects.count() == 1 and snap.order_rejects.count() == 1
+    assert snap.tables["fact_sales"].count() == 2
+    with scratch(spark):
+        warehouse.run_etl(raw_rows(spark, {"Order ID": "O-4"}), f"{tmpdir_path}/w")
+    assert stored_folders(spark) == before
+
+
+def test_two_batches_leave_only_tables_that_are_read(spark, monkeypatch):
+    monkeypatch.setattr(warehouse, "_RUNS", {})
+    before = stored_folders(spark)
+    both = warehouse.two_batch_run(SourceStar(spark, SF_SMALL), True)
+    read = {f.rsplit("/", 2)[-2] for snap in both for df in snap.frames() for f in df.inputFiles()}
+    assert stored_folders(spark) - before == read
+    assert all(df.count() >= 0 for snap in both for df in snap.frames())
+
+
 def test_sales_lines_are_not_stored_again(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(warehouse, "cut_lineage", lambda df: kept.append(df.columns) or df)
