@@ -1,10 +1,14 @@
 """The kept profile: equal to the profile of all rows, whatever the files; earlier files are not read again."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from tillstar.operators import profile_state
 from tillstar.operators.profile import profile_columns
-from tillstar.operators.profile_state import StoredProfile
+from tillstar.operators.profile_state import STATE, StoredProfile
+from tillstar.session import cut_lineage
 
 TEXT, NUMBERS = ["name", "note"], ["price"]
 SCHEMA = "name string, price string, note string"
@@ -47,6 +51,21 @@ def test_profile_reads_state_only(spark, tmpdir_path):
     assert rows(again) == sorted(set(rows(again)))  # a value is kept once
 
 
+def test_new_values_are_marked_as_the_pairs_are_stored(spark, tmpdir_path, monkeypatch):
+    """The kept values are met once, before the pairs are stored; the stored pairs are not joined with themselves, and go."""
+    stored = []
+    monkeypatch.setattr(profile_state, "cut_lineage", lambda df: stored.append(cut_lineage(df)) or stored[-1])
+    read, values = [], StoredProfile._read
+    monkeypatch.setattr(StoredProfile, "_read", lambda self, kind, schema: read.append(kind) or values(self, kind, schema))
+    store = kept(spark, tmpdir_path)
+    store.add("f", spark.createDataFrame(FIRST, SCHEMA))
+    store.add("g", spark.createDataFrame([*SECOND, (None, None, None)], SCHEMA))
+    assert read.count("values") == 2 and all("is_new" in df.columns for df in stored) and len(stored) == 2
+    assert not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for df in stored for f in df.inputFiles())
+    state = {(r["file"], r["column_name"]): (r["row_count"], r["nulls"], r["new_values"]) for r in store._read("state", STATE + ", file string").collect()}
+    assert state["f", "name"] == (4, 1, 2) and state["g", "name"] == (10, 1, 1) and state["g", "note"] == (10, 10, 0)
+
+
 def test_same_file_twice_and_unfinished_additions(spark, tmpdir_path):
     store = kept(spark, tmpdir_path)
     store.add("f", spark.createDataFrame(FIRST, SCHEMA))

@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..session import cut_lineage
+from ..session import cut_lineage, discard
 from ..sources import catalog, manifest
+from .joins import growing
 from .profile import DECIMAL_DIGITS, MISSING_MARKERS
 
 LG_REGISTERS = 14
@@ -96,21 +97,23 @@ class StoredProfile:
         before = self._finished()
         version = manifest.begin(self.spark, self.root)
         path = catalog.version_path(self.root, version)
-        found = cut_lineage(pairs(df, self.numeric_cols))
-        if self.exact:
+        found = pairs(df, self.numeric_cols)
+        if self.exact:  # a value is kept once, so the join adds no row
             old = self._read("values", VALUES).withColumn("old", F.lit(True))
-            new = found.where("value is not null").join(old, ["column_name", "value"], "left_anti")
-            new.select("column_name", "value").write.parquet(f"{path}/values")
-            mine = self.spark.read.schema(VALUES).parquet(f"{path}/values").withColumn("is_new", F.lit(True))
-            found = found.join(mine, ["column_name", "value"], "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+            found = found.join(growing(old), ["column_name", "value"], "left")
+            found = found.withColumn("is_new", F.col("value").isNotNull() & F.col("old").isNull()).drop("old")
         else:
             found = found.withColumn("is_new", F.lit(False))
+        found = cut_lineage(found)
+        if self.exact:
+            found.where("is_new").select("column_name", "value").write.parquet(f"{path}/values")
         columns = self.spark.createDataFrame([(c,) for c in df.columns], "column_name string")
         state = columns.join(states(found, self.text_cols, self.numeric_cols), "column_name", "left")
         state.fillna(0, ["row_count", "nulls", "new_values", "numbers"]).withColumn("file", F.lit(name)).write.parquet(f"{path}/state")
         if self._finished() != before:
             raise RuntimeError("another file was added meanwhile: add this one again")
         catalog.finish_version(self.spark, self.root, version)
+        discard(found)
 
     def profile(self) -> DataFrame:
         return merged(self._read("state", STATE), self.exact)
